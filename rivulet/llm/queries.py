@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .media import op3_media_columns
+from .packing import op7_packing
 from .sharding import op10_shard_tree
 
 QUERIES = {
     "op3_media_columns": op3_media_columns,
+    "op7_packing": op7_packing,
     "op10_shard_tree": op10_shard_tree,
 }
 
