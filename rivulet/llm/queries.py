@@ -5,10 +5,12 @@ from __future__ import annotations
 from .media import op3_media_columns
 from .packing import op7_packing
 from .sharding import op10_shard_tree
+from .token_counts import op8_token_counts
 
 QUERIES = {
     "op3_media_columns": op3_media_columns,
     "op7_packing": op7_packing,
+    "op8_token_counts": op8_token_counts,
     "op10_shard_tree": op10_shard_tree,
 }
 
