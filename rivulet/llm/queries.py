@@ -6,8 +6,10 @@ from .media import op3_media_columns
 from .packing import op7_packing
 from .sharding import op10_shard_tree
 from .token_counts import op8_token_counts
+from .token_files import op2_token_files
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op3_media_columns": op3_media_columns,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
