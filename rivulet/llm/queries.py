@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .language import op5_language_id
 from .media import op3_media_columns
+from .near_duplicates import op4_near_duplicates
 from .packing import op7_packing
 from .sharding import op10_shard_tree
 from .token_counts import op8_token_counts
@@ -12,6 +13,7 @@ from .token_files import op2_token_files
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_media_columns": op3_media_columns,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
