@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op6_decontamination
 from .language import op5_language_id
 from .media import op3_media_columns
 from .near_duplicates import op4_near_duplicates
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_media_columns": op3_media_columns,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_id": op5_language_id,
+    "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
     "op10_shard_tree": op10_shard_tree,
