@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontamination import op6_decontamination
 from .language import op5_language_id
+from .line_dedup import OP1_SQL, op1_line_dedup
 from .media import op3_media_columns
 from .near_duplicates import op4_near_duplicates
 from .packing import op7_packing
@@ -12,6 +13,7 @@ from .token_counts import op8_token_counts
 from .token_files import op2_token_files
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
     "op3_media_columns": op3_media_columns,
     "op4_near_duplicates": op4_near_duplicates,
@@ -22,4 +24,6 @@ QUERIES = {
     "op10_shard_tree": op10_shard_tree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+}
