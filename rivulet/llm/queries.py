@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import op6_decontamination
+from .html_text import op9_html_text
 from .language import op5_language_id
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .media import op3_media_columns
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_html_text": op9_html_text,
     "op10_shard_tree": op10_shard_tree,
 }
 
