@@ -219,8 +219,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
     return train(texts, labels, steps)
 
 
-def predict(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (which must not be columns of it)."""
+def predict(docs: DataFrame, model: Model, column: str = "text", added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its score, in two ``added`` columns."""
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     names = docs.columns
@@ -233,9 +233,9 @@ def predict(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
             texts = b.column(at).to_pylist()
             raw = [t.encode("utf-8", "replace") if t and any(map(str.isalpha, t)) else b"" for t in texts]
             lang, score = predictor.predict(raw)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, *added])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(added[0], StringType()).add(added[1], DoubleType()))
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> DataFrame:
