@@ -31,7 +31,7 @@ from .common import slices, table, text_or_empty
 from .words import Memo
 
 SPACE = "▁"
-MOST_PAIRS = 2_000_000
+MOST_PAIRS = 300_000
 
 
 class PrefixCounter:
@@ -148,7 +148,7 @@ def prefix_counts(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             found = c.count(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "n_bytes", "deltas"])
 

@@ -18,7 +18,7 @@ import numpy as np
 LIMIT = 0x2100  # code points with a class
 END, LETTER, NUMBER, SPACE, OTHER, ODD = 0, 1, 2, 3, 4, 9
 LONG_WORD = 256
-MOST_WORDS = 1_500_000
+MOST_WORDS = 500_000
 
 
 def character_classes() -> np.ndarray:
