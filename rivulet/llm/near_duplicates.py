@@ -10,12 +10,14 @@ needs for about ``64 ln 64 + 128`` darts (more if a coordinate stays empty), so
 long documents cost one pass over their shingles.
 
 Texts with equal words are one node.  Nodes that agree in all four coordinates
-of one of 16 bands share a bucket.  In a bucket every node is compared with one
-of them (another one in each band); nodes that are not similar to it are
-bucketed again among themselves, until none is left over.  So a bucket of n
-nodes costs about n comparisons, never n squared, and there is no cap.  A
-comparison computes the weighted Jaccard similarity from both whole texts.
-Classes are the connected components of links of at least the threshold.
+of one of 16 bands share a bucket; buckets with the same nodes are one.  A
+bucket of bounded size is compared in one task, every node with every other, by
+the weighted Jaccard similarity of their whole texts, and yields links that span
+what is similar in it, not its pairs.  In a larger bucket every node is first
+compared with one of them; only nodes that are not similar to it are then
+compared with the others, in blocks of bounded size.  So a large bucket of
+copies of one text costs as much as it has nodes, nothing is capped, and no
+task holds a whole one.  Classes are the connected components of the links.
 
 Cases: a null text, or one without a word, is in a class of its own, but for
 equal texts that are not empty; repeated rows share a class; a null doc_id is
@@ -33,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructType
 
-from .common import materialize, slices, table
+from .common import materialize, partitions_of, slices, table
 from .components import components
 from .shingles import GOLD, fingerprints, mix, shingles, units
 
@@ -42,6 +45,9 @@ COORDINATES = 64
 ROWS = 4
 THRESHOLD = 0.8
 DARTS = int(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
+#: Buckets up to so many nodes and elements are compared in one task; larger ones in blocks of about this size.
+BLOCK_NODES = 768
+BLOCK_ELEMENTS = 2_000_000
 FIRST = -4  # the first region has the ranks from 0 to 2**-4, each later one doubles the end
 
 
@@ -116,7 +122,7 @@ def text_hash(column: str = "text") -> Column:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, th (a hash of the text), node (16 bytes, equal for equal words; null alone) and bands."""
+    """doc_id, th (a hash of the text), node (16 bytes, equal for equal words; null alone), size (shingles) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
@@ -129,70 +135,158 @@ def sign(docs: DataFrame) -> DataFrame:
             has = (count > 0).astype(np.int64) * keys.shape[1]
             offsets = np.r_[0, np.cumsum(has)].astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[count > 0].reshape(-1), pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), listed], ["doc_id", "th", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(n, pa.int64()), listed], ["doc_id", "th", "node", "size", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, th long, node binary, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, th long, node binary, size long, bands array<long>")
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / max(1, len(a) + len(b) - both)
+def elements_of(texts: DataFrame) -> DataFrame:
+    """node and its elements (8 bytes each, ascending) of rows with node and text."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 1 << 20):
+            h, n, _, _ = shingles(b.column(1).to_pylist())
+            e, owner = units(h, n)
+            parts = np.split(e, np.searchsorted(owner, np.arange(1, b.num_rows)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.unique(x).tobytes() for x in parts], pa.binary())], ["node", "elements"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, elements binary")
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and their similarity, from the whole texts of both nodes."""
+
+def similar(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (left, right) of sets at least ``threshold`` alike."""
+    size_l, size_r = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    if len(left) * len(right) <= 64:
+        both = np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left])
+    else:
+        _, ids, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+        often = np.cumsum(count > 1) - 1  # an element of one set alone adds nothing
+        keep, column = (count > 1)[ids], often[ids]
+        row = np.repeat(np.arange(len(left) + len(right)), np.r_[size_l, size_r])[keep]
+        column = column[keep]
+        both = np.zeros((len(left), len(right)), dtype=np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        width = max(64, min(8192, (1 << 22) // (len(left) + len(right))))
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [first, first + width])
+            m = np.zeros((len(left) + len(right), width), dtype=np.float32)
+            m[row[a:b], column[a:b] - first] = 1
+            both += m[: len(left)] @ m[len(left) :].T
+    union = size_l[:, None] + size_r[None] - both
+    return np.nonzero(both >= threshold * np.maximum(union, 1))
+
+
+def spanning(pairs: tuple[np.ndarray, np.ndarray], n: int) -> list[tuple[int, int]]:
+    """Links (least of its part, other) that connect what the pairs connect."""
+    up = np.arange(n)
+    a, b = pairs
+    while True:  # the least label of neighbours, then of labels
+        least = np.minimum(up[a], up[b])
+        new = up.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        np.minimum.at(new, up[a], least)
+        np.minimum.at(new, up[b], least)
+        new = new[new]
+        if (new == up).all():
+            break
+        up = new
+    return [(int(r), int(i)) for i, r in enumerate(up) if r != i]
+
+
+def compared(blocks: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) inside each block: rows of band, key, i, j, side (1: left, 2: right, 3: both), node and elements."""
+
+    def links_of(nodes: list[bytes], sides: list[int], raw: list[bytes]) -> list[tuple[bytes, bytes]]:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in raw]
+        left, right = [k for k, s in enumerate(sides) if s & 1], [k for k, s in enumerate(sides) if s & 2]
+        if not left or not right:
+            return []
+        x, y = similar([sets[k] for k in left], [sets[k] for k in right], threshold)
+        found = spanning((np.array(left)[x], np.array(right)[y]), len(nodes))
+        return [(nodes[r], nodes[i]) for r, i in found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, ([], [], [])
+        out: list[tuple[bytes, bytes]] = []
+        for b in batches:
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
+            sides, nodes, raw = (b.column(k).to_pylist() for k in (4, 5, 6))
+            for k, side, node, x in zip(keys, sides, nodes, raw, strict=True):
+                if k != at:
+                    out += links_of(*held) if at else []
+                    at, held = k, ([], [], [])
+                held[0].append(node)
+                held[1].append(side)
+                held[2].append(x)
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
+                out = []
+        out += links_of(*held) if at else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
+
+    place = ["band", "key", "i", "j"]
+    dealt = blocks.select(*place, "side", "node", "elements").repartition(partitions_of(blocks.sparkSession), *place).sortWithinPartitions(*place)
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
+def alike(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (a, b, and others) with ``alike``."""
+    kept = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
-        for b in slices(slices(batches, "ta", 4 << 20), "tb", 4 << 20):
-            left, right = b.column(0).to_pylist(), b.column(1).to_pylist()
-            if len(known) > 4096:
-                known.clear()
-            need = {k: t for k, t in (*zip(left, b.column(2).to_pylist(), strict=True), *zip(right, b.column(3).to_pylist(), strict=True)) if k not in known}
-            if need:
-                h, n, _, _ = shingles(list(need.values()))
-                e, owner = units(h, n)
-                parts = np.split(e, np.searchsorted(owner, np.arange(1, len(need))))
-                known.update((k, np.unique(p)) for k, p in zip(need, parts, strict=True))
-            found = [similarity(known[x], known[y]) for x, y in zip(left, right, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"])
-
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, similarity double")
-
-
-def links(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Links (a, b) between nodes of at least the threshold."""
-    nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("at"), F.first("bands").alias("bands"))
-    spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = spread.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    left = materialize(spread.join(shared, ["band", "key"]), "buckets")
-    wanted = left.select("node").distinct()
-    places = nodes.select("node", "at.doc_id", "at.th").join(wanted, "node")
+        for b in slices(slices(batches, "ea", 8 << 20), "eb", 8 << 20):
+            found = []
+            for x, y in zip(b.column(len(kept)).to_pylist(), b.column(len(kept) + 1).to_pylist(), strict=True):
+                s, t = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                found.append(both >= threshold * max(1, len(s) + len(t) - both))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(found, pa.bool_())], [*kept, "alike"])
+
+    both = pairs.join(elements.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a").join(elements.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
+    return both.select(*kept, "ea", "eb").mapInArrow(run, StructType([*pairs.schema.fields]).add("alike", BooleanType()))
+
+
+def links(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, block_nodes: int = BLOCK_NODES, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
+    """Links (a, b) that connect the nodes which share a bucket and are at least ``threshold`` alike, directly or through others."""
+    nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    spread = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    same = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
+    buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), *same).where("n > 1")
+    buckets = buckets.groupBy("n", "total", "x", "y").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key", "n", "total")
+    members = materialize(spread.join(buckets, ["band", "key"]).select("band", "key", "n", "total", "node"), "buckets")
+    places = nodes.select("node", "at.doc_id", "at.th").join(members.select("node").distinct(), "node")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text"))
-    texts = materialize(rows.join(places, rows["doc_id"].eqNullSafe(places["doc_id"]) & (rows["th"] == places["th"])).select("node", "text").dropDuplicates(["node"]), "texts")
-    found = None
-    while True:
-        order = F.struct(F.xxhash64("node", "band").alias("h"), "node")
-        heads = left.groupBy("band", "key").agg(F.min(order).alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "key", F.col("head.node").alias("head"))
-        against = left.join(heads, ["band", "key"]).where(F.col("node") != F.col("head"))
-        pairs = against.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-        checked = materialize(verified(pairs, texts), "checked")
-        good = checked.where(F.col("similarity") >= threshold).select("a", "b")
-        found = good if found is None else found.unionByName(good)
-        bad = checked.where(F.col("similarity") < threshold).select("a", "b")
-        if not bad.take(1):
-            return found
-        rest = against.withColumns({"a": F.least("node", "head"), "b": F.greatest("node", "head")}).join(bad, ["a", "b"], "left_semi").select("node", "band", "key")
-        left = materialize(rest, "buckets")
-
-
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    texts = rows.join(places, rows["doc_id"].eqNullSafe(places["doc_id"]) & (rows["th"] == places["th"])).select("node", "text").dropDuplicates(["node"])
+    elements = materialize(elements_of(texts), "elements")
+    parts = F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("total") / block_elements)).cast("int")
+    members = members.withColumn("parts", parts)
+    zero = F.lit(0)
+    found = compared(members.where("parts = 1").select("band", "key", zero.alias("i"), zero.alias("j"), F.lit(3).alias("side"), "node").join(elements, "node"), threshold)
+    large = members.where("parts > 1")
+    if large.take(1):
+        head = large.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head")).select("band", "key", "head.node")
+        against = large.join(head.withColumnRenamed("node", "head"), ["band", "key"]).where("node <> head").select("band", "key", "parts", F.col("head").alias("a"), F.col("node").alias("b"))
+        checked = materialize(alike(against, elements, threshold), "checked")
+        rest = checked.where("not alike").select("band", "key", F.col("b").alias("node"))
+        # Nodes unlike the first are compared with all others: left blocks by their own number, right blocks by the bucket's.
+        few = rest.groupBy("band", "key").agg(F.count("*").alias("r"))
+        sized = large.join(few, ["band", "key"]).withColumn("lefts", F.greatest(F.ceil(F.col("r") * F.col("parts") / F.col("n")), F.lit(1)).cast("int"))
+        chunk = lambda k, salt: F.pmod(F.xxhash64("node", F.lit(salt)), k).cast("int")
+        left = sized.join(rest, ["band", "key", "node"], "left_semi").select("band", "key", chunk(F.col("lefts"), 1).alias("i"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("j"), F.lit(1).alias("side"), "node")
+        right = sized.select("band", "key", F.explode(F.sequence(zero, F.col("lefts") - 1)).alias("i"), chunk(F.col("parts"), 2).alias("j"), F.lit(2).alias("side"), "node")
+        blocks = left.unionByName(right).join(elements, "node")
+        found = found.unionByName(compared(blocks, threshold)).unionByName(checked.where("alike").select("a", "b"))
+    return materialize(found.where("a <> b"), "links")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block_nodes: int = BLOCK_NODES, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """doc_id, th, class_id (the least doc_id of the class) and class_th, which tell each class's first row."""
     signed = materialize(sign(docs), "signed")
-    roots = components(links(docs, signed, threshold))
+    roots = components(links(docs, signed, threshold, block_nodes, block_elements))
     known = signed.where(F.col("node").isNotNull()).select("doc_id", "th", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     known = known.select("doc_id", "th", "root")
     first = known.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("first"))

@@ -94,6 +94,19 @@ def test_op2(spark, odd, empty, data):
         at += n
 
 
+def test_buckets_ascend_and_split_a_hot_id(make_docs):
+    from rivulet.llm.common import ordered_buckets
+
+    docs = make_docs([(None, "n")] + [(i, "x") for i in range(100)] + [(50, f"text {k}") for k in range(200)])
+    bucket, n = ordered_buckets(docs, "doc_id", 20)
+    rows = docs.select("doc_id", bucket.alias("b")).collect()
+    last = {}
+    for r in rows:
+        last.setdefault(r.b, []).append(-1 if r.doc_id is None else r.doc_id)
+    assert all(max(last[a]) <= min(last[b]) for a, b in zip(sorted(last), sorted(last)[1:], strict=False))
+    assert len(rows) == 301 and max(last) < n and max(map(len, last.values())) < 60
+
+
 def brute(position, penalty, size):
     f = [0] + [10**9] * (len(position) - 1)
     for j in range(1, len(position)):
