@@ -23,6 +23,8 @@ empty result.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,25 @@ BLOCK = 512
 BROADCAST_ROWS = 200_000
 
 
-def text_hash() -> Column:
-    return F.xxhash64(F.col("text").cast("string"))
+#: A place is one number, so that the least of many is found by hash aggregation: the document's
+#: code, eight digits of its text's hash, and ten of the line number.
+LINE = Decimal(10**10)
+DOC = Decimal(10**18)
+
+
+def document_place() -> Column:
+    """The place of a document's line 0; ascends with doc_id, null first."""
+    code = F.coalesce(F.col("doc_id").cast("long").cast("decimal(20,0)") + F.lit(Decimal(2**63 + 1)), F.lit(Decimal(0)))
+    digits = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(10**8)).cast("decimal(18,0)")
+    return (code.cast("decimal(20,0)") * F.lit(DOC) + digits * F.lit(LINE)).cast("decimal(38,0)")
+
+
+def line_of(at: Column) -> Column:
+    return (at % F.lit(LINE)).cast("int")
+
+
+def document_of(at: Column) -> Column:
+    return (at - at % F.lit(LINE)).cast("decimal(38,0)")
 
 
 def block_count(length: Column) -> Column:
@@ -46,45 +65,72 @@ def bound(length: Column, blocks: Column, j: Column) -> Column:
     return F.floor(length.cast("long") * j / blocks).cast("int")
 
 
-def block_keys(line: Column, length: Column) -> Column:
-    """A key for each block: everything but that block, of a line seen as ``length`` long."""
-    n = block_count(length)
+def block_key(line: Column, length: Column, n: Column, j: Column) -> Column:
+    return F.xxhash64(length, j, F.substring(line, F.lit(1), bound(length, n, j)), F.lit("|"), F.right(line, length - bound(length, n, j + 1)))
+
 
-    def key(j: Column) -> Column:
-        return F.xxhash64(length, j, F.substring(line, F.lit(1), bound(length, n, j)), F.lit("|"), F.right(line, length - bound(length, n, j + 1)))
+def key_at(line: Column, length: Column, q: Column) -> Column:
+    """The q-th block key of a line: first those of its own length, then those of one less."""
+    own = q < block_count(length)
+    seen = F.when(own, length).otherwise(length - 1)
+    j = F.when(own, q).otherwise(q - block_count(length))
+    return F.when(j < block_count(seen), block_key(line, seen, block_count(seen), j))
 
-    return F.transform(F.sequence(F.lit(0), n - 1), key)
+
+def half_keys(line: Column, length: Column) -> list[Column]:
+    """The two block keys of a line seen as ``length`` long, if that makes two blocks."""
+    half = F.floor(length / 2).cast("int")
+    return [F.xxhash64(length, F.lit(0), F.lit(""), F.lit("|"), F.right(line, length - half)), F.xxhash64(length, F.lit(1), F.left(line, half), F.lit("|"), F.lit(""))]
+
+
+def all_lines(docs: DataFrame) -> DataFrame:
+    """``at``, ``line`` and ``len`` of all lines but those of white space alone."""
+    # A document's place is found below the explode, once, and its text does not go through it.  So is
+    # a line's length: counting characters again in each expression would cost more than all the rest.
+    lines = F.transform(F.split(F.col("text").cast("string"), "\n"), lambda x: F.struct(x.alias("line"), F.length(x).alias("len")))
+    found = docs.select(document_place().alias("doc"), lines.alias("lines")).select("doc", F.posexplode("lines").alias("line_no", "l")).select("doc", "line_no", "l.line", "l.len")
+    return found.where(F.trim(F.col("line")) != "").select((F.col("doc") + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)").alias("at"), "line", "len")
 
 
 def distinct_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Where each text of a line occurs first, and its block keys (null for short lines)."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line")).where(F.trim(F.col("line")) != "")
-    line, length = F.col("line"), F.length("line")
-    keys = F.when(length >= min_chars, F.concat(block_keys(line, length), block_keys(line, length - 1)))
-    keyed = lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc_id", "th", "line_no").alias("at"), keys.alias("keys"))
-    # The line's text stays behind: equal hashes have equal keys, so any row's keys will do.
-    return keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("keys", ignorenulls=True).alias("keys")).select("at.doc_id", "at.th", "at.line_no", "keys")
+    """Where each text of a line occurs first, and its block keys, four a row (null for short lines).
+
+    ``part`` counts a line's rows; all but very long lines have one.
+    """
+    line, length = F.col("line"), F.col("len")
+
+    def four(part: Column, keys: list[Column]) -> Column:
+        return F.struct(part.alias("part"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+
+    none = four(F.lit(0), [F.lit(None).cast("long")] * 4)
+    halves = four(F.lit(0), [*half_keys(line, length), *half_keys(line, length - 1)])
+    total = block_count(length) + block_count(length - 1)
+    many = F.transform(F.sequence(F.lit(0), F.ceil(total / 4).cast("int") - 1), lambda c: four(c, [key_at(line, length, 4 * c + i) for i in range(4)]))
+    parts = F.when(length < min_chars, F.array(none)).when(block_count(length) == 2, F.array(halves)).otherwise(many)
+    spread = all_lines(docs).select("at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), parts.alias("parts"))
+    spread = spread.select("h1", "h2", "at", F.explode("parts").alias("p")).select("h1", "h2", "at", "p.*")
+    # The text stays behind: equal lines have equal keys, so any row's will do.
+    return spread.groupBy("h1", "h2", "part").agg(F.min("at").alias("at"), *[F.first(f"k{i}").alias(f"k{i}") for i in range(4)]).select("at", "part", "k0", "k1", "k2", "k3")
 
 
 def candidates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Lines that share a block key with another text, with that key, the block's text and how the line was seen."""
-    spread = lines.where(F.col("keys").isNotNull()).select("doc_id", "th", "line_no", F.posexplode("keys").alias("p", "key"))
+    each = F.array(*[F.struct((F.col("part") * 4 + i).alias("p"), F.col(f"k{i}").alias("key")) for i in range(4)])
+    spread = lines.select("at", F.explode(each).alias("k")).select("at", "k.*").where("key is not null")
     shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     found = materialize(spread.join(shared, "key"), "shared-blocks")
-    by_doc = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "p", "key")).alias("found"))
-    by_doc = by_doc.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "found")
+    by_doc = found.groupBy(document_of(F.col("at")).alias("doc")).agg(F.collect_list(F.struct("at", "p", "key")).alias("found"))
     if found.count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.split(F.col("text").cast("string"), "\n").alias("all"))
-    rows = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-    one = rows.select("doc_id", "th", F.explode(F.transform("found", lambda f: F.struct(f["line_no"].alias("line_no"), f["p"].alias("p"), f["key"].alias("key"), F.get("all", f["line_no"]).alias("line")))).alias("c")).select("doc_id", "th", "c.*")
-    size = F.length("line")
+    rows = docs.select(document_place().alias("doc"), F.split(F.col("text").cast("string"), "\n").alias("all")).join(by_doc, "doc")
+    one = rows.select(F.explode(F.transform("found", lambda f: F.struct(f["at"].alias("at"), f["p"].alias("p"), f["key"].alias("key"), F.get("all", line_of(f["at"])).alias("line"), F.length(F.get("all", line_of(f["at"]))).alias("len")))).alias("c")).select("c.*")
+    size = F.col("len")
     own = F.col("p") < block_count(size)
     seen = F.when(own, size).otherwise(size - 1)
     j = F.when(own, F.col("p")).otherwise(F.col("p") - block_count(size))
     first, after = bound(seen, block_count(seen), j), seen - bound(seen, block_count(seen), j + 1)
-    out = one.select("doc_id", "th", "line_no", "key", "line", own.alias("short"), F.substring(F.col("line"), first + 1, size - first - after).alias("block"))
-    return out.dropDuplicates(["doc_id", "th", "line_no", "key"])
+    out = one.select("at", "key", "line", own.alias("short"), F.substring(F.col("line"), first + 1, size - first - after).alias("block"), (size - first - after).alias("n"))
+    return out.dropDuplicates(["at", "key"])
 
 
 def variants(found: DataFrame) -> DataFrame:
@@ -95,7 +141,7 @@ def variants(found: DataFrame) -> DataFrame:
     to others of kind 2 that differ at that place alone).
     """
     block, key = F.col("block"), F.col("key")
-    n = F.length(block)
+    n = F.col("n")
 
     def without(i: Column, kind: int) -> Column:
         left, right = F.substring(block, F.lit(1), i), F.substring(block, i + 2, n)
@@ -105,11 +151,11 @@ def variants(found: DataFrame) -> DataFrame:
     each = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     whole = F.array(F.struct(F.xxhash64(key, F.lit(-1), block).alias("variant"), F.lit(0).alias("kind")))
     all_keys = F.when(F.col("short"), F.concat(whole, F.transform(each, lambda i: without(i, 2)))).otherwise(F.transform(each, lambda i: without(i, 1)))
-    return found.select(F.struct("doc_id", "th", "line_no").alias("at"), F.explode(all_keys).alias("v")).select("at", "v.variant", "v.kind")
+    return found.select("at", F.explode(all_keys).alias("v")).select("at", "v.variant", "v.kind")
 
 
 def near_copies(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """doc_id, th and line_no of first occurrences that have an earlier line within one edit."""
+    """``at`` of first occurrences that have an earlier line within one edit."""
     found = materialize(candidates(docs, lines), "candidate-lines")
     keyed = variants(found)
     least = [F.min(F.when(F.col("kind") == k, F.col("at"))).alias(f"at{k}") for k in range(3)]
@@ -117,9 +163,9 @@ def near_copies(docs: DataFrame, lines: DataFrame) -> DataFrame:
     # The earliest partner of each kind: a kept block's is a longer line, a longer line's is the block itself.
     head = F.when(F.col("kind") == 0, F.col("at1")).when(F.col("kind") == 1, F.col("at0")).otherwise(F.col("at2"))
     pairs = keyed.join(groups, "variant").select("at", head.alias("head")).where(F.col("head") < F.col("at")).distinct()
-    texts = found.select(F.struct("doc_id", "th", "line_no").alias("at"), "line").dropDuplicates(["at"])
+    texts = found.select("at", "line").dropDuplicates(["at"])
     both = pairs.join(texts, "at").join(texts.select(F.col("at").alias("head"), F.col("line").alias("kept")), "head")
-    return both.where(F.levenshtein("line", "kept", 1) >= 0).select("at.doc_id", "at.th", "at.line_no").distinct()
+    return both.where(F.levenshtein("line", "kept", 1) >= 0).select("at").distinct()
 
 
 def line_dedup(docs: DataFrame, max_edits: int = 1, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -127,17 +173,14 @@ def line_dedup(docs: DataFrame, max_edits: int = 1, min_chars: int = MIN_CHARS)
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     if max_edits == 0:
-        first = distinct_lines(docs, 1 << 30).select("doc_id", "th", "line_no")
+        first = distinct_lines(docs, 1 << 30).select("at")
     else:
         lines = materialize(distinct_lines(docs, min_chars), "lines")
-        gone = near_copies(docs, lines)
-        g = gone.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("line_no").alias("l"))
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("line_no") == F.col("l"))
-        first = lines.select("doc_id", "th", "line_no").join(g, same, "left_anti")
-    kept = first.groupBy("doc_id", "th").agg(F.collect_list("line_no").alias("rv_found")).select(F.col("doc_id").alias("rv_d"), F.col("th").alias("rv_t"), "rv_found")
+        first = lines.where("part = 0").select("at").join(near_copies(docs, lines), "at", "left_anti")
+    kept = first.groupBy(document_of(F.col("at")).alias("rv_doc")).agg(F.collect_list(line_of(F.col("at"))).alias("rv_found"))
     # Lines are split below the join, so each text is split once and crosses it once.
-    rows = docs.withColumns({"rv_id": F.col("doc_id").cast("long"), "rv_h": text_hash(), "text": F.split(F.col("text").cast("string"), "\n")})
-    both = rows.join(kept, F.col("rv_id").eqNullSafe(F.col("rv_d")) & (F.col("rv_h") == F.col("rv_t")), "left")
+    rows = docs.withColumns({"rv_doc": document_place(), "text": F.split(F.col("text").cast("string"), "\n")})
+    both = rows.join(kept, "rv_doc", "left")
     numbers = F.coalesce("rv_found", F.array().cast("array<int>"))
     blank = F.filter(F.sequence(F.lit(0), F.size("text") - 1), lambda i: F.trim(F.get("text", i)) == "")
     out = both.withColumn("rv_stay", F.when(F.col("text").isNotNull(), F.array_sort(F.concat(numbers, blank))))
