@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rivulet.llm.common import materialize, table
+from rivulet.llm.common import TABLES, drop_tables, materialize, table
 from rivulet.llm.decontamination import contamination
 from rivulet.llm.language import UNKNOWN, learn, predict
 from rivulet.llm.line_dedup import line_dedup
@@ -82,5 +82,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = len(TABLES)
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        # What the stage itself wrote is not read any more; its result and its predecessors' stay.
+        result = TABLES.pop()
+        drop_tables(spark, before)
+        TABLES.append(result)
     return docs

@@ -33,6 +33,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Tables that this driver has written to the shared folder and not dropped.
+TABLES: list[str] = []
+
+
 def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -40,10 +44,19 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    TABLES.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables written since ``TABLES`` had ``since`` entries; nothing may read them any more."""
+    for path in TABLES[since:]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del TABLES[since:]
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -68,21 +81,26 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
             at = to
 
 
-def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[Column, int]:
+def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int, salt: str = "text") -> tuple[Column, int]:
     """A bucket number, ascending with ``key``, that holds about ``rows_per_bucket`` rows.
 
     The bounds are approximate quantiles of the key alone, so finding them
-    reads one narrow column.  Nulls are in bucket 0, as they sort first.
+    reads one narrow column.  Nulls are in bucket 0, as they sort first.  A key
+    that holds several buckets' worth of rows gets several, dealt by a hash of
+    ``salt``.
     """
     n = df.select(key).count()
     buckets = max(1, -(-n // rows_per_bucket))
     if buckets == 1:
         return F.lit(0), 1
     at = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.select(F.percentile_approx(key, at, 10 * buckets)).first()[0] or []))
+    bounds = sorted(df.select(F.percentile_approx(key, at, 10 * buckets)).first()[0] or [])
     if not bounds:
         return F.lit(0), 1
     found = F.array(*[F.lit(b) for b in bounds])
     # The number of bounds below the key, by a fold that stays in the JVM.
-    bucket = F.coalesce(F.size(F.filter(found, lambda b: b < F.col(key))), F.lit(0))
+    bucket = F.size(F.filter(found, lambda b: b < F.col(key)))
+    if len(set(bounds)) < len(bounds):
+        same = F.size(F.filter(found, lambda b: b == F.col(key)))
+        bucket = bucket + F.when(same > 1, F.pmod(F.xxhash64(salt), same).cast("int")).otherwise(F.lit(0))
     return F.when(F.col(key).isNull(), F.lit(0)).otherwise(bucket), len(bounds) + 1

@@ -63,4 +63,8 @@ def test_stages(spark, folder, monkeypatch):
 def test_empty_input(spark, tmp_path, empty):
     empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    from rivulet.llm.common import TABLES
+
+    before = len(TABLES)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert len(TABLES) == before + len(corpus_pipeline.STAGES)
