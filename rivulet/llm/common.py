@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -81,26 +82,31 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
             at = to
 
 
-def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int, salt: str = "text") -> tuple[Column, int]:
-    """A bucket number, ascending with ``key``, that holds about ``rows_per_bucket`` rows.
+MOST_BUCKETS = 1 << 16
 
-    The bounds are approximate quantiles of the key alone, so finding them
-    reads one narrow column.  Nulls are in bucket 0, as they sort first.  A key
-    that holds several buckets' worth of rows gets several, dealt by a hash of
-    ``salt``.
+
+def bucket_bounds(df: DataFrame, key: str, rows_per_bucket: int) -> np.ndarray:
+    """Bounds that part rows into buckets of about ``rows_per_bucket`` (more, beyond 65,536 buckets).
+
+    They are approximate quantiles of the key alone, so finding them reads one
+    narrow column; a key with more than a bucket's worth of rows is there more
+    than once.
     """
     n = df.select(key).count()
-    buckets = max(1, -(-n // rows_per_bucket))
-    if buckets == 1:
-        return F.lit(0), 1
+    buckets = min(MOST_BUCKETS, -(-n // rows_per_bucket))
+    if buckets < 2:
+        return np.zeros(0, dtype=np.int64)
     at = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(df.select(F.percentile_approx(key, at, 10 * buckets)).first()[0] or [])
-    if not bounds:
-        return F.lit(0), 1
-    found = F.array(*[F.lit(b) for b in bounds])
-    # The number of bounds below the key, by a fold that stays in the JVM.
-    bucket = F.size(F.filter(found, lambda b: b < F.col(key)))
-    if len(set(bounds)) < len(bounds):
-        same = F.size(F.filter(found, lambda b: b == F.col(key)))
-        bucket = bucket + F.when(same > 1, F.pmod(F.xxhash64(salt), same).cast("int")).otherwise(F.lit(0))
-    return F.when(F.col(key).isNull(), F.lit(0)).otherwise(bucket), len(bounds) + 1
+    found = df.select(F.percentile_approx(F.col(key).cast("long"), at, 10 * buckets)).first()[0]
+    return np.sort(np.array(found or [], dtype=np.int64))
+
+
+def buckets_of(bounds: np.ndarray, keys: pa.Array, texts: list[str]) -> np.ndarray:
+    """Each row's bucket: ascending with the key, null first; rows of a key with several are dealt by their text."""
+    known = np.asarray(pc.fill_null(keys, 0), dtype=np.int64)
+    out = np.searchsorted(bounds, known, side="left")
+    several = np.searchsorted(bounds, known, side="right") - out
+    for i in np.flatnonzero(several > 1).tolist():
+        out[i] += zlib.crc32(texts[i].encode("utf-8", "replace")) % several[i]
+    out[np.asarray(pc.is_null(keys))] = 0
+    return out

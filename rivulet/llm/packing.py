@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ordered_buckets, partitions_of, slices, table, text_or_empty
+from .common import bucket_bounds, buckets_of, partitions_of, slices, table, text_or_empty
 from .words import encoder
 
 SIZE = 1024
@@ -38,17 +38,20 @@ STEP = 128
 BLOCK = 1 << 19
 
 
-def tokenized(docs: DataFrame, path: str, cut: str, end_id: int, bucket: Column) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, cut: str, end_id: int, rows_per_bucket: int) -> DataFrame:
     """bucket, doc_id, n_tokens, crc and ids (little-endian, 16 bits) of each document and its end id."""
+    bounds = docs.sparkSession.sparkContext.broadcast(bucket_bounds(docs, "doc_id", rows_per_bucket))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, cut)
         for b in slices(batches, "text", 2 << 20):
-            ids = [np.append(x, np.uint16(end_id)).astype("<u2") for x in enc.encode(b.column(2).to_pylist())]
+            texts = b.column(1).to_pylist()
+            ids = [np.append(x, np.uint16(end_id)).astype("<u2") for x in enc.encode(texts)]
+            bucket = pa.array(buckets_of(bounds.value, b.column(0), texts), pa.int32())
             cols = [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["bucket", "doc_id", "n_tokens", "crc", "ids"])
+            yield pa.RecordBatch.from_arrays([bucket, b.column(0), *cols], ["bucket", "doc_id", "n_tokens", "crc", "ids"])
 
-    rows = docs.select(bucket.cast("int").alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, "bucket int, doc_id long, n_tokens long, crc long, ids binary")
 
 
@@ -155,7 +158,6 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def pack_documents(docs: DataFrame, path: str, cut: str = "byte", end_id: int = 0, size: int = SIZE, rows_per_bucket: int = 1024) -> DataFrame:
     """One row per piece of a document; a sequence's number has its bucket in the upper 32 bits."""
-    bucket, _ = ordered_buckets(docs, "doc_id", rows_per_bucket)
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def batch(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
@@ -177,7 +179,7 @@ def pack_documents(docs: DataFrame, path: str, cut: str = "byte", end_id: int =
         if packer and (rows := packer.pack(last=True)):
             yield batch(at, rows)
 
-    return in_order(tokenized(docs, path, cut, end_id, bucket)).mapInArrow(run, PIECES)
+    return in_order(tokenized(docs, path, cut, end_id, rows_per_bucket)).mapInArrow(run, PIECES)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

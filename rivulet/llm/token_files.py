@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, ordered_buckets, table
+from .common import materialize, table
 from .packing import in_order, tokenized
 
 MAGIC = b"RVRP"
@@ -210,7 +210,6 @@ class TokenFile:
 
 def write_token_files(docs: DataFrame, path: str, cut: str = "word", end_id: int = 2, shard_ids: int = SHARD_IDS, rows_per_bucket: int = 2048) -> DataFrame:
     """bucket, shard, n_docs, n_ids and the file of each shard; buckets and shards ascend with doc_id."""
-    bucket, _ = ordered_buckets(docs, "doc_id", rows_per_bucket)
     names = ["bucket", "shard", "n_docs", "n_ids", "file"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +231,7 @@ def write_token_files(docs: DataFrame, path: str, cut: str = "word", end_id: int
         if held:
             yield flush()
 
-    return in_order(tokenized(docs, path, cut, end_id, bucket)).mapInArrow(run, "bucket int, shard int, n_docs long, n_ids long, file binary")
+    return in_order(tokenized(docs, path, cut, end_id, rows_per_bucket)).mapInArrow(run, "bucket int, shard int, n_docs long, n_ids long, file binary")
 
 
 def with_starts(files: DataFrame) -> DataFrame:

@@ -95,16 +95,18 @@ def test_op2(spark, odd, empty, data):
 
 
 def test_buckets_ascend_and_split_a_hot_id(make_docs):
-    from rivulet.llm.common import ordered_buckets
-
-    docs = make_docs([(None, "n")] + [(i, "x") for i in range(100)] + [(50, f"text {k}") for k in range(200)])
-    bucket, n = ordered_buckets(docs, "doc_id", 20)
-    rows = docs.select("doc_id", bucket.alias("b")).collect()
-    last = {}
-    for r in rows:
-        last.setdefault(r.b, []).append(-1 if r.doc_id is None else r.doc_id)
-    assert all(max(last[a]) <= min(last[b]) for a, b in zip(sorted(last), sorted(last)[1:], strict=False))
-    assert len(rows) == 301 and max(last) < n and max(map(len, last.values())) < 60
+    import pyarrow as pa
+
+    from rivulet.llm.common import bucket_bounds, buckets_of
+
+    rows = [(None, "n")] + [(i, "x") for i in range(100)] + [(50, f"text {k}") for k in range(200)]
+    bounds = bucket_bounds(make_docs(rows), "doc_id", 20)
+    found = buckets_of(bounds, pa.array([i for i, _ in rows], pa.int64()), [t for _, t in rows])
+    ids = {}
+    for b, (i, _) in zip(found.tolist(), rows, strict=True):
+        ids.setdefault(b, []).append(-1 if i is None else i)
+    assert all(max(ids[a]) <= min(ids[b]) for a, b in zip(sorted(ids), sorted(ids)[1:], strict=False))
+    assert max(ids) <= len(bounds) and max(map(len, ids.values())) < 60
 
 
 def brute(position, penalty, size):
