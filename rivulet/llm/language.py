@@ -9,8 +9,9 @@ probabilities, weighted by their bytes, so every byte of every text counts.
 For prediction the trained filters are folded into tables over byte pairs: a
 response is the sum of at most two table rows.
 
-Training reads a bounded sample: at most ``sample`` labelled rows a language
-(those whose hash of id and text is least) and one window of each.
+Training reads a bounded sample: of the 200 most frequent languages at most
+``sample`` labelled rows each (fewer if that would be over 40,000 in all), those
+whose hash of id and text is least, and one window of each.
 
 Cases: a text that is null or has no letter is ``und`` with score 0; rows with
 null labels are not learned from; a null doc_id has the CRC of an empty string;
@@ -37,6 +38,7 @@ FILTERS = 16
 EMBEDDING = 8
 SAMPLE = 1500
 MOST_LANGUAGES = 200
+MOST_ROWS = 40_000
 STEPS = 900
 BATCH = 64
 UNKNOWN = "und"
@@ -204,6 +206,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
     count = {r[0]: r[1] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     texts, labels = [], []
     if count:
+        sample = min(sample, MOST_ROWS // len(count))
         # A hash below this share of its range keeps somewhat more than the sample; the limit makes it exact.
         share = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, min(1.0, 1.5 * sample / n + 30 / n))])
         h = F.xxhash64(F.col("doc_id").cast("string"), "text")
