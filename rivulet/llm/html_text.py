@@ -84,18 +84,20 @@ class Page:
                 run = " ".join(html.unescape("".join(text)).split())
                 if run:
                     self.runs.append(run)
-                    self.at.append(block[-1])
+                    self.at.append(block[-1][0])
                 text.clear()
 
-        block = [0]  # the open block elements (and those to go)
+        block = [(0, 0)]  # the open block elements (and those to go), with their places in the stack
+        opened: dict[str, int] = {}  # how many elements of a name are open
 
         def close(depth: int) -> None:
             if any(self.name[i] in BLOCK or self.gone[i] for i in stack[depth:]):
                 flush()
             for i in stack[depth:]:
                 self.last[i] = len(self.runs)
+                opened[self.name[i]] -= 1
             del stack[depth:]
-            while block[-1] >= 0 and block[-1] not in stack:
+            while block[-1][1] >= depth:
                 block.pop()
 
         while pos < n:
@@ -115,7 +117,7 @@ class Page:
             if not (m[4] if m[2] else m[8]):
                 break  # the page ends inside a tag
             if m[1] or m[5]:
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if opened.get(name) else ():
                     if self.name[stack[depth]] == name:
                         close(depth)
                         break
@@ -149,8 +151,9 @@ class Page:
             if attributes.rstrip().endswith("/") and name in ("svg", "math"):
                 continue
             stack.append(i)
+            opened[name] = opened.get(name, 0) + 1
             if name in BLOCK or gone:
-                block.append(i)
+                block.append((i, len(stack) - 1))
             if name in RAW:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(source, pos)
                 if name in ("textarea", "title"):

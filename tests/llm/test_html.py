@@ -27,6 +27,12 @@ def test_rules(source, want):
     assert " ".join(html_text.outline(source or "")[0]) == want
 
 
+def test_deep_and_broken_pages_take_linear_time():
+    n = 30_000
+    runs = html_text.outline("<div>" * n + "deep" + "</x>" * n + "</div>" * n + "<b>" * n + "end")[0]
+    assert runs == ["deep", "end"]
+
+
 def test_hosts():
     assert html_text.host_of("HTTP://user@WWW.Example.com:80/a") == "example.com"
     assert [html_text.host_of(u) for u in (None, "", "x", "/a/b", "mailto:a@b")] == [""] * 5
