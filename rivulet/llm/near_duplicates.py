@@ -288,8 +288,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block_nodes:
     signed = materialize(sign(docs), "signed")
     roots = components(links(docs, signed, threshold, block_nodes, block_elements))
     known = signed.where(F.col("node").isNotNull()).select("doc_id", "th", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    known = known.select("doc_id", "th", "root")
-    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    known = materialize(known.select("doc_id", "th", "root"), "known")
+    # As tables, both sides are shuffled for the join alone, so Spark can split a class with many rows.
+    first = materialize(known.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("first")), "first")
     out = known.join(first, "root").select("doc_id", "th", F.col("first.doc_id").alias("class_id"), F.col("first.th").alias("class_th"))
     alone = signed.where(F.col("node").isNull()).select("doc_id", "th", F.col("doc_id").alias("class_id"), F.col("th").alias("class_th"))
     return out.unionByName(alone)
