@@ -142,12 +142,17 @@ def chunk_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, n, CAST(sum(n) OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS upto FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) ORDER BY 1, 2 LIMIT 500")
 def chunk_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 500 groups of ``chunk_ties_all``."""
+    return chunk_ties_all(spark, sf_dir).orderBy("l_orderkey", "l_linenumber").limit(500)
+
+
+@query("SELECT l_orderkey, l_linenumber, n, CAST(sum(n) OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS upto FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)")
+def chunk_ties_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with equal sort keys are on one side of a page's edge or the other, never lost: numbers go up by their count."""
     rows = read(spark, sf_dir, "lineitem")
     ties = [c for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
     numbered = with_row_number(rows, ["l_orderkey", "l_linenumber", *ties], "rv_row")
-    found = numbered.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), (F.max("rv_row") + 1).alias("upto"))
-    return found.orderBy("l_orderkey", "l_linenumber").limit(500)
+    return numbered.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), (F.max("rv_row") + 1).alias("upto"))
 
 
 @query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 50 OFFSET 100")
