@@ -16,7 +16,7 @@ no sketch.  The benchmark itself is joined, not broadcast: it may grow.
 
 Cases: null texts, and items of fewer than five words, have no shingles and
 match nothing; repeated rows are found once; equal ids with other texts are
-kept apart; an empty table on either side gives an empty result; other columns
+kept apart; null ids of documents and of items are ids like others; an empty table on either side gives an empty result; other columns
 of the inputs are ignored.
 """
 
@@ -185,7 +185,8 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     wanted = candidates.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct()
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["d"]) & (rows["th"] == wanted["t"]), "left_semi").dropDuplicates(["doc_id", "th"])
     pairs = candidates.withColumnRenamed("doc_id", "d").join(texts, F.col("d").eqNullSafe(F.col("doc_id")) & (candidates["th"] == texts["th"])).select("doc_id", texts["th"], "item_id", "ih", "text")
-    both = pairs.join(sketched.select("item_id", "ih", "shingles"), ["item_id", "ih"])
+    own = sketched.select(F.col("item_id").alias("i"), F.col("ih").alias("t"), "shingles")
+    both = pairs.join(own, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("ih") == F.col("t")))
     share = F.col("n_shared") / F.col("n_item")
     return contained(both).withColumn("containment", share).where(F.col("containment") >= threshold)
 

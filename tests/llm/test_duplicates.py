@@ -200,6 +200,14 @@ def test_odd_leaks(spark, odd, empty):
     assert decontamination.contamination(empty, items).count() == 0
 
 
+def test_items_without_id_are_found(spark, make_docs):
+    item, other = prose(601, 30), prose(602, 30)
+    docs = make_docs([(1, prose(603, 50) + " " + item), (None, other), (3, prose(604, 50))])
+    items = spark.createDataFrame([(None, item), (None, other), (7, item)], "item_id long, text string")
+    found = decontamination.contamination(docs, items).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.containment) for r in found) == [("1", "7", 1.0), ("1", "None", 1.0), ("None", "None", 1.0)]
+
+
 def test_size_classes():
     for n in range(1, 3000):
         u = decontamination.size_class(n)
