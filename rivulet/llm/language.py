@@ -9,9 +9,9 @@ probabilities, weighted by their bytes, so every byte of every text counts.
 For prediction the trained filters are folded into tables over byte pairs: a
 response is the sum of at most two table rows.
 
-Training reads a bounded sample: of the 200 most frequent languages at most
-``sample`` labelled rows each (fewer if that would be over 40,000 in all), those
-whose hash of id and text is least, and one window of each.
+Training reads a bounded sample: of each language at most ``sample`` labelled
+rows (fewer, but at least one, if that would be over 40,000 in all), those whose
+hash of id and text is least, and one window of each.
 
 Cases: a text that is null or has no letter is ``und`` with score 0; rows with
 null labels are not learned from; a null doc_id has the CRC of an empty string;
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import slices, table
 
@@ -37,7 +38,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 SAMPLE = 1500
-MOST_LANGUAGES = 200
 MOST_ROWS = 40_000
 STEPS = 900
 BATCH = 64
@@ -124,7 +124,10 @@ def train(texts: list[bytes], labels: list[str], steps: int = STEPS, seed: int =
     )
     if len(names) < 2:
         return model
-    rows = [[t for t, l in zip(texts, labels, strict=True) if l == name] for name in names]
+    by_name: dict[str, list[bytes]] = {}
+    for t, l in zip(texts, labels, strict=True):
+        by_name.setdefault(l, []).append(t)
+    rows = [by_name[name] for name in names]
     first, second = [np.zeros_like(p) for p in parameters(model)], [np.zeros_like(p) for p in parameters(model)]
     for step in range(1, steps + 1):
         y = rng.integers(len(names), size=BATCH)
@@ -203,22 +206,22 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
     """A model of the labelled rows that are not held out, from at most ``sample`` rows a language."""
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    count = {r[0]: r[1] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    # One row a language, as the network itself has.
+    count = {r[0]: r[1] for r in labelled.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().collect()}
     texts, labels = [], []
     if count:
-        sample = min(sample, MOST_ROWS // len(count))
-        # A hash below this share of its range keeps somewhat more than the sample; the limit makes it exact.
-        share = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, min(1.0, 1.5 * sample / n + 30 / n))])
+        sample = min(sample, max(1, MOST_ROWS // len(count)))
+        # A hash below this share of its range keeps somewhat more than the sample; the row number makes it exact.
+        shares = docs.sparkSession.createDataFrame([(k, min(1.0, 1.5 * sample / n + 30 / n)) for k, n in count.items()], "rv_lang string, rv_share double")
         h = F.xxhash64(F.col("doc_id").cast("string"), "text")
         draw = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
         start = F.pmod(h, F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1).cast("int") + 1
-        rows = labelled.where(F.col("text").rlike(r"\p{L}") & (draw < share[F.col("lang")])).select("lang", draw.alias("draw"), F.substring(F.col("text"), start, F.lit(WINDOW)).alias("piece"))
-        kept: dict[str, int] = {}
-        for r in rows.orderBy("draw", "lang", "piece").limit(2 * sample * len(count)).collect():
-            if kept.get(r["lang"], 0) < sample and r["piece"]:
-                kept[r["lang"]] = kept.get(r["lang"], 0) + 1
-                texts.append(r["piece"].encode()[:WINDOW])
-                labels.append(r["lang"])
+        drawn = labelled.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(shares), F.col("lang") == F.col("rv_lang")).where(draw < F.col("rv_share"))
+        rows = drawn.select("lang", draw.alias("draw"), F.substring(F.col("text"), start, F.lit(WINDOW)).alias("piece"))
+        nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "piece"))
+        for r in sorted(rows.withColumn("nth", nth).where(F.col("nth") <= sample).collect(), key=lambda r: (r["draw"], r["lang"], r["piece"])):
+            texts.append(r["piece"].encode()[:WINDOW])
+            labels.append(r["lang"])
     return train(texts, labels, steps)
 
 

@@ -54,3 +54,10 @@ def test_labels_of_held_out_rows_are_not_seen(make_docs):
     rows = [(i, "hello words here", "en" if zlib.crc32(str(i).encode()) % 4 != 2 else "zz") for i in range(40)]
     assert language.learn(make_docs(rows), steps=2).languages == ["en"]
     assert language.learn(make_docs([(1, "abc", None)]), steps=2).languages == []
+
+
+def test_every_label_is_learned(make_docs, monkeypatch):
+    monkeypatch.setattr(language, "MOST_ROWS", 300)
+    ids = [i for i in range(700) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"words of text {i}", f"l{k % 250:03}") for k, i in enumerate(ids)] + [(1000 + i, f"more common words {i}", "en") for i in range(300)]
+    assert language.learn(make_docs(rows), steps=1).languages == ["en", *[f"l{k:03}" for k in range(250)]]
