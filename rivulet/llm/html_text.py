@@ -1,15 +1,25 @@
-"""Main text of web pages, by rules and by site templates.
+"""Main text of web pages: site templates go first, then rules choose the article.
 
 A page is parsed to its elements (with the usual repairs: elements left open
-are closed, a tag or page that breaks off just ends).  Elements whose name or
-class says that they are no article text go; the main element is the article
-(or main, or body).  Then site templates: every block element's subtree is
-hashed, Spark counts on how many different pages of a host each hash occurs,
-and subtrees that recur on most of them go.  Inside an article or main element
-that takes ten pages and four fifths of the host's, elsewhere three and half.
-
-At most ``subtrees of a page / share`` hashes of a host can reach such a share,
-so a host's templates are a short list however many pages it has.
+are closed, a tag or page that breaks off just ends).  Every block element's
+subtree, anywhere on the page, is hashed; Spark counts on how many different
+pages of a host each hash occurs; and subtrees that recur on many of them go,
+whatever they are called.  Inside an article or main element that takes ten pages
+and four fifths of the host's; on a page that has neither, three pages and half;
+beside one, where no article text is to be lost and menus and footers come in
+many versions, three pages and a fiftieth.  A hash seen in several such places
+takes the most.  An element that holds an article, a main element or the page's
+body is never a template.
+
+Of what is left, the article is the main text, else the main element, else the
+body; from these go elements whose name, or a word of whose class, says that they
+are none of it (menus, adverts, comments and the like, which may differ on every
+page and so escape counting).
+
+A page is parsed twice, once to count and once to extract, so that nothing of
+its text is written in between.  At most ``subtrees of a page / share`` hashes of
+a host can reach such a share, so a host's templates are a short list however
+many pages it has.  Parsing and hashing take time linear in the page.
 
 Cases: a null html is an empty page and has an empty text; a null or odd url
 has no host, and its pages no templates; pages of a host that are equal count
@@ -26,10 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, slices, table
+from .shingles import POWERS, mix
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,16 +52,13 @@ SCOPE = frozenset("ul ol dl table".split())
 # Words in class, id, role or aria-label that mark what is no article text.
 BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot banner breadcrumb breadcrumbs byline-share comment comments commentlist disqus respond reply replies consent cookie cookies gdpr notice notices alert disclaimer copyright footer menu menus menubar nav navbar navigation navigational newsletter subscribe subscription signup login modal popup overlay pager pagination promo promotion promoted related recommended recommendations search share sharing social sidebar sidebars sponsor sponsored sponsors tagcloud toolbar topbar widget widgets skip skiplink complementary contentinfo alertdialog hidden".split())
 KEPT = frozenset("html body article main".split())
+# Elements whose content is no text of the page.
+UNSHOWN = frozenset("head script style title textarea template".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
 MARK = re.compile(r"""(?:^|\s)(class|id|role|aria-label|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?(?=\s|/|$)""", re.I)
 PARTS = re.compile(r"[^a-z]+")
-HOST = re.compile(r"^\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
-
-
-def host_of(url: str | None) -> str:
-    found = HOST.match(url or "")
-    return found[1].lower().removeprefix("www.").rstrip(".") if found else ""
+HOST = r"(?i)^\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 def marked(attributes: str) -> bool:
@@ -67,39 +75,55 @@ def marked(attributes: str) -> bool:
     return False
 
 
+def spread(marks: list[bool], parent: list[int]) -> list[bool]:
+    """Whether an element or one above it is marked; parents come before children."""
+    out = list(marks)
+    for i in range(1, len(out)):
+        out[i] = out[i] or out[parent[i]]
+    return out
+
+
+#: Where a subtree is: beside an article or main element, on a page that has neither, inside one;
+#: and the pages, and the share of a host's, on which it must recur.
+BESIDE, ALONE, INSIDE = 0, 1, 2
+LEAST = {BESIDE: (3, 0.02), ALONE: (3, 0.5), INSIDE: (10, 0.8)}
+
+
 class Page:
-    """Elements in page order: name, parent, runs of text from ``first`` to ``last`` (excluded), and if it is to go."""
+    """Elements in page order: name, parent, runs of text from ``first`` to ``last`` (excluded), and whether a rule says that it goes (1 by class, 2 by name)."""
 
     def __init__(self, source: str) -> None:
-        self.name, self.parent, self.first, self.last, self.gone = ["#page"], [-1], [0], [0], [False]
+        self.name, self.parent, self.first, self.last, self.gone = ["#page"], [-1], [0], [0], [0]
         self.runs: list[str] = []
-        self.at: list[int] = []  # the element that each run is in
         self.parse(source)
 
     def parse(self, source: str) -> None:
         stack, text, pos, n = [0], [], 0, len(source)
+        places: dict[str, list[int]] = {}  # the places in the stack of the open elements of a name
+        blocks: list[int] = []  # the places of block elements
+        edges: list[int] = []  # the places of those that end a run
+        kept: list[int] = []  # the places of page, body, article and main elements
+        scopes: list[int] = []  # the places of lists and tables
 
         def flush() -> None:
             if text:
                 run = " ".join(html.unescape("".join(text)).split())
                 if run:
                     self.runs.append(run)
-                    self.at.append(block[-1][0])
                 text.clear()
 
-        block = [(0, 0)]  # the open block elements (and those to go), with their places in the stack
-        opened: dict[str, int] = {}  # how many elements of a name are open
-
         def close(depth: int) -> None:
-            if any(self.name[i] in BLOCK or self.gone[i] for i in stack[depth:]):
+            if edges and edges[-1] >= depth:
                 flush()
             for i in stack[depth:]:
                 self.last[i] = len(self.runs)
-                opened[self.name[i]] -= 1
+                places[self.name[i]].pop()
             del stack[depth:]
-            while block[-1][1] >= depth:
-                block.pop()
+            for held in (blocks, edges, kept, scopes):
+                while held and held[-1] >= depth:
+                    held.pop()
 
+        top = lambda held: held[-1] if held else 0
         while pos < n:
             m = TOKEN.search(source, pos)
             if not m:
@@ -117,12 +141,10 @@ class Page:
             if not (m[4] if m[2] else m[8]):
                 break  # the page ends inside a tag
             if m[1] or m[5]:
-                for depth in range(len(stack) - 1, 0, -1) if opened.get(name) else ():
-                    if self.name[stack[depth]] == name:
-                        close(depth)
-                        break
-                    if self.name[stack[depth]] in KEPT and name not in KEPT:
-                        break  # an end tag does not reach out of the article
+                depth = top(places.get(name))
+                # An end tag does not reach out of the article.
+                if depth and (name in KEPT or top(kept) < depth):
+                    close(depth)
                 continue
             if name in VOID:
                 if name == "br":
@@ -131,18 +153,16 @@ class Page:
                     flush()
                 continue
             if name in BLOCK:
-                for depth in range(len(stack) - 1, 0, -1):
-                    open_name = self.name[stack[depth]]
-                    if open_name == "p" or open_name in CLOSES.get(name, ()):
-                        close(depth)
-                    elif open_name in SCOPE or (open_name in BLOCK and name not in CLOSES):
-                        break
-            gone = name in DROPPED or (name not in ("html", "body", "main") and bool(attributes) and marked(attributes))
-            if name == "header" and not any(self.name[i] in ("article", "main") for i in stack):
-                gone = True
+                if blocks and self.name[stack[blocks[-1]]] == "p":
+                    close(blocks[-1])
+                shut = CLOSES.get(name, ())
+                while (depth := max((top(places.get(x)) for x in shut), default=0)) > top(scopes):
+                    close(depth)
+            by_name = name in DROPPED or (name == "header" and not places.get("article") and not places.get("main"))
+            gone = 2 if by_name else int(name not in ("html", "body", "main") and bool(attributes) and marked(attributes))
             if name in BLOCK or gone:
                 flush()
-            i = len(self.name)
+            i, depth = len(self.name), len(stack)
             self.name.append(name)
             self.parent.append(stack[-1])
             self.first.append(len(self.runs))
@@ -151,9 +171,10 @@ class Page:
             if attributes.rstrip().endswith("/") and name in ("svg", "math"):
                 continue
             stack.append(i)
-            opened[name] = opened.get(name, 0) + 1
-            if name in BLOCK or gone:
-                block.append((i, len(stack) - 1))
+            places.setdefault(name, []).append(depth)
+            for held, belongs in ((blocks, name in BLOCK), (edges, name in BLOCK or gone), (kept, name in KEPT), (scopes, name in SCOPE)):
+                if belongs:
+                    held.append(depth)
             if name in RAW:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(source, pos)
                 if name in ("textarea", "title"):
@@ -163,99 +184,117 @@ class Page:
         for i in stack:
             self.last[i] = len(self.runs)
 
-    def main(self) -> tuple[list[tuple[int, int]], bool]:
-        """Ranges of runs of the main text, and if an article or main element tells them."""
+    def above(self, marks: list[bool]) -> list[bool]:
+        """Whether an element holds a marked one."""
+        out = [False] * len(marks)
+        for i in range(len(marks) - 1, 0, -1):
+            if marks[i] or out[i]:
+                out[self.parent[i]] = True
+        return out
+
+    def subtrees(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first runs, ends, hashes, places) of the block elements that may be templates."""
+        root = [x in ("article", "main") for x in self.name]
+        holds, inside = self.above(root), spread(root, self.parent)
+        raw = spread([x in UNSHOWN for x in self.name], self.parent)
+        at = [i for i in range(1, len(self.name)) if self.name[i] in BLOCK and self.name[i] not in KEPT and not holds[i] and not raw[i] and self.last[i] > self.first[i]]
+        first, last = np.array([self.first[i] for i in at], dtype=np.int64), np.array([self.last[i] for i in at], dtype=np.int64)
+        # The hash of a range of runs comes from sums over all before its ends, so nested elements cost nothing more.
+        POWERS.grow(len(self.runs) + 1)
+        each = np.array([xxhash.xxh64_intdigest(r.encode("utf-8", "replace")) for r in self.runs], dtype=np.uint64)
+        total = np.zeros(len(each) + 1, dtype=np.uint64)
+        np.cumsum(each * POWERS.up[: len(each)], out=total[1:])
+        kind = np.array([xxhash.xxh64_intdigest(self.name[i]) for i in at], dtype=np.uint64)
+        h = mix((total[last] - total[first]) * POWERS.down[first] + mix(kind + (last - first).astype(np.uint64)))
+        elsewhere = BESIDE if any(root) else ALONE
+        return first, last, h.view(np.int64), np.array([INSIDE if inside[i] else elsewhere for i in at], dtype=np.int8)
+
+    def main(self, alive: np.ndarray) -> np.ndarray:
+        """Which runs are the main text, of those that are ``alive``."""
         n = len(self.name)
-        strict = [False] * n  # inside an element that goes by its name
-        for i in range(1, n):
-            strict[i] = strict[self.parent[i]] or self.name[i] in DROPPED or (self.gone[i] and self.name[i] != "div" and self.name[i] != "section")
-        for kinds in (("article",), ("main",)):
-            roots = [i for i in range(1, n) if self.name[i] in kinds and not strict[i] and not self.commented(i)]
-            outer = [i for i in roots if not any(self.first[j] <= self.first[i] and self.last[i] <= self.last[j] and j < i and self.under(i, j) for j in roots)]
-            if outer and any(self.last[i] > self.first[i] for i in outer):
-                return self.cut([(self.first[i], self.last[i]) for i in outer], outer, True), True
-        return self.cut([(0, len(self.runs))], [0], False), False
-
-    def under(self, i: int, j: int) -> bool:
-        while i > j:
-            i = self.parent[i]
-        return i == j
-
-    def commented(self, i: int) -> bool:
-        """Whether an element above says that this is a reader's comment or the like and holds no other article."""
-        while i > 0:
-            if self.gone[i]:
-                return True
-            i = self.parent[i]
-        return False
-
-    def cut(self, ranges: list[tuple[int, int]], roots: list[int], sure: bool) -> list[tuple[int, int]]:
-        """The ranges without the elements that go."""
-        stay = np.zeros(len(self.runs) + 1, dtype=bool)
-        for a, b in ranges:
-            stay[a:b] = True
-        total = sum(map(len, self.runs))
-        for i in range(1, len(self.name)):
-            if self.gone[i] and i not in roots and self.last[i] > self.first[i] and not any(self.under(r, i) for r in roots if r > i):
-                if not sure and self.name[i] not in DROPPED and 2 * sum(map(len, self.runs[self.first[i] : self.last[i]])) > total:
-                    continue  # a wrapper of most of the page is no boilerplate, whatever its class
-                stay[self.first[i] : self.last[i]] = False
-        edge = np.flatnonzero(np.diff(stay.view(np.int8), prepend=np.int8(0)))
-        return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-
-
-def outline(source: str) -> tuple[list[str], list[int], list[int], list[int], bool]:
-    """(runs of the main text, hashes of its block subtrees, their first runs, their ends, if the main element is sure)."""
+        left = np.r_[0, np.cumsum(alive)]
+        by_rule, by_name = spread([g > 0 for g in self.gone], self.parent), spread([g > 1 for g in self.gone], self.parent)
+        tries = [("article", by_rule), ("main", by_rule), ("article", [by_name[i] or self.gone[i] > 0 for i in range(n)])]
+        for kind, barred in tries:
+            is_root = [self.name[i] == kind and not barred[i] and left[self.last[i]] > left[self.first[i]] for i in range(n)]
+            if any(is_root):
+                break
+        else:
+            is_root = [True] + [False] * (n - 1)
+        sure, inside = not is_root[0], spread(is_root, self.parent)
+        heading = self.above([self.name[i] == "h1" and not by_name[i] for i in range(n)]) if not sure else []
+        # 1 at the first run and -1 behind the last of each element that stays or goes.
+        stay, go = np.zeros(len(self.runs) + 1, dtype=np.int64), np.zeros(len(self.runs) + 1, dtype=np.int64)
+        for i in range(n):
+            if is_root[i]:
+                stay[self.first[i]] += 1
+                stay[self.last[i]] -= 1
+            # A class word does not take away what holds the page's heading: that is a wrapper.
+            elif inside[i] and self.gone[i] and (sure or self.gone[i] > 1 or not heading[i]):
+                go[self.first[i]] += 1
+                go[self.last[i]] -= 1
+        return alive & (np.cumsum(stay)[:-1] > 0) & (np.cumsum(go)[:-1] == 0)
+
+
+def extract_text(source: str, templates: np.ndarray) -> tuple[str, int]:
+    """(the main text, characters that ``templates``, a sorted array of hashes, removed from the page)."""
     page = Page(source)
-    ranges, sure = page.main()
-    number = np.full(len(page.runs) + 1, -1, dtype=np.int64)  # place among the kept runs
-    runs: list[str] = []
-    for a, b in ranges:
-        number[a:b] = len(runs) + np.arange(b - a)
-        runs += page.runs[a:b]
-    upto = np.r_[0, np.cumsum(number[:-1] >= 0)]
-    hashes, first, last, seen = [], [], [], set()
-    for i in range(1, len(page.name)):
-        name = page.name[i]
-        if name not in BLOCK or name in KEPT:
-            continue
-        a, b = int(upto[page.first[i]]), int(upto[page.last[i]])
-        if a == b or (a, b) in seen or (a == 0 and b == len(runs) and not sure and len(runs) > 1):
-            continue
-        seen.add((a, b))
-        hashes.append(xxhash.xxh64_intdigest("\n".join([name, *runs[a:b]]).encode("utf-8", "replace")) - (1 << 63))
-        first.append(a)
-        last.append(b)
-    return runs, hashes, first, last, sure
-
-
-OUTLINE = "page_id long, url string, host string, body long, runs array<string>, hashes array<long>, first array<int>, last array<int>, sure boolean"
-
-
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """Each page's host, a hash of its main text, and its outline."""
+    alive = np.ones(len(page.runs), dtype=bool)
+    if len(templates) and len(page.runs):
+        first, last, h, _ = page.subtrees()
+        hit = templates[np.minimum(np.searchsorted(templates, h), len(templates) - 1)] == h
+        edge = np.zeros(len(page.runs) + 1, dtype=np.int64)
+        np.add.at(edge, first[hit], 1)
+        np.add.at(edge, last[hit], -1)
+        alive = np.cumsum(edge)[:-1] == 0
+    removed = sum(len(page.runs[i]) for i in np.flatnonzero(~alive).tolist())
+    return " ".join(page.runs[i] for i in np.flatnonzero(page.main(alive)).tolist()), removed
+
+
+def columns(pages: DataFrame) -> list[Column]:
+    return [F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "html"):
-            found = [outline(x or "") for x in b.column(2).to_pylist()]
-            body = [xxhash.xxh64_intdigest("\n".join(x[0]).encode("utf-8", "replace")) - (1 << 63) for x in found]
-            kinds = [pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.bool_()]
-            cols = [pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)]
-            hosts = pa.array([host_of(u) for u in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), hosts, pa.array(body, pa.int64()), *cols], [x.split()[0] for x in OUTLINE.split(", ")])
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(run, OUTLINE)
+def host_column() -> Column:
+    """The host of ``url``, empty if it has none."""
+    host = F.lower(F.regexp_extract("url", HOST, 1))
+    return F.coalesce(F.regexp_replace(host, r"^www\.|\.+$", ""), F.lit(""))
 
 
-def templates(parsed: DataFrame, sure_pages: int = 10, sure_share: float = 0.8, pages: int = 3, share: float = 0.5) -> DataFrame:
-    """host and its list of template hashes."""
-    rows = parsed.where("host <> ''").select("host", "body", "sure", F.array_distinct("hashes").alias("hashes")).dropDuplicates(["host", "body"])
+def outlines(pages: DataFrame) -> DataFrame:
+    """host, a hash of the page's text, and the distinct hashes and places of its subtrees."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "html"):
+            body, counts, hashes, places = [], [], [], []
+            for source in b.column(1).to_pylist():
+                page = Page(source or "")
+                _, _, h, place = page.subtrees()
+                order = np.lexsort((-place, h))
+                known, at = np.unique(h[order], return_index=True)
+                body.append(xxhash.xxh64_intdigest("\n".join(page.runs).encode("utf-8", "replace")) - (1 << 63))
+                counts.append(len(known))
+                hashes.append(known)
+                places.append(place[order][at])
+            ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.int32())
+            flat = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x) if x else [], kind)) for x, kind in ((hashes, pa.int64()), (places, pa.int8()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(body, pa.int64()), *flat], ["host", "body", "hashes", "places"])
+
+    rows = pages.select(*columns(pages)).select(host_column().alias("host"), "html").where("host <> ''")
+    return rows.mapInArrow(run, "host string, body long, hashes array<long>, places array<tinyint>")
+
+
+def templates(pages: DataFrame, least: dict[int, tuple[int, float]] = LEAST) -> DataFrame:
+    """host and its list of template hashes; ``least`` has pages and share for each place."""
+    rows = materialize(outlines(pages).dropDuplicates(["host", "body"]), "outlines")
     size = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    count = rows.select("host", "sure", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"), F.bool_or("sure").alias("sure"))
-    least = F.when(F.col("sure"), F.greatest(F.lit(float(sure_pages)), F.col("pages") * sure_share)).otherwise(F.greatest(F.lit(float(pages)), F.col("pages") * share))
-    often = count.where(f"n >= {min(pages, sure_pages)}").join(size, "host").where(F.col("n") >= least)
-    return often.groupBy("host").agg(F.collect_list("hash").alias("gone"))
+    each = rows.select("host", F.explode(F.arrays_zip("hashes", "places")).alias("e")).select("host", F.col("e.hashes").alias("hash"), F.col("e.places").alias("place"))
+    count = each.groupBy("host", "hash").agg(F.count("*").alias("n"), F.max("place").alias("place"))
+    needed = F.lit(None).cast("double")
+    for place, (few, share) in least.items():
+        needed = F.when(F.col("place") == place, F.greatest(F.lit(float(few)), F.col("pages") * share)).otherwise(needed)
+    often = count.where(f"n >= {min(few for few, _ in least.values())}").join(size, "host").where(F.col("n") >= needed)
+    return often.groupBy("host").agg(F.array_sort(F.collect_list("hash")).alias("gone"))
 
 
 #: Template hashes up to this many (8 bytes each) are sent to all tasks; more are joined by a shuffle.
@@ -263,27 +302,21 @@ BROADCAST_HASHES = 500_000
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url and text of each page."""
-    parsed = materialize(parse_pages(pages), "outlines")
-    found = materialize(templates(parsed), "templates")
+    """page_id, url, text and template_chars (characters that templates removed) of each page."""
+    found = materialize(templates(pages), "templates")
     total = found.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
+    none = np.zeros(0, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for runs, hashes, first, last, gone in zip(*(b.column(k).to_pylist() for k in range(2, 7)), strict=True):
-                if gone:
-                    gone, out = set(gone), set()
-                    for h, a, z in zip(hashes, first, last, strict=True):
-                        if h in gone:
-                            out.update(range(a, z))
-                    runs = [r for i, r in enumerate(runs) if i not in out]
-                texts.append(" ".join(runs))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-    rows = parsed.join(F.broadcast(found) if total <= BROADCAST_HASHES else found, "host", "left")
-    return rows.select("page_id", "url", "runs", "hashes", "first", "last", "gone").mapInArrow(run, "page_id long, url string, text string")
+        for b in slices(batches, "html"):
+            gone = [none if x is None else np.array(x, dtype=np.int64) for x in b.column(3).to_pylist()]
+            out = [extract_text(s or "", t) for s, t in zip(b.column(2).to_pylist(), gone, strict=True)]
+            cols = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["page_id", "url", "text", "template_chars"])
+
+    rows = pages.select(*columns(pages)).withColumn("host", host_column()).join(F.broadcast(found) if total <= BROADCAST_HASHES else found, "host", "left")
+    return rows.select("page_id", "url", "html", "gone").mapInArrow(run, "page_id long, url string, text string, template_chars long")
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "template_chars")
