@@ -58,6 +58,22 @@ def drop_tables(spark: SparkSession, since: int = 0) -> None:
     del TABLES[since:]
 
 
+def column(name: str) -> Column:
+    """The column of just this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each with underscores until no column is called so."""
+    known, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in known:
+            name += "_"
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -2,8 +2,8 @@ import random
 
 import pytest
 
-EXTRA = {"th": "long", "node": "string", "bucket": "int", "shard": "string", "score": "string", "line": "int", "key": "long", "n_tokens": "string", "found": "int", "rows": "int"}
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{k} {v}" for k, v in EXTRA.items())
+EXTRA = {"th": "long", "node": "string", "bucket": "int", "shard": "string", "score": "string", "line": "int", "key": "long", "n_tokens": "string", "found": "int", "rows": "int", "rv_doc": "string", "rv_kept": "long", "rv_lines": "string", "rv_found": "int", "rv_d": "long", "rv_t": "long", "rv_h": "string", "rv_n": "int", "rv_lang": "int", "rv_score": "string", "id.x": "int"}
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{k}` {v}" for k, v in EXTRA.items())
 
 
 def prose(seed, n, words=400):

@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, line_dedup, near_duplicates, queries
 from rivulet.llm.components import components
@@ -24,12 +25,15 @@ def distance(a, b):
     return row[-1]
 
 
+BLANKS = " \t\v\f\r"
+
+
 def kept_lines(docs, min_chars=20, edits=1):
     """(doc_id, text) -> kept text, by comparing all lines."""
     first, order = {}, sorted({(d.doc_id is not None, d.doc_id or 0, d.text) for d in docs if d.text is not None}, key=lambda k: k[:2])
     for k in order:
         for n, line in enumerate(k[2].split("\n")):
-            if line.strip(" "):
+            if line.strip(BLANKS):
                 first.setdefault(line, (k, n))
     place = {line: i for i, line in enumerate(first)}
     gone = set()
@@ -37,7 +41,7 @@ def kept_lines(docs, min_chars=20, edits=1):
     for a, b in itertools.combinations(lines, 2):
         if abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1:
             gone.add(max(a, b, key=place.get))
-    return {(d.doc_id, d.text): None if d.text is None else "\n".join(x for n, x in enumerate(d.text.split("\n")) if not x.strip(" ") or (x not in gone and first[x] == ((d.doc_id is not None, d.doc_id or 0, d.text), n))) for d in docs}
+    return {(d.doc_id, d.text): None if d.text is None else "\n".join(x for n, x in enumerate(d.text.split("\n")) if not x.strip(BLANKS) or (x not in gone and first[x] == ((d.doc_id is not None, d.doc_id or 0, d.text), n))) for d in docs}
 
 
 def edited(rng, line):
@@ -52,12 +56,12 @@ def test_lines_equal_brute_force(make_docs, monkeypatch, block):
     pool = [prose(i, rng.randint(3, 12)) for i in range(25)] + ["aaaaaaaaaaaaaaaaaaaaaaaa", "abababababababababababab"]
     for _ in range(60):
         pool.append(edited(rng, rng.choice(pool)))
-    pool += ["short", "shorx", "", "  "]
+    pool += ["short", "shorx", "", "  ", "\t", " \t\r"]
     docs = make_docs([(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 6)))) for i in range(40)])
     want = kept_lines(docs.collect())
     got = line_dedup.line_dedup(docs).collect()
     assert {(r.doc_id, r.text) for r in got} == {(i, t) for (i, _), t in want.items()}
-    assert sum(r.rv_kept for r in got) < sum(r.rv_lines for r in got)
+    assert sum(r.rv_kept_ for r in got) < sum(r.rv_lines_ for r in got)
     exact = line_dedup.line_dedup(docs, max_edits=0).collect()
     assert {(r.doc_id, r.text) for r in exact} == {(i, t) for (i, _), t in kept_lines(docs.collect(), edits=0).items()}
     with pytest.raises(ValueError, match="max_edits"):
@@ -66,14 +70,31 @@ def test_lines_equal_brute_force(make_docs, monkeypatch, block):
 
 def test_odd_lines(odd, empty):
     out = line_dedup.line_dedup(odd)
-    assert out.columns == [*odd.columns, "rv_lines", "rv_kept"] and out.count() == odd.count()
+    assert out.columns == [*odd.columns, "rv_lines_", "rv_kept_"] and out.count() == odd.count()
     rows = out.collect()
+    assert all(r.rv_doc is None and r["id.x"] is None for r in rows)
     assert [r.text for r in rows if r.doc_id == 1] == [None]
-    assert [(r.text, r.rv_lines, r.rv_kept) for r in rows if r.doc_id == 4 and r.rv_lines == 2] == [("same text", 2, 1)] * 2
+    assert [(r.text, r.rv_lines_, r.rv_kept_) for r in rows if r.doc_id == 4 and r.rv_lines_ == 2] == [("same text", 2, 1)] * 2
     assert [r.text for r in rows if r.doc_id == 5] == [LONG]
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_documents_of_one_id_stay_apart(spark, doc_id):
+    # Lines of three hashes share nothing; eight digits of a hash would collide 50 times among so many documents.
+    line = F.concat_ws(" ", *[F.sha1(F.concat(F.lit(salt), F.col("id").cast("string"))) for salt in "abc"])
+    docs = spark.range(100_000).select(F.lit(doc_id).cast("long").alias("doc_id"), line.alias("text"))
+    out = line_dedup.line_dedup(docs)
+    found = out.agg(F.count("*"), F.countDistinct("text"), F.sum("rv_lines"), F.sum("rv_kept")).first()
+    assert tuple(found) == (100_000,) * 4
+    assert out.join(docs, "text", "left_anti").count() == 0
+
+
+def test_names_that_are_taken(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x"), (2, "a b", 6, "y")], "doc_id long, text string, rv_kept int, `a.b` string")
+    assert sorted(map(tuple, line_dedup.line_dedup(docs, added=("n", "k")).collect())) == [(1, "a b", 5, "x", 1, 1), (2, "", 6, "y", 1, 0)]
+
+
 def test_op1_equals_sql(spark, data):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{data}/documents.parquet')")
