@@ -10,14 +10,26 @@ of each bin is kept.  An item and a document are candidates if they share the
 least of a bin; candidates are verified by exact containment: the share of the
 item's distinct shingles that the document has.
 
-The items' minima are also put into a Bloom filter of fixed size that all tasks
-get.  A shingle outside it is no item's minimum, so windows without a hit need
-no sketch.  The benchmark itself is joined, not broadcast: it may grow.
-
-Cases: null texts, and items of fewer than five words, have no shingles and
-match nothing; repeated rows are found once; equal ids with other texts are
-kept apart; null ids of documents and of items are ids like others; an empty table on either side gives an empty result; other columns
-of the inputs are ignored.
+Many items may share a passage (an instruction, a first sentence), and then each
+document with it would be a candidate of each of them.  So an item is sketched by
+its rare shingles only.  A document with the share t of an item's n shingles has one
+at least of any n - ceil(t n) + 1 of them; these are taken by frequency among the
+items, the rarest first, and with them all others as rare as the last.  So no match
+is lost by the choice, and a passage of many items makes none of them a candidate
+unless most of an item consists of such passages.
+
+All item shingles are also put into a Bloom filter of bounded size that all tasks
+get.  A shingle outside it is in no item, so a document is left with what it shares
+with the benchmark, and only that is joined.  The benchmark itself is joined, not
+broadcast: it may grow.
+
+An item of one to four words has no five-word shingle; it is found where its words
+occur one after the other.
+
+Cases: null texts and texts without a word match nothing; repeated rows are found
+once; equal ids with other texts are kept apart; null ids of documents and of items
+are ids like others; an empty table on either side gives an empty result; other
+columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +48,8 @@ from .shingles import WORDS, mix, shingles
 THRESHOLD = 0.8
 BINS = 64
 PROBES = 3
-PROBE_BITS = 20
+#: Bits of the filter for each probe, as a power of two: the least and the most (a megabyte, packed).
+LEAST_BITS, MOST_BITS = 20, 23
 
 
 def size_class(n: int) -> int:
@@ -52,56 +65,59 @@ def values(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes + np.uint64(0x5851F42D4C957F2D))
 
 
-def minima(v: np.ndarray) -> np.ndarray:
-    """The least value of each bin that has any."""
-    v = np.unique(v)
-    return v[np.r_[True, (v[1:] >> np.uint64(58)) != (v[:-1] >> np.uint64(58))]] if len(v) else v
-
-
-def probes(v: np.ndarray) -> np.ndarray:
-    """Bits of the Bloom filter: PROBES x values."""
-    return np.stack([(v >> np.uint64(PROBE_BITS * j % 44)).astype(np.int64) & ((1 << PROBE_BITS) - 1) for j in range(PROBES)])
+def probe(v: np.ndarray, j: int, size: int) -> np.ndarray:
+    return (v >> np.uint64(20 * j)).astype(np.int64) & ((1 << size) - 1)
 
 
 def hits(v: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Indexes of values that may be an item's minimum."""
-    at = np.arange(len(v))
+    """Indexes of values that may be an item's."""
+    at, size = np.arange(len(v)), bits.shape[1].bit_length() - 1
     for j in range(PROBES):
-        p = (v[at] >> np.uint64(PROBE_BITS * j % 44)).astype(np.int64) & ((1 << PROBE_BITS) - 1)
-        at = at[bits[j, p]]
+        at = at[bits[j, probe(v[at], j, size)]]
     return at
 
 
-def shingled(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, shingles of each text); texts under five words have none."""
-    h, n, _, count = shingles([t or "" for t in texts])
-    short = count < WORDS
-    if (short & (n > 0)).any():
-        h = h[~np.repeat(short, n)]
-        n = np.where(short, 0, n)
-    return h, n
+def run_values(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all runs of so many words, runs of each text)."""
+    h, n, _, count = shingles([t or "" for t in texts], words)
+    fewer = count < words
+    if (fewer & (n > 0)).any():
+        h = h[~np.repeat(fewer, n)]
+        n = np.where(fewer, 0, n)
+    return values(h), n
 
 
-def sketch_items(items: DataFrame) -> DataFrame:
-    """item_id, ih (a hash of the text), u, distinct shingles (binary) and the minima of the bins."""
+def item_sets(items: DataFrame) -> DataFrame:
+    """item_id, ih (a hash of the text), u (the partition; minus the number of words, if that is less than five) and its distinct values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
-            h, n = shingled(b.column(2).to_pylist())
-            sets = [np.unique(x) for x in np.split(h, np.cumsum(n)[:-1])]
-            u = [size_class(len(s)) if len(s) else 0 for s in sets]
-            cols = [pa.array(u, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([minima(values(s)).view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["item_id", "ih", "u", "shingles", "keys"])
+            h, n, _, count = shingles([t or "" for t in b.column(2).to_pylist()])
+            sets = [np.unique(x) for x in np.split(values(h), np.cumsum(n)[:-1])]
+            u = [0 if c == 0 else -c if c < WORDS else size_class(len(s)) for s, c in zip(sets, count.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(u, pa.int64()), pa.array([s.view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))], ["item_id", "ih", "u", "own"])
 
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), text_hash().alias("ih"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "item_id long, ih long, u long, shingles binary, keys array<long>").where("u > 0").dropDuplicates(["item_id", "ih"])
-
-
-def bloom(keys: DataFrame) -> np.ndarray:
-    """The items' filter; its size is fixed, and so is what comes to the driver."""
-    words = 1 << (PROBE_BITS - 6)
-    bit = [F.shiftrightunsigned("key", PROBE_BITS * j % 44).bitwiseAND((1 << PROBE_BITS) - 1) + (j << PROBE_BITS) for j in range(PROBES)]
-    spread = keys.select(F.explode(F.array(*bit)).alias("bit"))
+    return rows.mapInArrow(run, "item_id long, ih long, u long, own array<long>").where("u <> 0").dropDuplicates(["item_id", "ih"])
+
+
+def sketch_items(sets: DataFrame, threshold: float) -> DataFrame:
+    """ik, u and key: the least values of the bins of each item's rare shingles."""
+    each = sets.select("ik", "u", F.size("own").alias("n"), F.explode("own").alias("v"))
+    often = each.join(each.groupBy("v").agg(F.count("*").alias("items")), "v")
+    needed = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    bound = often.groupBy("ik", "n").agg(F.sort_array(F.collect_list("items")).alias("f")).select("ik", F.get("f", needed - 1).alias("most"))
+    rare = often.join(bound, "ik").where("items <= most")
+    return rare.groupBy("ik", "u", F.shiftrightunsigned("v", 58).alias("bin")).agg(F.min("v").alias("key")).select("ik", "u", "key")
+
+
+def bloom(v: DataFrame) -> np.ndarray:
+    """The filter of all values of items; its size is bounded, and so is what comes to the driver."""
+    n = v.count()
+    size = min(MOST_BITS, max(LEAST_BITS, (8 * n).bit_length()))
+    words = 1 << (size - 6)
+    bit = [F.shiftrightunsigned("v", 20 * j).bitwiseAND((1 << size) - 1) + (j << size) for j in range(PROBES)]
+    spread = v.select(F.explode(F.array(*bit)).alias("bit"))
     rows = spread.select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("one")).groupBy("word").agg(F.bit_or("one").alias("bits")).collect()
     out = np.zeros(PROBES * words, dtype=np.int64)
     for r in rows:
@@ -129,66 +145,63 @@ def window_minima(v: np.ndarray, at: np.ndarray, u: int) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, bits: np.ndarray, partitions: list[int]) -> DataFrame:
-    """doc_id, th, u and key: bin minima of the documents' windows that may be an item's."""
+    """doc_id, th, us and keys (bin minima of the documents' windows, for each partition) and own: the values that may be items'.
+
+    Documents without such a value have no row.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sizes, widths = [u for u in partitions if u > 0], [-u for u in partitions if u < 0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 2 << 20):
-            h, n = shingled(b.column(2).to_pylist())
-            v = values(h)
-            found, ends = hits(v, sent.value), np.cumsum(n)
-            doc = np.searchsorted(ends, found, side="right")
-            rows, us, keys = [], [], []
-            for d in np.unique(doc).tolist():
-                a = int(ends[d] - n[d])
-                own, at = v[a : int(ends[d])], found[doc == d] - a
-                for u in partitions:
-                    k = np.unique(own[window_minima(own, at, u)])
-                    rows.append(np.full(len(k), d))
-                    us.append(np.full(len(k), u))
-                    keys.append(k.view(np.int64))
-            if rows:
-                take = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(keys), pa.int64())], ["doc_id", "th", "u", "key"])
+            texts = b.column(2).to_pylist()
+            found: dict[int, tuple[list, list, list]] = {}
+            for words in ([WORDS] if sizes else []) + widths:
+                v, n = run_values(texts, words)
+                at, ends = hits(v, sent.value), np.cumsum(n)
+                doc = np.searchsorted(ends, at, side="right")
+                edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else doc
+                for first, last in zip(edges.tolist(), [*edges[1:].tolist(), len(doc)], strict=True) if len(doc) else ():
+                    d = int(doc[first])
+                    a, here = int(ends[d] - n[d]), at[first:last]
+                    whole = v[a : int(ends[d])]
+                    us, keys, own = found.setdefault(d, ([], [], []))
+                    own.append(np.unique(v[here]))
+                    for u in sizes if words == WORDS else [-words]:
+                        k = np.unique(whole[window_minima(whole, here - a, u)]) if u > 0 else own[-1]
+                        us.append(np.full(len(k), u))
+                        keys.append(k.view(np.int64))
+            if found:
+                take = pa.array(list(found))
+                lists = [[np.concatenate(x[k]).astype(np.int64, copy=False) if k < 2 else np.concatenate(x[k]).view(np.int64) for x in found.values()] for k in range(3)]
+                cols = [pa.array([y.tolist() for y in x], pa.list_(pa.int64())) for x in lists]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *cols], ["doc_id", "th", "us", "keys", "own"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, th long, u long, key long")
+    return rows.mapInArrow(run, "doc_id long, th long, us array<long>, keys array<long>, own array<long>")
 
 
-def contained(candidates: DataFrame) -> DataFrame:
-    """Candidates (with text and shingles) and their exact containment."""
-    schema = "doc_id long, th long, item_id long, n_shared long, n_item long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, own = None, np.zeros(0, np.uint64)
-        for b in batches:
-            shared, size = [], []
-            for doc_id, th, text, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3), b.column(4).to_pylist(), strict=True):
-                if held != (doc_id, th):
-                    held, own = (doc_id, th), np.unique(shingled([text.as_py()])[0])
-                item = np.frombuffer(raw, dtype=np.uint64)
-                shared.append(len(np.intersect1d(own, item, assume_unique=True)))
-                size.append(len(item))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(shared, pa.int64()), pa.array(size, pa.int64())], ["doc_id", "th", "item_id", "n_shared", "n_item"])
-
-    return candidates.select("doc_id", "th", "item_id", "text", "shingles").mapInArrow(run, schema)
+def candidates(sketches: DataFrame, keys: DataFrame) -> DataFrame:
+    """dk and ik of the documents and items that share the least of a bin."""
+    spread = sketches.select("dk", F.explode(F.arrays_zip("us", "keys")).alias("k")).select("dk", F.col("k.us").alias("u"), F.col("k.keys").alias("key"))
+    return spread.join(keys, ["u", "key"]).select("dk", "ik").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, th, item_id, n_shared, n_item and containment of every match."""
-    sketched = materialize(sketch_items(items), "items")
-    partitions = sorted(r[0] for r in sketched.select("u").distinct().collect())  # as many as the sizes' logarithm
-    keys = sketched.select("item_id", "ih", "u", F.explode("keys").alias("key"))
-    found = sketch_documents(docs, bloom(keys), partitions)
-    candidates = materialize(found.join(keys, ["u", "key"]).select("doc_id", "th", "item_id", "ih").distinct(), "candidates")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text"))
-    wanted = candidates.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct()
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["d"]) & (rows["th"] == wanted["t"]), "left_semi").dropDuplicates(["doc_id", "th"])
-    pairs = candidates.withColumnRenamed("doc_id", "d").join(texts, F.col("d").eqNullSafe(F.col("doc_id")) & (candidates["th"] == texts["th"])).select("doc_id", texts["th"], "item_id", "ih", "text")
-    own = sketched.select(F.col("item_id").alias("i"), F.col("ih").alias("t"), "shingles")
-    both = pairs.join(own, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("ih") == F.col("t")))
-    share = F.col("n_shared") / F.col("n_item")
-    return contained(both).withColumn("containment", share).where(F.col("containment") >= threshold)
+    number = F.monotonically_increasing_id()
+    sets = materialize(item_sets(items).withColumn("ik", number), "items")
+    partitions = sorted(r[0] for r in sets.select("u").distinct().collect())  # as many as the sizes' logarithm
+    keys = materialize(sketch_items(sets, threshold), "item-keys")
+    bits = bloom(sets.select(F.explode("own").alias("v")).distinct())
+    sketches = materialize(sketch_documents(docs, bits, partitions).dropDuplicates(["doc_id", "th"]).withColumn("dk", number), "sketches")
+    pairs = materialize(candidates(sketches, keys), "candidates")
+    # Of each candidate's item the values, and of these the ones that the document has.
+    wanted = pairs.join(sets.select("ik", F.explode("own").alias("v")), "ik")
+    shared = wanted.join(sketches.select("dk", F.explode("own").alias("v")), ["dk", "v"]).groupBy("dk", "ik").agg(F.count("*").alias("n_shared"))
+    size = F.size("own").cast("long")
+    found = shared.join(sets.select("ik", "item_id", size.alias("n_item")), "ik").withColumn("containment", F.col("n_shared") / F.col("n_item"))
+    return found.where(F.col("containment") >= threshold).join(sketches.select("dk", "doc_id", "th"), "dk").select("doc_id", "th", "item_id", "n_shared", "n_item", "containment")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
