@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,30 +100,52 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
 
 
 MOST_BUCKETS = 1 << 16
+#: Bounds are quantiles of about so many keys at most.
+BOUND_SAMPLE = 1 << 21
+#: Stands for null: it comes first.
+LEAST_KEY = -(1 << 63)
 
 
 def bucket_bounds(df: DataFrame, key: str, rows_per_bucket: int) -> np.ndarray:
     """Bounds that part rows into buckets of about ``rows_per_bucket`` (more, beyond 65,536 buckets).
 
     They are approximate quantiles of the key alone, so finding them reads one
-    narrow column; a key with more than a bucket's worth of rows is there more
-    than once.
+    narrow column; beyond two million rows, of a sample of so many, which one task
+    can hold however large the table is.  A key with more than a bucket's worth of
+    rows is there more than once, null (as the least) like any other.  Bounds say
+    where rows go and change no result that is not about place.
     """
     n = df.select(key).count()
     buckets = min(MOST_BUCKETS, -(-n // rows_per_bucket))
     if buckets < 2:
         return np.zeros(0, dtype=np.int64)
+    keys = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LEAST_KEY)).alias("k"))
+    if n > BOUND_SAMPLE:
+        keys = keys.sample(BOUND_SAMPLE / n, seed=7)
     at = [i / buckets for i in range(1, buckets)]
-    found = df.select(F.percentile_approx(F.col(key).cast("long"), at, 10 * buckets)).first()[0]
+    found = keys.select(F.percentile_approx("k", at, 10 * buckets)).first()[0]
     return np.sort(np.array(found or [], dtype=np.int64))
 
 
-def buckets_of(bounds: np.ndarray, keys: pa.Array, texts: list[str]) -> np.ndarray:
-    """Each row's bucket: ascending with the key, null first; rows of a key with several are dealt by their text."""
-    known = np.asarray(pc.fill_null(keys, 0), dtype=np.int64)
-    out = np.searchsorted(bounds, known, side="left")
-    several = np.searchsorted(bounds, known, side="right") - out
-    for i in np.flatnonzero(several > 1).tolist():
-        out[i] += zlib.crc32(texts[i].encode("utf-8", "replace")) % several[i]
-    out[np.asarray(pc.is_null(keys))] = 0
-    return out
+class Buckets:
+    """Deals the rows of one task to buckets that ascend with the key, null first.
+
+    Rows of a key with several buckets are dealt over them by their text; rows that
+    are equal in key and text go round from there.  The n-th equal row of a task goes
+    to the same bucket whichever of them it is, so a task that runs again deals alike.
+    """
+
+    def __init__(self, bounds: np.ndarray) -> None:
+        context = TaskContext.get()
+        self.bounds, self.seen = bounds, {}
+        self.shift = 7919 * context.partitionId() if context else 0
+
+    def of(self, keys: pa.Array, texts: list[str]) -> np.ndarray:
+        known = np.asarray(pc.fill_null(keys, LEAST_KEY), dtype=np.int64)
+        out = np.searchsorted(self.bounds, known, side="left")
+        several = np.searchsorted(self.bounds, known, side="right") - out
+        for i in np.flatnonzero(several > 1).tolist():
+            row = (int(known[i]), xxhash.xxh64_intdigest(texts[i].encode("utf-8", "replace")))
+            nth = self.seen[row] = self.seen.get(row, -1) + 1
+            out[i] += (row[1] + (nth + self.shift if nth else 0)) % int(several[i])
+        return out

@@ -10,7 +10,8 @@ a constant time.
 
 A bucket of consecutive documents is packed in one task, in blocks: the last
 window of a block is opened again in the next one, so only a bucket's last
-window is padded for want of documents.
+window is padded for want of documents, and a bucket's size does not bound memory.
+Rows that share an id (or have none) are dealt over as many buckets as they fill.
 
 Cases: a null text is an empty one and has the end id alone; a null doc_id is
 first; repeated rows are packed each; documents of any length are cut; an empty
@@ -28,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_bounds, buckets_of, partitions_of, slices, table, text_or_empty
-from .words import encoder
+from .common import Buckets, bucket_bounds, partitions_of, slices, table, text_or_empty
+from .words import encoder, id_space, id_type
 
 SIZE = 1024
 SENTENCE_PENALTY = 2
@@ -39,15 +40,16 @@ BLOCK = 1 << 19
 
 
 def tokenized(docs: DataFrame, path: str, cut: str, end_id: int, rows_per_bucket: int) -> DataFrame:
-    """bucket, doc_id, n_tokens, crc and ids (little-endian, 16 bits) of each document and its end id."""
+    """bucket, doc_id, n_tokens, crc and ids (little-endian, of the vocabulary's ``id_type``) of each document and its end id."""
     bounds = docs.sparkSession.sparkContext.broadcast(bucket_bounds(docs, "doc_id", rows_per_bucket))
+    kind = id_type(max(id_space(path), end_id + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, cut)
+        enc, dealt = encoder(path, cut), Buckets(bounds.value)
         for b in slices(batches, "text", 2 << 20):
             texts = b.column(1).to_pylist()
-            ids = [np.append(x, np.uint16(end_id)).astype("<u2") for x in enc.encode(texts)]
-            bucket = pa.array(buckets_of(bounds.value, b.column(0), texts), pa.int32())
+            ids = [np.append(x, np.array(end_id, dtype=kind)).astype(kind, copy=False) for x in enc.encode(texts)]
+            bucket = pa.array(dealt.of(b.column(0), texts), pa.int32())
             cols = [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays([bucket, b.column(0), *cols], ["bucket", "doc_id", "n_tokens", "crc", "ids"])
 
@@ -138,19 +140,17 @@ class Packer:
         return out
 
 
-SENTENCE_ENDS: dict[tuple[str, str], np.ndarray] = {}
+SENTENCE_ENDS: dict[tuple[str, str, int], np.ndarray] = {}
 
 
-def sentence_ends(path: str, cut: str) -> np.ndarray:
-    """For each id, whether its string ends a sentence or a line."""
-    if (path, cut) not in SENTENCE_ENDS:
+def sentence_ends(path: str, cut: str, end_id: int) -> np.ndarray:
+    """For each id up to the end id at least, whether its string ends a sentence or a line."""
+    if (path, cut, end_id) not in SENTENCE_ENDS:
         tokenizer = encoder(path, cut).tokenizer
-        shown = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+        shown = [tokenizer.id_to_token(i) or "" for i in range(max(id_space(path), end_id + 1))]
         line = encoder(path, cut).letters[10]
-        out = np.zeros(1 << 16, dtype=bool)
-        out[: len(shown)] = [s.endswith((".", "!", "?", "…", line)) for s in shown]
-        SENTENCE_ENDS[path, cut] = out
-    return SENTENCE_ENDS[path, cut]
+        SENTENCE_ENDS[path, cut, end_id] = np.array([s.endswith((".", "!", "?", "…", line)) for s in shown], dtype=bool)
+    return SENTENCE_ENDS[path, cut, end_id]
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -159,6 +159,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 def pack_documents(docs: DataFrame, path: str, cut: str = "byte", end_id: int = 0, size: int = SIZE, rows_per_bucket: int = 1024) -> DataFrame:
     """One row per piece of a document; a sequence's number has its bucket in the upper 32 bits."""
     names = [x.split()[0] for x in PIECES.split(", ")]
+    kind = id_type(max(id_space(path), end_id + 1))
 
     def batch(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
         cols = [list(x) for x in zip(*rows, strict=True)]
@@ -166,7 +167,7 @@ def pack_documents(docs: DataFrame, path: str, cut: str = "byte", end_id: int =
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = sentence_ends(path, cut)
+        ends = sentence_ends(path, cut, end_id)
         at, packer = None, None
         for b in batches:
             for k, doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4), strict=True):
@@ -174,7 +175,7 @@ def pack_documents(docs: DataFrame, path: str, cut: str = "byte", end_id: int =
                     if packer and (rows := packer.pack(last=True)):
                         yield batch(at, rows)
                     at, packer = k, Packer(ends, size)
-                if rows := packer.add(doc_id, np.frombuffer(raw.as_buffer(), dtype="<u2")):
+                if rows := packer.add(doc_id, np.frombuffer(raw.as_buffer(), dtype=kind)):
                     yield batch(at, rows)
         if packer and (rows := packer.pack(last=True)):
             yield batch(at, rows)

@@ -124,13 +124,14 @@ class PrefixCounter:
     def count(self, texts: list[str]) -> list[np.ndarray]:
         """For each text, the changes of the count: first its leading space's, then each code point's."""
         shown = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-        chars = np.frombuffer("".join(shown).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        joined = "".join(shown)
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         ends = np.cumsum([len(s) for s in shown])
         if not len(chars):
             return [np.zeros(0, dtype=np.int8) for _ in texts]
         start, end = self.cut(chars)
         edges = np.union1d(start, ends[ends < len(chars)])  # a text's last word may seem to go on in the next
-        values, _ = self.memo.values(chars, edges, np.r_[edges[1:], len(chars)])
+        values, _ = self.memo.values(joined, chars, edges, np.r_[edges[1:], len(chars)])
         return np.split(values, ends[:-1])
 
 

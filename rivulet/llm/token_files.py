@@ -1,8 +1,9 @@
 """Token files compressed by Re-Pair grammars, one grammar a shard.
 
 A shard holds consecutive documents of a bucket.  Its ids are compressed by
-replacing frequent pairs with nonterminals, round after round.  A round takes
-pairs in descending order of frequency as long as no symbol is the right side
+replacing frequent pairs with nonterminals, round after round, until no pair is
+there ``LEAST_COUNT`` times any more: fewer do not pay for their rule.  A round
+takes pairs in descending order of frequency as long as no symbol is the right side
 of one and the left side of another: occurrences of such pairs never overlap,
 so replacing them together equals replacing them one after the other.  A pair
 of equal symbols is taken from the left of each run.  No pair spans two
@@ -11,10 +12,13 @@ documents.
 The file of a shard stores the rules, the expansion length of each nonterminal,
 the compressed symbols and where each document begins in them.  With the
 lengths, any range of a document's ids is found and decoded without expanding
-what precedes it.
+what precedes it.  Symbols and lengths have as many bits as the greatest needs, so
+vocabularies and grammars of any size fit; nonterminals are numbered from the first
+number that is no id.
 
-Files are kept as binary values of a Parquet table in the shared folder, so
-they are written by Spark's commit protocol and any executor can read them.
+Files are kept as binary values of a Parquet table in the shared folder,
+so they are written by Spark's commit protocol and any executor can read them; each
+value is a file by itself, which ``TokenFile`` opens without the others.
 
 Cases: a null text is an empty one and has the end id alone; a null doc_id is
 first; repeated rows are written each; a document longer than a shard is a
@@ -35,59 +39,48 @@ from pyspark.sql.window import Window
 
 from .common import materialize, table
 from .packing import in_order, tokenized
+from .words import id_space, id_type
 
 MAGIC = b"RVRP"
+VERSION = 2
 SHARD_IDS = 1 << 20
-FIRST_RULE = 49408
-MOST_RULES = (1 << 16) - FIRST_RULE
-MOST_ROUNDS = 24
-LEAST_COUNT = 6
-LEAST_GAIN = 0.004
+LEAST_COUNT = 4
 
 
-def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int = FIRST_RULE, most_rules: int = MOST_RULES, most_rounds: int = MOST_ROUNDS, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, compressed symbols, indexes of documents' last symbols).
 
-    ``doc_last`` has the index of each document's last id.  All symbols must be
-    below 2**16, nonterminals included.
+    ``doc_last`` has the index of each document's last id; ids are below ``first_rule``.
     """
-    seq = ids.astype(np.uint16)
+    seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), dtype=bool)
     last[doc_last] = True
-    rules: list[tuple[int, int]] = []
-    for _ in range(most_rounds):
-        if len(seq) < 2 or len(rules) >= most_rules:
-            break
-        key = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
-        free = ~last[:-1]
-        ordered = np.sort(key[free])
-        if not len(ordered):
-            break
-        edge = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    rules, n_rules = [np.zeros(0, dtype=np.uint64)], 0
+    while len(seq) > 1:
+        key = seq[:-1].astype(np.uint64)
+        key <<= np.uint64(32)
+        key |= seq[1:]
+        ends = np.flatnonzero(last[:-1])
+        ordered = np.sort(np.delete(key, ends))
+        edge = np.r_[np.zeros(min(1, len(ordered)), dtype=np.int64), np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]
         count = np.diff(np.r_[edge, len(ordered)])
         often = np.flatnonzero(count >= least)
+        if not len(often):
+            break
         # Most frequent first, equal counts in order of the pair.
-        often = often[np.argsort(-count[often], kind="stable")]
-        left, right = np.zeros(1 << 16, dtype=bool), np.zeros(1 << 16, dtype=bool)
-        chosen: list[int] = []
-        room = most_rules - len(rules)
-        for k in ordered[edge[often]].tolist():
-            a, b = k >> 16, k & 0xFFFF
-            if right[a] or left[b] or (a == b and (left[a] or right[b])):
+        pairs = ordered[edge[often[np.argsort(-count[often], kind="stable")]]]
+        left, right, chosen = bytearray(first_rule + n_rules), bytearray(first_rule + n_rules), []
+        for i, (a, b) in enumerate(zip((pairs >> np.uint64(32)).tolist(), (pairs & np.uint64(0xFFFFFFFF)).tolist(), strict=True)):
+            # Nothing else may touch the runs of a pair of equal symbols.
+            if right[a] or left[b] or (a == b and (left[a] or right[a])):
                 continue
-            if a == b:  # nothing else may touch its runs
-                if left[a] or right[a]:
-                    continue
-                left[a] = right[a] = True
-            else:
-                left[a] = right[b] = True
-            chosen.append(k)
-            if len(chosen) == room:
-                break
-        if not chosen:
-            break
-        at = np.flatnonzero(left[seq[:-1]] & right[seq[1:]] & free)
-        found = np.sort(np.array(chosen, dtype=np.uint32))
+            left[a] = right[b] = 1
+            chosen.append(i)
+        found = np.sort(pairs[chosen])
+        is_left, is_right = np.frombuffer(left, dtype=bool)[seq], np.frombuffer(right, dtype=bool)[seq]
+        may = is_left[:-1] & is_right[1:]
+        may[ends] = False
+        at = np.flatnonzero(may)
         place = np.minimum(np.searchsorted(found, key[at]), len(found) - 1)
         hit = found[place] == key[at]
         at, place = at[hit], place[hit]
@@ -96,31 +89,43 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int = FIRST_RULE,
         start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - start) % 2 == 0
         at, place = at[take], place[take]
-        seq = seq.copy()
-        seq[at] = first_rule + len(rules) + place
+        seq[at] = first_rule + n_rules + place
         last[at] = last[at + 1]
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
-        gain = len(at) / len(seq)
         seq, last = seq[keep], last[keep]
-        rules += [(k >> 16, k & 0xFFFF) for k in found.tolist()]
-        if gain < LEAST_GAIN:
-            break
-    return np.array(rules, dtype=np.uint16).reshape(-1, 2), seq, np.flatnonzero(last)
+        rules.append(found)
+        n_rules += len(found)
+    flat = np.concatenate(rules)
+    return np.stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), seq, np.flatnonzero(last)
+
+
+def depths(rules: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
+    """(how many rules deep, how many ids long) each nonterminal is."""
+    deep, long = [], []
+    for a, b in rules.tolist():
+        x, y = a - first_rule, b - first_rule
+        deep.append(1 + max(deep[x] if x >= 0 else 0, deep[y] if y >= 0 else 0))
+        long.append((long[x] if x >= 0 else 1) + (long[y] if y >= 0 else 1))
+    return np.array(deep, dtype=np.int64), np.array(long, dtype=np.int64)
 
 
 class Grammar:
-    """Expansions of all symbols."""
+    """Expansions of all nonterminals, those less deep first."""
 
     def __init__(self, rules: np.ndarray, first_rule: int) -> None:
         self.first_rule = first_rule
-        flat: list[np.ndarray] = []
-        one = lambda s: flat[s - first_rule] if s >= first_rule else np.array([s], dtype=np.uint16)
-        for a, b in rules.tolist():
-            flat.append(np.concatenate([one(a), one(b)]))
-        self.lengths = np.array([len(x) for x in flat], dtype=np.int64)
-        self.data = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint16)
-        self.offset = np.cumsum(self.lengths) - self.lengths
+        deep, self.lengths = depths(rules, first_rule)
+        self.offset = np.zeros(len(rules), dtype=np.int64)
+        self.data = np.zeros(int(self.lengths.sum()), dtype=np.uint32)
+        at = 0
+        for d in range(1, int(deep.max(initial=0)) + 1):
+            here = np.flatnonzero(deep == d)
+            size = self.lengths[here]
+            self.offset[here] = at + np.cumsum(size) - size
+            flat = self.expand(rules[here].reshape(-1))
+            self.data[at : at + len(flat)] = flat
+            at += len(flat)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         rule = symbols.astype(np.int64) - self.first_rule
@@ -128,7 +133,7 @@ class Grammar:
         length = np.ones(len(symbols), dtype=np.int64)
         length[inner] = self.lengths[rule[inner]]
         ends = np.cumsum(length)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint16)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
         begin = ends - length
         out[begin[~inner]] = symbols[~inner]
         n = length[inner]
@@ -138,29 +143,66 @@ class Grammar:
         return out
 
 
-def write_file(doc_ids: list[int | None], ids: list[np.ndarray], first_rule: int = FIRST_RULE) -> bytes:
-    """Magic, sizes, checksum of the rest; rules; lengths; symbols; per document its id, whether it is null, first symbol, tokens."""
+def bits_for(most: int) -> int:
+    return max(1, int(most).bit_length())
+
+
+def packed_bytes(n: int, bits: int) -> int:
+    return 8 * (-(-n * bits // 64) + 1)
+
+
+def pack_bits(x: np.ndarray, bits: int) -> bytes:
+    """Numbers of ``bits`` (at most 32) bits one after the other, in 64-bit words and one word more."""
+    out = np.zeros(packed_bytes(len(x), bits) // 8, dtype="<u8")
+    if len(x):
+        place = np.arange(len(x), dtype=np.int64) * bits
+        word, shift, x = place >> 6, (place & 63).astype(np.uint64), x.astype(np.uint64)
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        out[word[first]] = np.add.reduceat(x << shift, first)
+        over = np.flatnonzero(shift + np.uint64(bits) > 64)
+        out[word[over] + 1] += x[over] >> (np.uint64(64) - shift[over])
+    return out.tobytes()
+
+
+def unpack_bits(words: np.ndarray, first: int, last: int, bits: int) -> np.ndarray:
+    """Numbers ``first`` to ``last`` (excluded) of those packed in 64-bit words."""
+    place = np.arange(first, last, dtype=np.int64) * bits
+    word, shift = place >> 6, (place & 63).astype(np.uint64)
+    low = words[word] >> shift
+    # A shift by 64 is not defined, so by one and then by 63 at most.
+    high = words[word + 1] << np.uint64(1) << (np.uint64(63) - shift)
+    return ((low | high) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+
+
+HEAD = "<4sHBBIIQQI"
+
+
+def write_file(doc_ids: list[int | None], ids: list[np.ndarray], first_rule: int, least: int = LEAST_COUNT) -> bytes:
+    """Magic, version, bits of symbols and of lengths, sizes, checksum of the rest; rules; lengths; symbols; per document its id, whether it is null, first symbol, tokens."""
     size = np.array([len(x) for x in ids], dtype=np.int64)
-    joined = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint16)
-    rules, symbols, last = repair(joined, np.cumsum(size) - 1, first_rule)
-    lengths = Grammar(rules, first_rule).lengths
+    joined = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
+    if len(joined) and int(joined.max()) >= first_rule:
+        raise ValueError(f"id {int(joined.max())} is not below {first_rule}")
+    rules, symbols, last = repair(joined, np.cumsum(size) - 1, first_rule, least)
+    lengths = depths(rules, first_rule)[1]
+    wide, long = bits_for(first_rule + len(rules) - 1), bits_for(lengths.max(initial=1))
     begin = np.r_[0, last[:-1] + 1] if len(last) else np.zeros(0, np.int64)
     null = np.array([d is None for d in doc_ids], dtype=np.uint8)
     known = np.array([0 if d is None else d for d in doc_ids], dtype="<i8")
-    body = b"".join([rules.astype("<u2").tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u2").tobytes(), known.tobytes(), null.tobytes(), begin.astype("<u8").tobytes(), size.astype("<u8").tobytes()])
-    return struct.pack("<4sIIQQI", MAGIC, first_rule, len(rules), len(symbols), len(ids), zlib.crc32(body)) + body
+    body = b"".join([pack_bits(rules.reshape(-1), wide), pack_bits(lengths, long), pack_bits(symbols, wide), known.tobytes(), null.tobytes(), begin.astype("<u8").tobytes(), size.astype("<u8").tobytes()])
+    return struct.pack(HEAD, MAGIC, VERSION, wide, long, first_rule, len(rules), len(symbols), len(ids), zlib.crc32(body)) + body
 
 
 class TokenFile:
     """A file's documents, read at random."""
 
-    HEAD = struct.calcsize("<4sIIQQI")
+    HEAD = struct.calcsize(HEAD)
 
     def __init__(self, blob: bytes) -> None:
         if len(blob) < self.HEAD:
             raise ValueError("not a token file")
-        magic, self.first_rule, n_rules, n_symbols, n_docs, crc = struct.unpack_from("<4sIIQQI", blob)
-        if magic != MAGIC or zlib.crc32(memoryview(blob)[self.HEAD :]) != crc:
+        magic, version, self.bits, long, self.first_rule, n_rules, self.n_symbols, n_docs, crc = struct.unpack_from(HEAD, blob)
+        if magic != MAGIC or version != VERSION or zlib.crc32(memoryview(blob)[self.HEAD :]) != crc:
             raise ValueError("not a token file, or a damaged one")
         at = self.HEAD
 
@@ -170,12 +212,13 @@ class TokenFile:
             at += out.nbytes
             return out
 
-        self.rules = take("<u2", 2 * n_rules).reshape(-1, 2)
-        self.lengths = take("<u4", n_rules).astype(np.int64)
-        self.symbols = take("<u2", n_symbols)
+        packed = lambda n, bits: take("<u8", packed_bytes(n, bits) // 8)
+        self.rules = unpack_bits(packed(2 * n_rules, self.bits), 0, 2 * n_rules, self.bits).reshape(-1, 2)
+        self.lengths = unpack_bits(packed(n_rules, long), 0, n_rules, long).astype(np.int64)
+        self.packed = packed(self.n_symbols, self.bits)
         known, null = take("<i8", n_docs), take("u1", n_docs)
         self.doc_ids = [None if z else d for d, z in zip(known.tolist(), null.tolist(), strict=True)]
-        self.begin = np.r_[take("<u8", n_docs).astype(np.int64), n_symbols]
+        self.begin = np.r_[take("<u8", n_docs).astype(np.int64), self.n_symbols]
         self.sizes = take("<u8", n_docs).astype(np.int64)
         self._grammar: Grammar | None = None
 
@@ -185,21 +228,25 @@ class TokenFile:
             self._grammar = Grammar(self.rules, self.first_rule)
         return self._grammar
 
+    def symbols(self, i: int) -> np.ndarray:
+        """The symbols of document i."""
+        return unpack_bits(self.packed, int(self.begin[i]), int(self.begin[i + 1]), self.bits)
+
     def document(self, i: int) -> np.ndarray:
-        return self.grammar.expand(self.symbols[self.begin[i] : self.begin[i + 1]])
+        return self.grammar.expand(self.symbols(i))
 
     def documents(self) -> Iterator[np.ndarray]:
         """All documents' ids; the whole file is expanded at once."""
-        flat, ends = self.grammar.expand(self.symbols), np.cumsum(self.sizes)
+        flat, ends = self.grammar.expand(unpack_bits(self.packed, 0, self.n_symbols, self.bits)), np.cumsum(self.sizes)
         for a, b in zip((ends - self.sizes).tolist(), ends.tolist(), strict=True):
             yield flat[a:b]
 
     def window(self, i: int, start: int, stop: int) -> np.ndarray:
         """ids start to stop of document i; lengths tell which symbols those need, and only they are expanded."""
-        symbols = self.symbols[self.begin[i] : self.begin[i + 1]]
+        symbols = self.symbols(i)
         start, stop = max(0, start), min(stop, int(self.sizes[i]))
         if start >= stop:
-            return np.zeros(0, dtype=np.uint16)
+            return np.zeros(0, dtype=np.uint32)
         rule = symbols.astype(np.int64) - self.first_rule
         size = np.where(rule >= 0, self.lengths[np.maximum(rule, 0)] if len(self.lengths) else 1, 1)
         ends = np.cumsum(size)
@@ -211,16 +258,18 @@ class TokenFile:
 def write_token_files(docs: DataFrame, path: str, cut: str = "word", end_id: int = 2, shard_ids: int = SHARD_IDS, rows_per_bucket: int = 2048) -> DataFrame:
     """bucket, shard, n_docs, n_ids and the file of each shard; buckets and shards ascend with doc_id."""
     names = ["bucket", "shard", "n_docs", "n_ids", "file"]
+    first_rule = max(id_space(path), end_id + 1)
+    kind = id_type(first_rule)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, shard, doc_ids, held, n = None, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(held)], pa.int64()), pa.array([n], pa.int64()), pa.array([write_file(doc_ids, held)], pa.binary())], names)
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(held)], pa.int64()), pa.array([n], pa.int64()), pa.array([write_file(doc_ids, held, first_rule)], pa.binary())], names)
 
         for b in batches:
             for k, doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4), strict=True):
-                ids = np.frombuffer(raw.as_buffer(), dtype="<u2")
+                ids = np.frombuffer(raw.as_buffer(), dtype=kind)
                 if held and (k != at or n + len(ids) > shard_ids):
                     yield flush()
                     shard, doc_ids, held, n = (shard + 1 if k == at else 0), [], [], 0
@@ -255,7 +304,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
         for b in batches:
             for start, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 f = TokenFile(raw.as_buffer().to_pybytes())
-                crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in f.documents()]
+                crc = [zlib.crc32(x.astype("<u4", copy=False).tobytes()) for x in f.documents()]
                 starts = start + np.cumsum(f.sizes) - f.sizes
                 yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(f.sizes, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Sequence
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -96,8 +97,8 @@ class Memo:
         self.index.update(zip(keys.tolist(), range(i, i + n), strict=True))
         self.check[i : i + n], self.offset[i + 1 : i + n + 1], self.data[a : a + len(value)] = checks, a + np.cumsum(size), value
 
-    def values(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The words' values one after the other, and each word's number of values."""
+    def values(self, text: str, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' values one after the other, and each word's number of values; ``chars`` are the code points of ``text``."""
         if len(start) == 0:
             return np.zeros(0, dtype=self.kind), np.zeros(0, dtype=np.int64)
         if len(self.index) > MOST_WORDS:
@@ -106,16 +107,15 @@ class Memo:
         keys, at, back = np.unique(first, return_index=True, return_inverse=True)
         get, found, extra = self.index.get, np.empty(len(keys), dtype=np.int64), []
         found[:] = [get(k, -1) for k in keys.tolist()]
-        word = lambda i: chars[start[i] : end[i]].tobytes().decode("utf-32-le")
         new = np.flatnonzero(found < 0)
         if len(new):
             found[new] = len(self.index) + np.arange(len(new))
-            self.add(keys[new], second[at[new]], [word(i) for i in at[new].tolist()])
+            self.add(keys[new], second[at[new]], [text[a:b] for a, b in zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)])
         places = found[back]
         bad = np.flatnonzero((self.check[places] != second) | (end - start > LONG_WORD))
         count = self.offset[places + 1] - self.offset[places]
         if len(bad):  # long words, and words whose first hash is another's
-            extra = {i: np.fromiter(self.make(word(i)), dtype=self.kind) for i in bad.tolist()}
+            extra = {i: np.fromiter(self.make(text[start[i] : end[i]]), dtype=self.kind) for i in bad.tolist()}
             count[bad] = [len(x) for x in extra.values()]
         ends = np.cumsum(count)
         out = self.data[np.repeat(self.offset[places] - (ends - count), count) + np.arange(ends[-1])] if not len(bad) else self.patched(places, count, ends, extra)
@@ -129,12 +129,13 @@ class Memo:
         return out
 
 
-def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the texts, each followed by a 0, and where each text begins (and the end)."""
-    chars = np.frombuffer(("\0".join(texts) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def code_points(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    """The texts as one, each followed by a 0, its code points, and where each text begins (and the end)."""
+    text = "\0".join(texts) + "\0"
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     begin = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
-    return chars, begin
+    return text, chars, begin
 
 
 def contractions(chars: np.ndarray, kind: np.ndarray, after_space: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -192,6 +193,19 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
+@cache
+def id_space(path: str) -> int:
+    """One more than the greatest id of a tokenizer."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab().values(), default=0) + 1
+
+
+def id_type(space: int) -> str:
+    """The type of ids below ``space``, little-endian."""
+    return "<u2" if space <= 1 << 16 else "<u4"
+
+
 class Encoder:
     """ids of whole texts as the tokenizers library gives them (no special tokens added)."""
 
@@ -205,10 +219,13 @@ class Encoder:
         self.cut, self.lower = self.CUTS[cut]
         self.classes, self.letters = character_classes(), byte_letters()
         self.ascii = {i: c for i, c in enumerate(self.letters[:128])}
-        self.memo = Memo(self.word, "uint16" if self.tokenizer.get_vocab_size() <= 1 << 16 else "uint32")
+        self.memo = Memo(self.word, id_type(id_space(path)))
 
     def word(self, word: str) -> list[int]:
-        shown = word.translate(self.ascii) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        if word.isascii():  # of the printable characters only the blank is written by another letter
+            shown = word.replace(" ", self.letters[32]) if word.isprintable() else word.translate(self.ascii)
+        else:
+            shown = "".join([self.letters[b] for b in word.encode()])
         return [t.id for t in self.model.tokenize(shown)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -216,7 +233,7 @@ class Encoder:
             return []
         kind = self.memo.kind
         lowered = [t.lower() for t in texts] if self.lower else texts
-        chars, begin = code_points(lowered)
+        text, chars, begin = code_points(lowered)
         classes = self.classes[np.minimum(chars, LIMIT)]
         classes_end = begin[1:] - 1
         odd = np.zeros(len(chars) + 1, dtype=np.int64)
@@ -233,7 +250,7 @@ class Encoder:
             for i in whole:
                 classes[begin[i] : begin[i + 1]] = END
         start, end = self.cut(chars, classes)
-        ids, count = self.memo.values(chars, start, end)
+        ids, count = self.memo.values(text, chars, start, end)
         upto = np.r_[0, np.cumsum(count)][np.searchsorted(start, begin)]
         out = [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
         for i in whole:

@@ -1,12 +1,15 @@
 """Tokenizing, token files, packing and prefix counts against the tokenizers' libraries."""
 
+import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rivulet.llm import packing, queries, token_counts, token_files, words
@@ -58,22 +61,58 @@ def test_op8(spark, odd, empty, data):
         assert (rows[d.doc_id].n_tokens, rows[d.doc_id].over_limit) == (n, n > 4096)
 
 
-@pytest.mark.parametrize("ids", [[1] * 101, [1, 1, 2] * 50, [5], [7, 7], list(range(300)) * 9, [3, 4] * 400 + [4, 3] * 400])
+@pytest.mark.parametrize("ids", [[1] * 101, [1, 1, 2] * 50, [5], [7, 7], list(range(300)) * 9, [3, 4] * 400 + [4, 3] * 400, [70_000, 99_999, 70_000] * 70])
 def test_repair_round_trip(ids):
-    a = np.array(ids, dtype=np.uint16)
-    blob = token_files.write_file([None, 4], [a, a[::-1].copy()])
+    a = np.array(ids, dtype=np.uint32)
+    blob = token_files.write_file([None, 4], [a, a[::-1].copy()], 100_000)
     f = token_files.TokenFile(blob)
     assert f.doc_ids == [None, 4] and (f.document(0) == a).all() and (f.document(1) == a[::-1]).all()
     assert [x.tolist() for x in f.documents()] == [a.tolist(), a[::-1].tolist()]
     assert (f.lengths == f.grammar.lengths).all() and all(n >= 2 for n in f.lengths)
     if len(ids) > 100 and len(set(ids)) < 50:
-        assert len(f.symbols) < len(ids) / 4
+        assert f.n_symbols < len(ids) / 4
     rng = random.Random(3)
     for _ in range(60):
         x, y = rng.randint(0, len(a)), rng.randint(0, len(a) + 5)
         assert (f.window(0, x, y) == a[x:y]).all()
     with pytest.raises(ValueError, match="damaged"):
         token_files.TokenFile(blob[:-1] + bytes([blob[-1] ^ 1]))
+    with pytest.raises(ValueError, match="not below"):
+        token_files.write_file([1], [a], int(a.max()))
+
+
+def test_repair_runs_until_no_pair_is_frequent():
+    rng = np.random.default_rng(5)
+    docs = [rng.zipf(1.3, 3000).clip(max=400).astype(np.uint16) for _ in range(20)]
+    _, symbols, last = token_files.repair(np.concatenate(docs), np.cumsum([len(d) for d in docs]) - 1, 401)
+    pairs = Counter()
+    for own in np.split(symbols, last[:-1] + 1):
+        for run in [list(g) for _, g in itertools.groupby(zip(own[:-1].tolist(), own[1:].tolist(), strict=True))]:
+            pairs[run[0]] += (len(run) + 1) // 2 if run[0][0] == run[0][1] else len(run)
+    assert max(pairs.values()) < token_files.LEAST_COUNT and len(symbols) < 40_000
+
+
+@pytest.mark.parametrize("bits", [1, 7, 16, 17, 31, 32])
+def test_packed_bits(bits):
+    x = np.random.default_rng(bits).integers(0, 1 << bits, 1000, dtype=np.uint64).astype(np.uint32)
+    for n in (0, 1, 2, 63, 64, 65, 1000):
+        raw = token_files.pack_bits(x[:n], bits)
+        packed = np.frombuffer(raw, dtype="<u8")
+        assert len(raw) == token_files.packed_bytes(n, bits)
+        assert (token_files.unpack_bits(packed, 0, n, bits) == x[:n]).all()
+        assert (token_files.unpack_bits(packed, n // 3, n // 2, bits) == x[n // 3 : n // 2]).all()
+
+
+def test_files_of_another_vocabulary(spark, odd):
+    """Ids up to 50,256, more than the 49,408 of the query's vocabulary, and an end id beyond 16 bits."""
+    library = Tokenizer.from_file(BYTE)
+    rare = spark.createDataFrame([(i, library.decode([50_000 + i, 50_255 - i] * 3)) for i in range(40)], "doc_id long, text string")
+    docs = odd.select("doc_id", "text").unionByName(rare)
+    for end in (50_256, 70_000):
+        files = token_files.with_starts(token_files.write_token_files(docs, BYTE, "byte", end, rows_per_bucket=16))
+        got = token_files.read_token_files(files).collect()
+        crc = lambda t, end=end: zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, end], dtype="<u4").tobytes())
+        assert sorted((str(r.doc_id), r.ids_crc32) for r in got) == sorted((str(r.doc_id), crc(r.text)) for r in docs.collect())
 
 
 def test_op2(spark, odd, empty, data):
@@ -97,11 +136,11 @@ def test_op2(spark, odd, empty, data):
 def test_buckets_ascend_and_split_a_hot_id(make_docs):
     import pyarrow as pa
 
-    from rivulet.llm.common import bucket_bounds, buckets_of
+    from rivulet.llm.common import Buckets, bucket_bounds
 
-    rows = [(None, "n")] + [(i, "x") for i in range(100)] + [(50, f"text {k}") for k in range(200)]
+    rows = [(None, "n")] * 90 + [(i, "x") for i in range(100)] + [(50, f"text {k}") for k in range(200)] + [(70, "equal")] * 200
     bounds = bucket_bounds(make_docs(rows), "doc_id", 20)
-    found = buckets_of(bounds, pa.array([i for i, _ in rows], pa.int64()), [t for _, t in rows])
+    found = Buckets(bounds).of(pa.array([i for i, _ in rows], pa.int64()), [t for _, t in rows])
     ids = {}
     for b, (i, _) in zip(found.tolist(), rows, strict=True):
         ids.setdefault(b, []).append(-1 if i is None else i)
@@ -109,6 +148,20 @@ def test_buckets_ascend_and_split_a_hot_id(make_docs):
     assert max(ids) <= len(bounds) and max(map(len, ids.values())) < 60
 
 
+def test_a_million_rows_without_id_are_dealt_evenly(spark):
+    rows = spark.range(1_000_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, "one text").otherwise(F.col("id").cast("string")).alias("text"))
+    dealt = packing.tokenized(rows, BYTE, "byte", 0, 20_000).groupBy("bucket").count().collect()
+    assert len(dealt) >= 48 and sum(r["count"] for r in dealt) == 1_000_000 and max(r["count"] for r in dealt) < 40_000
+
+
+def test_bounds_of_a_sample(spark, monkeypatch):
+    from rivulet.llm import common
+
+    monkeypatch.setattr(common, "BOUND_SAMPLE", 2000)
+    bounds = common.bucket_bounds(spark.range(50_000).withColumnRenamed("id", "doc_id"), "doc_id", 5000)
+    assert len(bounds) == 9 and all(abs(b - 5000 * (i + 1)) < 4000 for i, b in enumerate(bounds.tolist()))
+
+
 def brute(position, penalty, size):
     f = [0] + [10**9] * (len(position) - 1)
     for j in range(1, len(position)):
