@@ -7,9 +7,9 @@ weight moves rows only between that child and its siblings, and below other
 subtrees nothing moves at all.  A new shard hung below the root as a subtree of
 its own therefore takes rows only into itself.
 
-Cases: a null key is a key like any other (all such rows share a shard); a null
-text has size 1 and the CRC of no bytes; repeated rows share a shard and get
-slots of their own; an empty table gives an empty result; other columns of the
+Cases: a null key is a key like any other (all such rows share a shard, as its law
+is that the id alone decides); a null text has size 1 and the CRC of no bytes;
+repeated rows share a shard and get slots of their own; an empty table gives an empty result; other columns of the
 input are ignored.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table, text_or_empty
+from .common import materialize, partitions_of, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -71,28 +71,38 @@ def descend(key: Column, node: Node, path: str = "") -> Column:
     return out
 
 
+#: Equal rows are numbered in parts of so many, which a shuffle deals out.
+PART = 1 << 16
+
+
 def assign_shards(docs: DataFrame, tree: Node, grown: Node, rows_per_block: int = 65536, least_blocks: int = 64) -> DataFrame:
     """One row per document: size, CRC, shard, gapless slot, and the shard in the grown tree.
 
-    Slots: the rows of a shard are dealt to blocks by a hash, numbered inside
-    their block, and moved by the rows of the blocks before.  No task sees a
-    whole shard, and the offsets need the key column alone.
+    Equal rows (in doc_id, size and CRC) are counted first, so a row that is there
+    many times is one.  Rows of a shard are dealt to blocks by a hash of all three
+    columns, so rows of one id (or of none) with other texts part, and numbered
+    inside their block, behind the rows of the blocks before.  No task sees a whole
+    shard; what is numbered is a table of these columns alone.
     """
-    n = docs.select("doc_id").count()
-    blocks = max(least_blocks, -(-n // rows_per_block))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    placed = [descend(key, tree).cast("int").alias("shard"), F.pmod(F.xxhash64(key, F.lit("block")), F.lit(blocks)).cast("int").alias("block")]
     text = text_or_empty()
-    rows = docs.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *placed, descend(key, grown).cast("int").alias("grown_shard"))
-    counts = docs.select(*placed).groupBy("shard", "block").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("shard", "block", F.coalesce(before, F.lit(0)).alias("offset"))
-    local = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size"))
-    return (
-        rows.withColumn("local", local)
-        .join(offsets, ["shard", "block"])
-        .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("local") - 1).cast("long").alias("slot"), "grown_shard")
-    )
+    rows = docs.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    groups = materialize(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")), "rows-by-shard")
+    blocks = max(least_blocks, -(-groups.count() // rows_per_block))
+    block = F.pmod(F.xxhash64(key, "size", "text_crc32", F.lit("block")), F.lit(blocks)).cast("int")
+    placed = groups.withColumns({"shard": descend(key, tree).cast("int"), "block": block})
+    counts = placed.groupBy("shard", "block").agg(F.sum("n").alias("total"))
+    ahead = lambda over: over.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "block", F.coalesce(F.sum("total").over(ahead(Window.partitionBy("shard").orderBy("block"))), F.lit(0)).alias("offset"))
+    before = F.coalesce(F.sum("n").over(ahead(Window.partitionBy("shard", "block").orderBy("doc_id", "size", "text_crc32"))), F.lit(0))
+    first = placed.withColumn("before", before).join(offsets, ["shard", "block"]).withColumn("first", F.col("offset") + F.col("before"))
+    own = ["doc_id", "size", "text_crc32", "shard"]
+    many = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(PART).cast("long")))
+    parts = first.where("n > 1").select(*own, "first", "n", many.alias("start")).repartition(partitions_of(docs.sparkSession), "first", "start")
+    nth = F.explode(F.sequence("start", F.least(F.col("start") + PART, F.col("n")) - 1)).alias("nth")
+    again = parts.select(*own, "first", nth).select(*own, (F.col("first") + F.col("nth")).alias("slot"))
+    out = first.where("n = 1").select(*own, F.col("first").alias("slot")).unionByName(again)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), descend(key, grown).cast("int").alias("grown_shard"))
 
 
 def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

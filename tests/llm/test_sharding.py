@@ -1,7 +1,10 @@
+import math
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from rivulet.llm import queries, sharding
 from rivulet.llm.sharding import Node
@@ -21,6 +24,49 @@ def test_op10(spark, data, odd, empty):
     assert sharding.assign_shards(empty, tree, tree).count() == 0
 
 
+def mixed(seed, data):
+    """The engine's 64-bit hash, by another implementation."""
+    return xxhash.xxh64_intdigest(data, seed=seed)
+
+
+def reached(key, node, path=""):
+    """The shard of a key in plain Python: the least draw wins at every level."""
+    if not node.children:
+        return node.shard
+    live = [c for c in node.children if c.weight > 0]
+    draws = []
+    for c in live:
+        here = f"{path}/{c.name}"
+        if len(live) == 1:
+            draws.append(0.0)
+            continue
+        u = ((mixed(mixed(42, key.encode()), here.encode()) >> 11) + 0.5) / (1 << 53)
+        draws.append(-math.log(u) / c.weight)
+    won = live[draws.index(min(draws))]
+    return reached(key, won, f"{path}/{won.name}")
+
+
+def test_shards_equal_plain_python(spark, data, odd):
+    tree = sharding.uniform_tree(2, 2, 2)
+    grown = sharding.grown_tree(tree, 8)
+    found = [*queries.QUERIES["op10_shard_tree"](spark, data).collect(), *sharding.assign_shards(odd, tree, grown).collect()]
+    for r in found:
+        key = "null" if r.doc_id is None else str(r.doc_id)
+        assert (r.shard, r.grown_shard) == (reached(key, tree), reached(key, grown))
+        assert r.grown_shard in (r.shard, 8)
+
+
+@pytest.mark.parametrize("part", [7, 1 << 16])
+def test_rows_of_one_id_are_numbered_in_blocks(spark, monkeypatch, part):
+    monkeypatch.setattr(sharding, "PART", part)
+    tree = sharding.uniform_tree(2, 2, 2)
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, "equal").otherwise(F.col("id").cast("string")).alias("text"))
+    rows = sharding.assign_shards(docs.unionByName(docs.limit(0)), tree, tree, rows_per_block=100).collect()
+    assert len(rows) == 4000 and len({r.shard for r in rows}) == 1
+    check_slots(rows)
+    assert Counter(r.text_crc32 for r in rows)[zlib.crc32(b"equal")] == 2000
+
+
 def check_slots(rows):
     for shard in {r.shard for r in rows}:
         own = sorted(r.slot for r in rows if r.shard == shard)
