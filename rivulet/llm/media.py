@@ -1,14 +1,17 @@
 """ISO media containers: write payloads as samples, walk boxes, index keyframes.
 
 ``pack`` stores bytes as a track of raw 8-bit audio (``raw ``), 64 bytes a
-sample, 64 samples a chunk, the first of each chunk a sync sample.  ``probe``
+sample, 64 samples a chunk, the first of each chunk a sync sample.  ``probe_media``
 reads any such file by its box structure: it walks nested boxes, decodes the
-sample tables (stts, stsc, stsz, stco or co64, stss) and returns codec,
-duration and the byte ranges of keyframes.  It never decodes a payload.
+sample tables (stts, stsc, stsz or stz2, stco or co64, stss) and those of movie
+fragments (trex, tfhd, trun) and returns codec, duration and the byte ranges of
+keyframes of every track.  It never decodes a payload.
 
 Cases: a null text is an empty one, and an empty text one unit of zero bytes;
-a media value that is null or not a well-formed container gives null fields and
-says why in ``error``; repeated rows give repeated results, equal texts equal
+a media value that is null or not a well-formed container has no tracks and says
+why in ``error``, and so does one whose boxes nest too deep, or whose tables tell of
+more samples than the file has bytes or of samples outside it (no count is trusted
+before memory is taken for it); external data references are not followed; repeated rows give repeated results, equal texts equal
 files; an empty table an empty result; other columns are ignored.
 """
 
@@ -18,7 +21,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -94,21 +97,30 @@ def pack(payload: bytes) -> bytes:
 
 @dataclass
 class Track:
+    """One track: ``sizes``, ``offsets`` and ``sync`` (numbers of the sync samples; None: all) of its samples; ``times`` are runs of (samples, duration)."""
+
+    id: int = 0
     codec: str = ""
     handler: str = ""
     timescale: int = 0
     duration: int = 0
-    sizes: np.ndarray | None = None
-    offsets: np.ndarray | None = None
-    deltas: np.ndarray | None = None
-    sync: np.ndarray | None = None  # sample numbers from 0; None: every sample
-    raw: dict[str, bytes] | None = None
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    offsets: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    sync: np.ndarray | None = None
+    times: np.ndarray = field(default_factory=lambda: np.zeros((0, 2), dtype=np.int64))
+
 
+#: Boxes that hold boxes nest this deep at most; standard files need nine levels.
+MOST_DEPTH = 32
 
-def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path, first byte, last byte + 1) of each box's body, parents before children."""
-    end = len(data) if end is None else end
-    while start < end:
+
+def walk(data: memoryview) -> Iterator[tuple[tuple[bytes, ...], int, int, int]]:
+    """(path, first byte of the box, first of its body, end) of each box, parents before children."""
+    open_boxes: list[tuple[tuple[bytes, ...], int, int]] = [((), 0, len(data))]  # path, next child, end
+    while open_boxes:
+        path, start, end = open_boxes.pop()
+        if start >= end:
+            continue
         if end - start < 8:
             raise ValueError("bytes after the last box")
         size, kind = struct.unpack_from(">I4s", data, start)
@@ -122,72 +134,197 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[b
         if size < head or start + size > end:
             raise ValueError(f"box {kind!r} leaves its parent")
         here = (*path, kind)
-        yield here, start + head, start + size
+        yield here, start, start + head, start + size
+        open_boxes.append((path, start + size, end))
         if kind in CONTAINERS:
-            yield from walk(data, start + head, start + size, here)
-        start += size
-
-
-def ints(data: memoryview, at: int, n: int, kind: str, end: int) -> np.ndarray:
-    if at + n * np.dtype(kind).itemsize > end:
-        raise ValueError("a sample table is cut off")
-    return np.frombuffer(data, kind, n, at).astype(np.int64)
+            if len(here) >= MOST_DEPTH:
+                raise ValueError("boxes are nested too deep")
+            open_boxes.append((here, start + head, start + size))
+
+
+class Fields:
+    """Reads big-endian numbers of a box one after the other, never beyond its end."""
+
+    def __init__(self, data: memoryview, at: int, end: int) -> None:
+        self.data, self.at, self.end = data, at, end
+
+    def many(self, kind: str, n: int) -> np.ndarray:
+        size = n * np.dtype(kind).itemsize
+        if self.at + size > self.end:
+            raise ValueError("a table is cut off")
+        out = np.frombuffer(self.data, kind, n, self.at)
+        self.at += size
+        if kind == ">u8" and n and out.max() >= 1 << 63:
+            raise ValueError("a number is too large")
+        return out.astype(np.int64)
+
+    def u32(self) -> int:
+        return int(self.many(">u4", 1)[0])
+
+    def u64(self) -> int:
+        return int(self.many(">u8", 1)[0])
+
+
+def equal_sizes(n: int, each: int, total: int) -> np.ndarray:
+    """Sizes of n samples of one size, if a file of ``total`` bytes can hold them."""
+    if n * max(each, 1) > total:
+        raise ValueError("more samples than bytes")
+    return np.full(n, each, dtype=np.int64)
+
+
+def check_range(offsets: np.ndarray, sizes: np.ndarray, total: int) -> None:
+    if int(sizes.sum()) > total:
+        raise ValueError("samples are longer than the file")
+    if len(sizes) and (int(offsets.min()) < 0 or int(offsets.max()) > total or int((offsets + sizes).max()) > total):
+        raise ValueError("a sample is outside the file")
+
+
+def place_samples(track: Track, tables: dict[bytes, np.ndarray], total: int) -> None:
+    """Sizes, offsets and sync samples of a track from its sample tables."""
+    if not all(k in tables for k in (b"stsz", b"stco", b"stsc")):
+        raise ValueError("a track has no sample table")
+    sizes, chunks, runs = tables[b"stsz"], tables[b"stco"], tables[b"stsc"].reshape(-1, 3)
+    n, first = len(sizes), runs[:, 0]
+    if len(runs) and (first[0] != 1 or (np.diff(first) <= 0).any()):
+        raise ValueError("runs of chunks are out of order")
+    # The samples of each chunk: those of the last run that begins at it or before.
+    per = runs[np.searchsorted(first, np.arange(1, len(chunks) + 1), side="right") - 1, 1] if len(runs) and len(chunks) else np.zeros(len(chunks), dtype=np.int64)
+    if (per > n).any() or per.sum() != n:
+        raise ValueError("chunks and samples disagree")
+    begin = np.cumsum(per) - per
+    lead = np.cumsum(sizes) - sizes
+    in_chunk = np.repeat(np.arange(len(chunks)), per)
+    track.sizes, track.offsets = sizes, chunks[in_chunk] + lead - lead[np.minimum(begin, max(n - 1, 0))][in_chunk] if n else lead
+    check_range(track.offsets, sizes, total)
+    track.times = tables.get(b"stts", np.zeros(0, dtype=np.int64)).reshape(-1, 2)
+    if b"stss" in tables:
+        track.sync = tables[b"stss"] - 1
+        if len(track.sync) and (track.sync.min() < 0 or track.sync.max() >= n):
+            raise ValueError("a sync sample is no sample")
+
+
+class Fragments:
+    """Samples of movie fragments, run by run."""
+
+    NOT_SYNC = 0x10000
+
+    def __init__(self, total: int) -> None:
+        self.total = total
+        self.defaults: dict[int, tuple[int, int, int]] = {}  # of each track: duration, size, flags
+        self.runs: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.samples = 0
+
+    def trex(self, f: Fields) -> None:
+        f.u32()
+        track, _, duration, size, flags = (f.u32() for _ in range(5))
+        self.defaults[track] = (duration, size, flags)
+
+    def tfhd(self, f: Fields, moof: int) -> None:
+        flags, self.track = f.u32() & 0xFFFFFF, f.u32()
+        self.moof = moof
+        duration, size, sample_flags = self.defaults.get(self.track, (0, 0, 0))
+        self.base = f.u64() if flags & 1 else moof
+        if flags & 2:
+            f.u32()
+        self.duration = f.u32() if flags & 8 else duration
+        self.size = f.u32() if flags & 0x10 else size
+        self.flags = f.u32() if flags & 0x20 else sample_flags
+        self.next = self.base
+
+    def trun(self, f: Fields) -> None:
+        flags, n = f.u32() & 0xFFFFFF, f.u32()
+        start = self.base + int(np.int32(np.uint32(f.u32()))) if flags & 1 else self.next
+        first = f.u32() if flags & 4 else None
+        columns = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+        if not columns:
+            equal_sizes(n, self.size, self.total)
+        each = f.many(">u4", n * len(columns)).reshape(n, -1) if columns else np.zeros((n, 0), dtype=np.int64)
+        column = lambda bit, default: each[:, columns.index(bit)] if bit in columns else np.full(n, default, dtype=np.int64)
+        sizes, sample_flags = column(0x200, self.size), column(0x400, self.flags)
+        if first is not None and n and 0x400 not in columns:
+            sample_flags[0] = first
+        offsets = start + np.cumsum(sizes) - sizes
+        check_range(offsets, sizes, self.total)
+        self.samples += n
+        if self.samples > self.total:
+            raise ValueError("more samples than bytes")
+        self.next = start + int(sizes.sum())
+        self.runs.setdefault(self.track, []).append((sizes, offsets, (sample_flags & self.NOT_SYNC) == 0, column(0x100, self.duration)))
+
+    def add_to(self, track: Track) -> None:
+        runs = self.runs.get(track.id)
+        if not runs:
+            return
+        sizes, offsets, sync, times = (np.concatenate(x) for x in zip(*runs, strict=True))
+        n = len(track.sizes)
+        before = np.arange(n) if track.sync is None else track.sync
+        track.sync = None if sync.all() and len(before) == n else np.concatenate([before, n + np.flatnonzero(sync)])
+        track.sizes, track.offsets = np.concatenate([track.sizes, sizes]), np.concatenate([track.offsets, offsets])
+        track.times = np.concatenate([track.times, np.stack([np.ones(len(times), dtype=np.int64), times], axis=1)])
+        if not track.duration:
+            track.duration = int((track.times[:, 0] * track.times[:, 1]).sum())
 
 
 def parse(blob: bytes) -> list[Track]:
-    """The tracks of a container, with sizes and file offsets of all samples."""
-    data = memoryview(blob)
+    """The tracks of a container, those of fragments included, with sizes and file offsets of all samples."""
+    data, total = memoryview(blob), len(blob)
     tracks: list[Track] = []
-    tables: dict[bytes, np.ndarray] = {}
-
-    def close() -> None:
-        if not tracks:
-            return
-        t = tracks[-1]
-        if b"stsz" not in tables or b"stco" not in tables or b"stsc" not in tables:
-            raise ValueError("a track has no sample table")
-        t.sizes = tables[b"stsz"]
-        n, runs, chunks = len(t.sizes), tables[b"stsc"].reshape(-1, 3), tables[b"stco"]
-        per = np.zeros(len(chunks), dtype=np.int64)
-        for i, (first, count, _) in enumerate(runs):
-            per[first - 1 : runs[i + 1][0] - 1 if i + 1 < len(runs) else None] = count
-        if per.sum() != n:
-            raise ValueError("chunks and samples disagree")
-        begin = np.cumsum(per) - per  # the first sample of each chunk
-        ends = np.cumsum(t.sizes)
-        lead = ends - t.sizes
-        t.offsets = np.repeat(chunks, per) + lead - np.repeat(lead[begin] if n else lead[:0], per) if n else lead
-        if n and (t.offsets + t.sizes).max() > len(blob):
-            raise ValueError("a sample is outside the file")
-        stts = tables.get(b"stts", np.zeros(0, dtype=np.int64)).reshape(-1, 2)
-        t.deltas = np.repeat(stts[:, 1], stts[:, 0])
-        t.sync = tables[b"stss"] - 1 if b"stss" in tables else None
-        tables.clear()
-
-    for path, a, b in walk(data):
-        kind = path[-1]
+    tables: list[dict[bytes, np.ndarray]] = []
+    fragments, moof = Fragments(total), 0
+    for path, start, a, b in walk(data):
+        kind, f = path[-1], Fields(data, a, b)
+        inside = bool(tracks) and b"trak" in path
         if kind == b"trak":
-            close()
             tracks.append(Track())
-        elif kind == b"mdhd" and tracks:
-            tracks[-1].timescale, tracks[-1].duration = struct.unpack_from(">IQ", data, a + 20) if data[a] else struct.unpack_from(">II", data, a + 12)
-        elif kind == b"hdlr" and tracks:
-            tracks[-1].handler = bytes(data[a + 8 : a + 12]).decode("latin-1")
-        elif kind == b"stsd" and tracks and b - a >= 16:
-            tracks[-1].codec = bytes(data[a + 12 : a + 16]).decode("latin-1")
-        elif kind in (b"stts", b"stss", b"stsc"):
-            width = {b"stts": 2, b"stss": 1, b"stsc": 3}[kind]
-            tables[kind] = ints(data, a + 8, width * struct.unpack_from(">I", data, a + 4)[0], ">u4", b)
-        elif kind in (b"stco", b"co64"):
-            tables[b"stco"] = ints(data, a + 8, struct.unpack_from(">I", data, a + 4)[0], ">u4" if kind == b"stco" else ">u8", b)
-        elif kind == b"stsz":
-            each, n = struct.unpack_from(">II", data, a + 4)
-            if each and n > len(blob):
-                raise ValueError("more samples than bytes")
-            tables[b"stsz"] = np.full(n, each, dtype=np.int64) if each else ints(data, a + 12, n, ">u4", b)
-    close()
+            tables.append({})
+        elif kind == b"tkhd" and inside:
+            wide = f.u32() >> 24
+            f.many(">u4", 4 if wide else 2)
+            tracks[-1].id = f.u32()
+        elif kind == b"mdhd" and inside:
+            wide = f.u32() >> 24
+            f.many(">u4", 4 if wide else 2)
+            tracks[-1].timescale, tracks[-1].duration = f.u32(), f.u64() if wide else f.u32()
+        elif kind == b"hdlr" and inside and b"mdia" in path:
+            f.many(">u4", 2)
+            tracks[-1].handler = f.many("u1", 4).astype(np.uint8).tobytes().decode("latin-1")
+        elif kind == b"stsd" and inside:
+            f.u32()
+            if f.u32():
+                f.u32()
+                tracks[-1].codec = f.many("u1", 4).astype(np.uint8).tobytes().decode("latin-1")
+        elif kind in (b"stts", b"stss", b"stsc") and inside:
+            f.u32()
+            tables[-1][kind] = f.many(">u4", {b"stts": 2, b"stss": 1, b"stsc": 3}[kind] * f.u32())
+        elif kind in (b"stco", b"co64") and inside:
+            f.u32()
+            tables[-1][b"stco"] = f.many(">u4" if kind == b"stco" else ">u8", f.u32())
+        elif kind == b"stsz" and inside:
+            f.u32()
+            each, n = f.u32(), f.u32()
+            tables[-1][kind] = equal_sizes(n, each, total) if each else f.many(">u4", n)
+        elif kind == b"stz2" and inside:
+            f.u32()
+            bits, n = f.u32() & 0xFF, f.u32()
+            if bits not in (4, 8, 16):
+                raise ValueError("sizes of an odd number of bits")
+            raw = f.many("u1", -(-n // 2)) if bits == 4 else f.many("u1" if bits == 8 else ">u2", n)
+            tables[-1][b"stsz"] = np.stack([raw >> 4, raw & 15], axis=1).reshape(-1)[:n] if bits == 4 else raw
+        elif kind == b"trex":
+            fragments.trex(f)
+        elif kind == b"moof":
+            moof = start
+        elif kind == b"tfhd" and b"traf" in path:
+            fragments.tfhd(f, moof)
+        elif kind == b"trun" and b"traf" in path:
+            if not hasattr(fragments, "track"):
+                raise ValueError("a run of samples has no track")
+            fragments.trun(f)
     if not tracks:
         raise ValueError("no track")
+    for track, found in zip(tracks, tables, strict=True):
+        place_samples(track, found, total)
+        fragments.add_to(track)
     return tracks
 
 
@@ -223,32 +360,33 @@ def store_media(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-INDEX = "codec string, handler string, timescale long, duration long, n_samples long, keyframes array<struct<offset: long, length: long>>, error string"
+TRACK = "struct<id: long, codec: string, handler: string, timescale: long, duration: long, n_samples: long, keyframes: array<struct<offset: long, length: long>>>"
 DIGEST = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
 
 
 def probe_media(media: DataFrame, column: str = "media", keep: tuple[str, ...] = ("doc_id", "n_bytes"), digests: bool = True) -> DataFrame:
-    """The index of each container's first track (and digests of its stored samples)."""
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in media.select(*keep).schema)
+    """The index of each container: its tracks, or an error (and digests of the stored samples of its first track)."""
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.select(*keep).schema)
 
     def one(blob: bytes | None) -> dict:
         try:
             if blob is None:
                 raise ValueError("null")
-            t = parse(blob)[0]
-        except (ValueError, struct.error, IndexError) as e:
-            return {"error": str(e)}
-        out = {"codec": t.codec, "handler": t.handler, "timescale": t.timescale, "duration": t.duration, "n_samples": len(t.sizes)}
-        out["keyframes"] = [{"offset": a, "length": n} for a, n in keyframes(t).tolist()]
+            found = parse(blob)
+        except (ValueError, struct.error, IndexError, OverflowError) as e:
+            return {"error": str(e) or type(e).__name__}
+        out: dict = {"tracks": [{"id": t.id, "codec": t.codec, "handler": t.handler, "timescale": t.timescale, "duration": t.duration, "n_samples": len(t.sizes), "keyframes": [{"offset": a, "length": n} for a, n in keyframes(t).tolist()]} for t in found]}
         if digests:
-            data = samples(blob, t)
+            data = samples(blob, found[0])
             out |= {"payload_bytes": len(data), "payload_sha256": hashlib.sha256(data).hexdigest(), "tail_crc32": zlib.crc32(data[-UNIT:]), "media_bytes": len(blob), "media_sha256": hashlib.sha256(blob).hexdigest()}
         return out
 
-    frame = pa.array([{"offset": 0, "length": 0}]).type
-    kinds = [("codec", pa.string()), ("handler", pa.string()), ("timescale", pa.int64()), ("duration", pa.int64()), ("n_samples", pa.int64()), ("keyframes", pa.list_(frame)), ("error", pa.string())]
+    long = pa.int64()
+    frame = pa.struct([("offset", long), ("length", long)])
+    track = pa.struct([("id", long), ("codec", pa.string()), ("handler", pa.string()), ("timescale", long), ("duration", long), ("n_samples", long), ("keyframes", pa.list_(frame))])
+    kinds = [("tracks", pa.list_(track)), ("error", pa.string())]
     if digests:
-        kinds += [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string())]
+        kinds += [("payload_bytes", long), ("payload_sha256", pa.string()), ("tail_crc32", long), ("media_bytes", long), ("media_sha256", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, column):
@@ -256,11 +394,13 @@ def probe_media(media: DataFrame, column: str = "media", keep: tuple[str, ...] =
             cols = [pa.array([x.get(k) for x in found], kind) for k, kind in kinds]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], [*keep, *(k for k, _ in kinds)])
 
-    return media.select(*keep, column).mapInArrow(run, ", ".join([kept, INDEX, *[DIGEST] * digests]))
+    return media.select(*keep, column).mapInArrow(run, ", ".join([kept, f"tracks array<{TRACK}>, error string", *[DIGEST] * digests]))
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = materialize(store_media(table(spark, sf_dir, "documents")), "media")
+    first = F.get("tracks", F.lit(0))
+    found = probe_media(media).withColumns({c: first[c] for c in ("codec", "handler", "timescale", "duration", "n_samples", "keyframes")})
     ranges = F.transform("keyframes", lambda k: F.concat_ws("+", k["offset"].cast("string"), k["length"].cast("string")))
     feature = F.concat_ws(";", "codec", "handler", "timescale", "duration", "n_samples", F.size("keyframes").cast("string"), F.md5(F.concat_ws(",", ranges)))
-    return probe_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "codec", "duration", "n_samples")
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "codec", "duration", "n_samples", "keyframes")
