@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import drop_last, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): the least node of each linked node's component; ``links`` has columns a and b.
+    """(node, root): the least node of each linked node's component.
 
-    Each round takes the least label among neighbours, hangs the former label
-    below it and follows labels once, until nothing changes.
+    ``links`` has columns a and b of one type.  A round gives each node the
+    least label among its neighbours', hangs the node's former label below it,
+    and follows labels once; rounds end when no label changes.  Each round's
+    labels are a table in the shared folder, which the next one's replaces.
     """
     edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), "labels")
@@ -24,5 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         step = step.select("node", F.least("next", "above").alias("root"))
         new = materialize(step.join(labels.select("node", F.col("root").alias("was")), "node").select("node", "root", (F.col("root") != F.col("was")).alias("changed")), "labels")
         labels = new.select("node", "root")
-        if not new.where("changed").take(1):
+        changed = bool(new.where("changed").take(1))
+        drop_last(links.sparkSession, 1)
+        if not changed:
+            drop_last(links.sparkSession, 1)  # the edges
             return labels
