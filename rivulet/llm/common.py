@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,49 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import TABLES, drop_tables, materialize
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors are one process, gets a
-    temporary folder when the setting is missing.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = f"file://{tempfile.mkdtemp(prefix='rivulet-')}"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+__all__ = ["TABLES", "Buckets", "bucket_bounds", "column", "drop_tables", "fresh", "materialize", "partitions_of", "slices", "table", "text_or_empty"]
 
 
-#: Tables that this driver has written to the shared folder and not dropped.
-TABLES: list[str] = []
-
-
-def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs a read, not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    TABLES.append(path)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_tables(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables written since ``TABLES`` had ``since`` entries; nothing may read them any more."""
-    for path in TABLES[since:]:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    del TABLES[since:]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def column(name: str) -> Column:

@@ -37,8 +37,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
+from ..operators.components import components
 from .common import materialize, partitions_of, slices, table
-from .components import components
 from .shingles import GOLD, fingerprints, mix, shingles, units
 
 COORDINATES = 64

@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, line_dedup, near_duplicates, queries
-from rivulet.llm.components import components
 from rivulet.llm.shingles import shingles, units
+from rivulet.operators.components import components
 
 from .conftest import LONG, prose
 
