@@ -12,8 +12,8 @@ the shared folder, and all but the last return the columns of ``documents``:
 5. packing: the rest are packed into windows of 1024 tokens.
 
 Null texts are rejected by the first stage.  Rows equal in doc_id and text are
-one document to all stages, and the third keeps one of them.  An empty table
-gives an empty result.
+one document to all stages, and the third keeps one of them.  Other columns go
+along, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rivulet.llm.common import TABLES, drop_tables, materialize, table
+from rivulet.llm.common import TABLES, column, drop_tables, fresh, materialize, table
 from rivulet.llm.decontamination import contamination
 from rivulet.llm.language import UNKNOWN, learn, predict
 from rivulet.llm.line_dedup import line_dedup
@@ -33,32 +33,36 @@ LEAST_SCORE = 0.4
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = predict(docs, learn(docs), added=("rv_lang", "rv_score"))
-    return found.where((F.col("rv_lang") != UNKNOWN) & (F.col("rv_score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = fresh(docs.columns, "rv_lang", "rv_score")
+    found = predict(docs, learn(docs), added=(lang, score))
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*map(column, docs.columns))
 
 
 def keep_first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup(docs).where((F.col("rv_kept") > 0) | (F.col("rv_lines") == 0))
-    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    lines, kept = fresh(docs.columns, "rv_lines", "rv_kept")
+    out = line_dedup(docs, added=(lines, kept)).where((F.col(kept) > 0) | (F.col(lines) == 0))
+    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else column(c) for c in docs.columns])
 
 
-def matching(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+def matching(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """Rows whose doc_id and text hash are (left_semi) or are not (left_anti) found."""
-    f = found.select(F.col("doc_id").alias("rv_d"), F.col("th").alias("rv_t")).distinct()
-    return rows.join(f, F.col("doc_id").cast("long").eqNullSafe(F.col("rv_d")) & (F.col("rv_h") == F.col("rv_t")), how)
+    d, t = fresh(docs.columns, "rv_d", "rv_t")
+    f = found.select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    return docs.join(f, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (text_hash() == F.col(t)), how)
 
 
 def keep_first_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th")))
-    kept = matching(docs.withColumn("rv_h", text_hash()), first, "left_semi")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "rv_h").orderBy(*(others or ["doc_id"])))
-    return kept.withColumn("rv_n", nth).where("rv_n = 1").select(*docs.columns)
+    kept = matching(docs, first, "left_semi")
+    # Rows equal in doc_id and text are one document; of these, the first by their other columns stays.
+    h, n = fresh(docs.columns, "rv_h", "rv_n")
+    others = [column(c) for c in docs.columns if c not in ("doc_id", "text")]
+    nth = F.row_number().over(Window.partitionBy("doc_id", h).orderBy(*(others or ["doc_id"])))
+    return kept.withColumn(h, text_hash()).withColumn(n, nth).where(F.col(n) == 1).select(*map(column, docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return matching(docs.withColumn("rv_h", text_hash()), found, "left_anti").select(*docs.columns)
+    return matching(docs, contamination(docs, table(spark, sf_dir, "benchmark")), "left_anti").select(*map(column, docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
