@@ -205,7 +205,7 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
     """A model of the labelled rows that are not held out, from at most ``sample`` rows a language."""
-    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     # One row a language, as the network itself has.
     count = {r[0]: r[1] for r in labelled.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().collect()}
     texts, labels = [], []
@@ -235,13 +235,14 @@ def predict(docs: DataFrame, model: Model, column: str = "text", added: tuple[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(sent.value)
-        for b in slices(batches, column):
+        for b in slices(batches, f"c{at}"):
             texts = b.column(at).to_pylist()
             raw = [t.encode("utf-8", "replace") if t and any(map(str.isalpha, t)) else b"" for t in texts]
             lang, score = predictor.predict(raw)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, *added])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(added[0], StringType()).add(added[1], DoubleType()))
+    # Places as names on the way in, as a column's own name may have a dot.
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, StructType([*docs.schema.fields]).add(added[0], StringType()).add(added[1], DoubleType()))
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> DataFrame:

@@ -26,7 +26,7 @@ def folder(spark, tmp_path_factory, make_docs):
         (107, prose(61, 60), "en"),
         (None, prose(62, 60), "en"),
     ]
-    make_docs(rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{place}/documents.parquet")
+    make_docs(rows).write.parquet(f"{place}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
     return str(place)
 
