@@ -46,12 +46,12 @@ def snapshot_position_json(tables: dict[str, list[KeyPosition]], mark: LogPositi
 
     def one(keys: list[KeyPosition]) -> object:
         if len(keys) == 1:
-            return {"last_read": typed(keys[0].last_read), "snapshot_end": typed(keys[0].snapshot_end)}
+            return {"key_name": keys[0].key_name, "last_read": typed(keys[0].last_read), "snapshot_end": typed(keys[0].snapshot_end)}
         return [{"key_name": k.key_name, "last_read": typed(k.last_read), "snapshot_end": typed(k.snapshot_end)} for k in keys]
 
     out: dict = {"snapshots": {t: one(k) for t, k in sorted(tables.items()) if k}}
     if mark:
-        out["mark"] = {"name": mark.name, "pos": mark.pos}
+        out["mark"] = {"name": mark.name, "pos": mark.pos, "idx": mark.idx}
     return json.dumps({"snapshot_position": out}, separators=(",", ":"))
 
 
@@ -97,7 +97,7 @@ def parse_position(text: str) -> LogPosition | tuple[dict[str, list[KeyPosition]
         entries = v if isinstance(v, list) else [v]
         tables[t] = [KeyPosition(e.get("key_name", ""), untyped(e["last_read"]), untyped(e["snapshot_end"])) for e in entries]
     mark = snap.get("mark")
-    return tables, LogPosition(mark["name"], mark["pos"]) if mark else None
+    return tables, LogPosition(mark["name"], mark["pos"], mark.get("idx", 0)) if mark else None
 
 
 def key_struct(keys: tuple[str, ...], source: str | None = None) -> Column:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
 from . import envelope
 from .components import components
@@ -47,9 +49,16 @@ def check_keys(target: DataFrame, keys: Iterable[str]) -> list[str]:
 
 
 def last_by_key(records: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """The last record of each key: an aggregation, so hot keys shrink before the shuffle."""
+    """The last record of each key: an aggregation, so hot keys shrink before the shuffle.
+
+    A key with a null in it equals no other, as in a unique index, so each record of one stands.
+    """
     rest = F.struct(*[c for c in records.columns if c not in keys])
-    return records.groupBy(*keys).agg(F.max_by(rest, seq).alias("rv_last")).select(*keys, "rv_last.*")
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    own = F.when(null, F.col(seq)).alias("rv_own")
+    return records.groupBy(*keys, own).agg(F.max_by(rest, seq).alias("rv_last")).select(*keys, "rv_last.*")
 
 
 def columns_alike(target: DataFrame, rows: DataFrame) -> None:
@@ -110,31 +119,36 @@ def fold_conflicts(target: DataFrame, records: DataFrame, uniques: list[list[str
     holds one of its unique values (keys tried in order); without such a row it
     is inserted.  That depends on order, but only among rows that share unique
     values, so rows and records are grouped by connected components of shared
-    values and each group is folded on its own.  Rows that share nothing with a
-    record are not touched.
+    values and each group is folded on its own.  Rows of the target share nothing
+    with each other, so only those that hold a value of a record take part; the
+    others are not touched.  ``seq`` may have any type that orders.
     """
     for keys in uniques:
         check_keys(target, keys)
     columns = target.columns
     columns_alike(target, records.drop(seq))
-    values = lambda: F.array(*[F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull(), F.concat_ws("\x1f", F.lit(str(i)), *[F.col(k).cast("string") for k in keys])) for i, keys in enumerate(uniques)])
-    new = records.withColumns({"rv_seq": F.col(seq).cast("long"), "rv_values": F.array_compact(values())}).select(*columns, "rv_seq", "rv_values")
-    old = target.withColumns({"rv_seq": F.lit(None).cast("long"), "rv_values": F.array_compact(values())}).select(*columns, "rv_seq", "rv_values")
-    links = new.unionByName(old).select(F.col("rv_values")[0].alias("a"), F.explode("rv_values").alias("b"))
-    roots = components(links)
-    all_rows = new.unionByName(old).withColumn("rv_first", F.col("rv_values")[0])
-    grouped = all_rows.join(roots, F.col("rv_first") == F.col("node"), "left").withColumn("rv_group", F.coalesce("root", "rv_first"))
-    touched = grouped.where("rv_seq is not null").select("rv_group").distinct()
-    free = grouped.join(touched, "rv_group", "left_anti").select(*columns)
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.astype(object).where(group.notna(), None)
-        rows = [dict(zip(columns, r, strict=True)) for r in group[group["rv_seq"].isna()][columns].itertuples(index=False)]
-        new = group[group["rv_seq"].notna()].sort_values("rv_seq", kind="stable")[columns]
-        held = [{tuple(r[k] for k in keys): r for r in rows if all(r[k] is not None for k in keys)} for keys in uniques]
-        for values in new.itertuples(index=False):
-            record = dict(zip(columns, values, strict=True))
-            old = next((h[t] for keys, h in zip(uniques, held, strict=True) if (t := tuple(record[k] for k in keys)) in h), None)
+    values = F.array_compact(F.array(*[F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull(), F.concat_ws("\x1f", F.lit(str(i)), *[F.col(k).cast("string") for k in keys])) for i, keys in enumerate(uniques)]))
+    new = records.select(*columns, F.col(seq).alias("rv_seq"), F.lit(True).alias("rv_new"), values.alias("rv_values"))
+    old = target.select(*columns, F.lit(None).cast(records.schema[seq].dataType).alias("rv_seq"), F.lit(False).alias("rv_new"), values.alias("rv_values")).withColumn("rv_first", F.get("rv_values", F.lit(0)))
+    held = new.select(F.explode("rv_values").alias("v")).distinct()
+    hit = old.select("rv_first", F.explode("rv_values").alias("v")).join(held, "v", "left_semi").select("rv_first").distinct()
+    free = old.join(hit, "rv_first", "left_anti").select(*columns)
+    rows = old.join(hit, "rv_first", "left_semi").drop("rv_first").unionByName(new)
+    first = F.get("rv_values", F.lit(0))
+    roots = components(rows.select(first.alias("a"), F.explode("rv_values").alias("b")))
+    # A record without any unique value is a group of its own and simply stays.
+    alone = new.where(F.size("rv_values") == 0).select(*columns)
+    grouped = rows.where(F.size("rv_values") > 0).withColumn("rv_first", first).join(roots, F.col("rv_first") == F.col("node"))
+    order = F.row_number().over(Window.partitionBy("root").orderBy("rv_new", "rv_seq")).alias("rv_nth")
+    schema = to_arrow_schema(target.schema)
+
+    def fold(group: pa.Table) -> pa.Table:
+        rows: list[dict] = []
+        held: list[dict[tuple, dict]] = [{} for _ in uniques]
+        taken = sorted(group.to_pylist(), key=lambda r: r["rv_nth"])
+        for r in taken:
+            record = {c: r[c] for c in columns}
+            old = next((h[t] for keys, h in zip(uniques, held, strict=True) if (t := tuple(record[k] for k in keys)) in h), None) if r["rv_new"] else None
             if old is None:
                 rows.append(record)
                 old = record
@@ -149,7 +163,7 @@ def fold_conflicts(target: DataFrame, records: DataFrame, uniques: list[list[str
                     raise SinkError(f"a record takes unique values of two rows: {t}")
                 if all(v is not None for v in t):
                     h[t] = old
-        return pd.DataFrame(rows, columns=columns)
+        return pa.Table.from_pylist(rows, schema=schema)
 
-    folded = grouped.join(touched, "rv_group", "left_semi").select(*columns, "rv_seq", "rv_group").groupBy("rv_group").applyInPandas(fold, target.schema)
-    return free.unionByName(folded)
+    folded = grouped.select(*columns, "rv_new", order, "root").groupBy("root").applyInArrow(fold, target.schema)
+    return free.unionByName(folded).unionByName(alone)

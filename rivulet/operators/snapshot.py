@@ -70,11 +70,12 @@ def plan(df: DataFrame, table: str, keys: tuple[str, ...], position: list[envelo
     """The scan of a table, or None if it is empty.
 
     A stored position gives the start and keeps the end of the first run.  A
-    position that does not fit the keys is ignored.
+    position of other keys (another number of them, or other names) is ignored, so
+    the table is read from its start; a single key stored without a name fits any.
     """
     if not keys:
         return ScanSpec(table, (), fetch_size=fetch_size or FETCH_SIZE) if df.take(1) else None
-    if position and len(position) == len(keys) and (len(keys) == 1 or [p.key_name for p in position] == list(keys)):
+    if position and len(position) == len(keys) and all(p.key_name == k or (len(keys) == 1 and not p.key_name) for p, k in zip(position, keys, strict=True)):
         return ScanSpec(table, keys, tuple(p.last_read for p in position), tuple(p.snapshot_end for p in position), True, fetch_size or FETCH_SIZE)
     found = lexical_bounds(df, keys)
     return ScanSpec(table, keys, *found, fetch_size=fetch_size or FETCH_SIZE) if found else None

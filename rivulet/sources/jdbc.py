@@ -18,17 +18,29 @@ class Database:
     driver: str
     properties: dict[str, str] = field(default_factory=dict)
     quote: str = "`"
+    #: What stands for a bound value in statements: ``?`` or ``%s``, as the Python driver has it.
+    placeholder: str = "?"
+    #: Whether a backslash in a text literal escapes; None: as is usual for the kind of database.
+    backslash_escapes: bool | None = None
+
+    @property
+    def escapes(self) -> bool:
+        return self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) if self.backslash_escapes is None else self.backslash_escapes
 
     def name(self, identifier: str) -> str:
         return self.quote + identifier.replace(self.quote, 2 * self.quote) + self.quote
 
+    def in_statement(self, identifier: str) -> str:
+        """A name inside a statement with bound values; where ``%s`` binds, a per cent sign is written twice."""
+        return self.name(identifier).replace("%", "%%") if self.placeholder == "%s" else self.name(identifier)
+
     def options(self, fetch_size: int | None = None) -> dict[str, str]:
         more = {"fetchsize": str(fetch_size)} if fetch_size else {}
         return {"url": self.url, "driver": self.driver, "preferTimestampNTZ": "true", **self.properties, **more}
 
 
-def literal(value: object) -> str:
-    """A SQL literal of a key value."""
+def literal(value: object, escapes: bool = True) -> str:
+    """A SQL literal of a key value; ``escapes`` says whether the database reads a backslash as an escape."""
     import datetime as dt
 
     if value is None:
@@ -43,25 +55,26 @@ def literal(value: object) -> str:
         return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
     if isinstance(value, dt.date):
         return f"DATE '{value.isoformat()}'"
-    return "'" + str(value).replace("'", "''") + "'"
+    text = str(value).replace("'", "''")
+    return "'" + (text.replace("\\", "\\\\") if escapes else text) + "'"
 
 
 def after_sql(db: Database, keys: Sequence[str], values: Sequence, inclusive: bool) -> str:
     """Lexicographic comparison of several keys, spelt out for databases without row values."""
     out = []
     for i, k in enumerate(keys):
-        same = [f"{db.name(a)} = {literal(b)}" for a, b in zip(keys[:i], values[:i], strict=True)]
+        same = [f"{db.name(a)} = {literal(b, db.escapes)}" for a, b in zip(keys[:i], values[:i], strict=True)]
         last = ">=" if inclusive and i == len(keys) - 1 else ">"
-        out.append(" AND ".join([*same, f"{db.name(k)} {last} {literal(values[i])}"]))
+        out.append(" AND ".join([*same, f"{db.name(k)} {last} {literal(values[i], db.escapes)}"]))
     return "(" + " OR ".join(f"({x})" for x in out) + ")"
 
 
 def upto_sql(db: Database, keys: Sequence[str], values: Sequence) -> str:
     out = []
     for i, k in enumerate(keys):
-        same = [f"{db.name(a)} = {literal(b)}" for a, b in zip(keys[:i], values[:i], strict=True)]
+        same = [f"{db.name(a)} = {literal(b, db.escapes)}" for a, b in zip(keys[:i], values[:i], strict=True)]
         last = "<=" if i == len(keys) - 1 else "<"
-        out.append(" AND ".join([*same, f"{db.name(k)} {last} {literal(values[i])}"]))
+        out.append(" AND ".join([*same, f"{db.name(k)} {last} {literal(values[i], db.escapes)}"]))
     return "(" + " OR ".join(f"({x})" for x in out) + ")"
 
 
@@ -98,22 +111,22 @@ def read(spark: SparkSession, db: Database, spec: ScanSpec, partitions: int = 1)
     return spark.read.jdbc(db.url, table, predicates=predicates, properties={key: v for key, v in options.items() if key != "url"})
 
 
-# Statements of databases that have ON DUPLICATE KEY; values are bound, not spelt.
+# Statements as the dialect with ON DUPLICATE KEY wants them; values are bound, not spelt.
 
 
 def upsert_sql(db: Database, table: str, columns: Sequence[str], rows: int = 1) -> str:
-    values = ", ".join("(" + ", ".join("?" * len(columns)) + ")" for _ in range(rows))
-    sets = ", ".join(f"{db.name(c)} = VALUES({db.name(c)})" for c in columns)
-    return f"INSERT INTO {db.name(table)} ({', '.join(map(db.name, columns))}) VALUES {values} ON DUPLICATE KEY UPDATE {sets}"
+    values = ", ".join("(" + ", ".join([db.placeholder] * len(columns)) + ")" for _ in range(rows))
+    sets = ", ".join(f"{db.in_statement(c)} = VALUES({db.in_statement(c)})" for c in columns)
+    return f"INSERT INTO {db.in_statement(table)} ({', '.join(map(db.in_statement, columns))}) VALUES {values} ON DUPLICATE KEY UPDATE {sets}"
 
 
 def delete_sql(db: Database, table: str, keys: Sequence[str], rows: int = 1) -> str:
     if not keys:
         raise ValueError("a delete needs a key")
     if len(keys) == 1:
-        return f"DELETE FROM {db.name(table)} WHERE {db.name(keys[0])} IN ({', '.join('?' * rows)})"
-    one = "(" + " AND ".join(f"{db.name(k)} = ?" for k in keys) + ")"
-    return f"DELETE FROM {db.name(table)} WHERE " + " OR ".join([one] * rows)
+        return f"DELETE FROM {db.in_statement(table)} WHERE {db.in_statement(keys[0])} IN ({', '.join([db.placeholder] * rows)})"
+    one = "(" + " AND ".join(f"{db.in_statement(k)} = {db.placeholder}" for k in keys) + ")"
+    return f"DELETE FROM {db.in_statement(table)} WHERE " + " OR ".join([one] * rows)
 
 
 def tables_sql() -> str:

@@ -47,3 +47,26 @@ def test_statements():
         jdbc.delete_sql(MY, "t", [])
     assert jdbc.lock_sql(MY, ["b", "a`"]) == ("FLUSH TABLES `a```, `b` WITH READ LOCK", "UNLOCK TABLES")
     assert jdbc.literal("o'x") == "'o''x'" and jdbc.literal(b"\x01") == "X'01'"
+
+
+def test_texts_with_backslashes():
+    assert jdbc.literal("a\\") == "'a\\\\'" and jdbc.literal("a\\' OR 1=1 --") == "'a\\\\'' OR 1=1 --'"
+    assert jdbc.literal("a\\", escapes=False) == "'a\\'"
+    assert MY.escapes and not DERBY.escapes
+    spec = ScanSpec("t", ("k",), ("a\\",), ("b",), True)
+    assert jdbc.where_sql(MY, spec) == "`k` IS NOT NULL AND ((`k` > 'a\\\\')) AND ((`k` <= 'b'))"
+
+
+def test_keys_with_backslashes_and_quotes(spark, users):
+    names = ["a\\", "a\\b", "b'c", "c\\'d", "e"]
+    df = spark.createDataFrame([(n,) for n in names], "k string")
+    df.write.format("jdbc").options(**DERBY.options(), dbtable='"texts"', createTableColumnTypes="k VARCHAR(20)").mode("overwrite").save()
+    for start in names:
+        got = jdbc.read(spark, DERBY, ScanSpec("texts", ("k",), (start,), (max(names),), True))
+        assert sorted(r.k for r in got.collect()) == sorted(n for n in names if n > start)
+
+
+def test_placeholders():
+    db = jdbc.Database("jdbc:mysql://h/db", "d", placeholder="%s")
+    assert jdbc.delete_sql(db, "100%", ["id"], 2) == "DELETE FROM `100%%` WHERE `id` IN (%s, %s)"
+    assert jdbc.upsert_sql(db, "t", ["id"]) == "INSERT INTO `t` (`id`) VALUES (%s) ON DUPLICATE KEY UPDATE `id` = VALUES(`id`)"

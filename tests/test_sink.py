@@ -69,3 +69,40 @@ def test_file_table_versions(spark, tmp_path):
     assert t.read().count() == 2 and t.versions() == [0, 1]
     t.change(2, lambda old: old.where("id > 1"))
     assert t.versions() == [1, 2] and t.read().count() == 1
+
+
+def test_conflicts_keep_large_numbers_and_nulls(spark):
+    big = 2**53 + 1
+    schema = "id long, code long, name string"
+    target = spark.createDataFrame([(big, 1, "a"), (big + 2, None, "b"), (7, 3, None)], schema)
+    new = spark.createDataFrame([(1, big, None, None), (2, big + 4, 3, "c"), (3, None, None, "d"), (4, None, 9, "e")], f"seq long, {schema}")
+    found = sink.fold_conflicts(target, new, [["id"], ["code"]]).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(big, None, None), (big + 2, None, "b"), (big + 4, 3, "c"), (None, None, "d"), (None, 9, "e")], key=repr)
+
+
+def test_conflicts_in_the_order_of_any_sequence(spark):
+    schema = "seq struct<f: long, p: long>, id long, code long"
+    new = spark.createDataFrame([((1, 10), 1, 5), ((1, 9), 2, 5), ((0, 99), 3, 5)], schema)
+    assert sink.fold_conflicts(spark.createDataFrame([], "id long, code long"), new, [["id"], ["code"]]).collect() == [(1, 5)]
+
+
+def test_rows_that_share_nothing_with_a_record_are_not_grouped(spark, monkeypatch):
+    seen, found = [], sink.components
+
+    def counted(links):
+        seen.append(links.count())
+        return found(links)
+
+    monkeypatch.setattr(sink, "components", counted)
+    target = spark.range(1000).selectExpr("id", "id + 5000 AS code")
+    new = spark.createDataFrame([(1, 3, 5004)], "seq long, id long, code long")
+    with pytest.raises(Exception, match="two rows"):
+        sink.fold_conflicts(target, new, [["id"], ["code"]]).collect()
+    assert seen == [6]  # the record's two values and those of the two rows
+
+
+def test_records_with_a_null_in_their_key_all_stand(spark):
+    target = spark.createDataFrame([(1, "a")], "id long, name string")
+    new = spark.createDataFrame([(1, "create", None, "x"), (2, "create", None, "y"), (3, "delete", None, "x"), (4, "update", 1, "b")], "seq long, operation string, id long, name string")
+    assert sorted(map(tuple, sink.replay(target, new, ["id"]).collect()), key=repr) == sorted([(1, "b"), (None, "x"), (None, "y")], key=repr)
+    assert sink.upsert(target, new.where("operation <> 'delete'").drop("operation"), ["id"]).count() == 3

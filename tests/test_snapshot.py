@@ -84,3 +84,19 @@ def test_positions_survive_json():
     tables = {"a": [KeyPosition("", (1 << 60) + 1, 9)], "b": [KeyPosition("x", b"\x00\xff", b"z"), KeyPosition("y", dt.datetime(2024, 1, 2), dt.datetime(2025, 1, 1))]}
     assert envelope.parse_position(envelope.snapshot_position_json(tables, LogPosition("f.1", 4))) == (tables, LogPosition("f.1", 4))
     assert envelope.parse_position("") is None
+
+
+def test_a_mark_inside_an_event_survives():
+    mark = envelope.LogPosition("binlog.000002", 504, (1 << 31) - 1)
+    text = envelope.snapshot_position_json({"t": [envelope.KeyPosition("id", 1, 9)]}, mark)
+    tables, found = envelope.parse_position(text)
+    assert found == mark and tables == {"t": [envelope.KeyPosition("id", 1, 9)]}
+    old = '{"snapshot_position":{"snapshots":{"t":{"last_read":1,"snapshot_end":9}},"mark":{"name":"b.1","pos":4}}}'
+    assert envelope.parse_position(old) == ({"t": [envelope.KeyPosition("", 1, 9)]}, envelope.LogPosition("b.1", 4))
+
+
+def test_a_position_of_another_column_is_ignored(spark):
+    df = spark.range(10).selectExpr("id AS a", "10 - id AS b")
+    assert snapshot.plan(df, "t", ("b",), [envelope.KeyPosition("a", 5, 9)]).start == (1,)
+    assert snapshot.plan(df, "t", ("b",), [envelope.KeyPosition("b", 5, 9)]).start == (5,)
+    assert snapshot.plan(df, "t", ("b",), [envelope.KeyPosition("", 5, 9)]).start == (5,)
