@@ -47,21 +47,32 @@ SHARD_IDS = 1 << 20
 LEAST_COUNT = 4
 
 
+#: Pairs are told apart by so many bits of a hash before they are compared.
+MARK_BITS = 20
+
+
+def marks(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MARK_BITS)
+
+
 def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, compressed symbols, indexes of documents' last symbols).
 
     ``doc_last`` has the index of each document's last id; ids are below ``first_rule``.
+    A pair that is frequent after a round was so before it, or has one of the round's
+    nonterminals; only places of such pairs are counted again.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), dtype=bool)
     last[doc_last] = True
+    live = ~last
     rules, n_rules = [np.zeros(0, dtype=np.uint64)], 0
-    while len(seq) > 1:
-        key = seq[:-1].astype(np.uint64)
+    while True:
+        place = np.flatnonzero(live)
+        key = seq[place].astype(np.uint64)
         key <<= np.uint64(32)
-        key |= seq[1:]
-        ends = np.flatnonzero(last[:-1])
-        ordered = np.sort(np.delete(key, ends))
+        key |= seq[place + 1]
+        ordered = np.sort(key)
         edge = np.r_[np.zeros(min(1, len(ordered)), dtype=np.int64), np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]
         count = np.diff(np.r_[edge, len(ordered)])
         often = np.flatnonzero(count >= least)
@@ -77,23 +88,28 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             left[a] = right[b] = 1
             chosen.append(i)
         found = np.sort(pairs[chosen])
-        is_left, is_right = np.frombuffer(left, dtype=bool)[seq], np.frombuffer(right, dtype=bool)[seq]
-        may = is_left[:-1] & is_right[1:]
-        may[ends] = False
-        at = np.flatnonzero(may)
-        place = np.minimum(np.searchsorted(found, key[at]), len(found) - 1)
-        hit = found[place] == key[at]
-        at, place = at[hit], place[hit]
+        mark = np.zeros(1 << MARK_BITS, dtype=np.uint8)
+        mark[marks(pairs)] = 1
+        mark[marks(found)] = 2
+        seen = mark[marks(key)]
+        maybe = np.flatnonzero(seen == 2)
+        rule = np.minimum(np.searchsorted(found, key[maybe]), len(found) - 1)
+        hit = found[rule] == key[maybe]
+        at, rule = place[maybe[hit]], rule[hit]
         # Only runs of one symbol overlap themselves: take every other place of a run.
         new = np.r_[True, at[1:] != at[:-1] + 1]
         start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - start) % 2 == 0
-        at, place = at[take], place[take]
-        seq[at] = first_rule + n_rules + place
+        at, rule = at[take], rule[take]
+        live[place] = seen > 0
+        live[at[at > 0] - 1] = True
+        live[at] = True
+        seq[at] = first_rule + n_rules + rule
         last[at] = last[at + 1]
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        seq, last, live = seq[keep], last[keep], live[keep]
+        live &= ~last
         rules.append(found)
         n_rules += len(found)
     flat = np.concatenate(rules)
