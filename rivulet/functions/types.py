@@ -6,6 +6,7 @@ import json
 import re
 from dataclasses import dataclass, field
 
+import pyarrow.fs as pafs
 from pyspark.sql import types as T
 
 # Avro type of each column type as a result set names it.
@@ -26,6 +27,11 @@ FIXED_SIZE = 8
 SPARK_OF_AVRO = {"int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "string": T.StringType(), "bytes": T.BinaryType(), "fixed": T.BinaryType(), "boolean": T.BooleanType()}
 
 
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+
+
 class UnsupportedType(ValueError):
     """A column has a type without an Avro equivalent."""
 
@@ -89,15 +95,37 @@ def struct_of(columns: list[AvroColumn]) -> T.StructType:
 
 @dataclass
 class SchemaRegistry:
-    """Versions of schemas by subject; the same schema registered again keeps its version."""
+    """Versions of schemas by subject; the same schema registered again keeps its version.
+
+    With a ``path`` (any file system that pyarrow knows) versions are kept in that file,
+    so they outlive the driver.  One driver writes at a time.
+    """
 
     versions: dict[str, list[str]] = field(default_factory=dict)
+    path: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.path:
+            fs, place = filesystem(self.path)
+            if fs.get_file_info(place).type == pafs.FileType.File:
+                with fs.open_input_stream(place) as f:
+                    self.versions = json.loads(f.read())
+
+    def save(self) -> None:
+        """Write all versions beside the file and put them in its place."""
+        fs, place = filesystem(self.path)
+        fs.create_dir(place.rpartition("/")[0] or ".", recursive=True)
+        with fs.open_output_stream(f"{place}.new") as f:
+            f.write(json.dumps(self.versions).encode())
+        fs.move(f"{place}.new", place)
 
     def register(self, subject: str, schema: dict) -> tuple[str, int]:
         known = self.versions.setdefault(subject, [])
         text = canonical(schema)
         if text not in known:
             known.append(text)
+            if self.path:
+                self.save()
         return subject, known.index(text) + 1
 
     def get(self, subject: str, version: int) -> dict:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SNAPSHOT, CREATE, UPDATE, DELETE = "snapshot", "create", "update", "delete"
 #: Fixed value: metadata key of the server id.
@@ -72,6 +73,20 @@ def typed(value: object) -> object:
     return value
 
 
+def typed_column(value: Column, kind: T.DataType) -> Column:
+    """The same as a column, to be made JSON."""
+    named = lambda name, text: F.struct(F.lit(name).alias("type"), text.alias("value"))
+    if isinstance(kind, T.BinaryType):
+        return named("bytes", F.base64(value))
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return named("timestamp", F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    if isinstance(kind, T.DateType):
+        return named("date", value.cast("string"))
+    if isinstance(kind, T.DecimalType):
+        return named("decimal", value.cast("string"))
+    return value
+
+
 def untyped(value: object) -> object:
     import base64
     import datetime as dt
@@ -100,6 +115,12 @@ def parse_position(text: str) -> LogPosition | tuple[dict[str, list[KeyPosition]
     return tables, LogPosition(mark["name"], mark["pos"], mark.get("idx", 0)) if mark else None
 
 
+def position_json(position: Column) -> Column:
+    """The text of ``log_position_json`` for a position struct: name, pos, idx and prev."""
+    place = [position["name"].alias("name"), position["pos"].alias("pos"), position["prev"].alias("prev"), F.nullif(position["idx"], F.lit(0)).alias("idx")]
+    return F.to_json(F.struct(F.struct(*place).alias("cdc_position")))
+
+
 def key_struct(keys: tuple[str, ...], source: str | None = None) -> Column:
     """The key as a struct of its columns (of the struct ``source`` if given)."""
     return F.struct(*[(F.col(f"{source}.{k}") if source else F.col(k)).alias(k) for k in keys])
@@ -122,8 +143,6 @@ def as_json(records: DataFrame) -> DataFrame:
 
 def from_json_key(records: DataFrame, schema: str, column: str = "key") -> DataFrame:
     """Key columns parsed with their types, which keeps all digits of large integers; a key that lacks one fails."""
-    from pyspark.sql import types as T
-
     parsed = F.from_json(column, schema)
     names = [f.name for f in T.StructType.fromDDL(schema).fields]
     checked = [F.when(F.col("rv_key").isNull() | F.col(f"rv_key.{n}").isNull(), F.raise_error(F.lit(f"key has no {n}"))).otherwise(F.col(f"rv_key.{n}")).alias(n) for n in names]

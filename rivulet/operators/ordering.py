@@ -3,7 +3,10 @@
 Rows are put into buckets that ascend with the order; the bounds come from a
 sample chosen by a hash of the order columns, so they are the same whenever the
 plan runs.  Windows run inside buckets; what lies before a bucket comes from a
-table with one row for each.
+table with one row for each.  There are at most ``MOST_BUCKETS`` buckets: so many
+bounds come to the driver and go into the plan, where a row finds its bucket by
+binary search.  Beyond ``MOST_BUCKETS * ROWS_PER_BUCKET`` rows buckets grow; a window
+streams over a sorted bucket, which may be on disk.
 """
 
 from __future__ import annotations
@@ -13,25 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROWS_PER_BUCKET = 200_000
+MOST_BUCKETS = 1024
 SAMPLES_PER_BUCKET = 64
 
 
 def bounds(df: DataFrame, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> list:
-    """Values of the order columns that part the buckets; at most a few for each bucket come to the driver."""
+    """Values of the order columns that part the buckets, ascending and distinct: one less than there are buckets, at most."""
     n = df.count()
-    buckets = -(-n // rows_per_bucket)
+    buckets = min(MOST_BUCKETS, -(-n // rows_per_bucket))
     if buckets < 2:
         return []
     every = max(1, n // (buckets * SAMPLES_PER_BUCKET))
-    key = F.struct(*order)
-    sample = df.select(key.alias("k")).where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).orderBy("k")
-    rows = [r["k"] for r in sample.limit(4 * buckets * SAMPLES_PER_BUCKET).collect()]
-    step = max(1, len(rows) // buckets)
-    out = []
-    for r in rows[step::step]:
-        if not out or r != out[-1]:
-            out.append(r)
-    return out
+    # Rows of equal values are taken once, so the sample has a bounded size whatever its values.
+    sample = df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).distinct().select(F.struct(*order).alias("k"))
+    part = F.ntile(buckets).over(Window.orderBy("k"))
+    rows = sample.select("k", part.alias("part")).groupBy("part").agg(F.min("k").alias("k")).where("part > 1").orderBy("part").collect()
+    return [r["k"] for r in rows]
 
 
 def bucket(df: DataFrame, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
@@ -41,8 +41,14 @@ def bucket(df: DataFrame, order: list[str], rows_per_bucket: int = ROWS_PER_BUCK
     if not found:
         return F.lit(0)
     literal = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields, strict=True)]) for r in found])
-    key = F.struct(*order)
-    return F.size(F.filter(literal, lambda b: b <= key))
+    key, n = F.struct(*order), len(found)
+    steps = F.array(*[F.lit(1 << i) for i in range(n.bit_length() - 1, -1, -1)])
+
+    def go_on(at: Column, step: Column) -> Column:
+        """``at`` bounds are known to be at most the key; are ``step`` more?"""
+        return F.when((at + step <= n) & (F.get(literal, at + step - 1) <= key), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), go_on)
 
 
 def with_row_number(df: DataFrame, order: list[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:

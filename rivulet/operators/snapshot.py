@@ -8,10 +8,11 @@ that Spark splits; pages are only a way to look at it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from . import envelope
@@ -154,6 +155,42 @@ def records(df: DataFrame, spec: ScanSpec, record_keys: tuple[str, ...] | None =
     return rows.select(*head, envelope.key_struct(record_keys or spec.keys).alias("key"), row, F.struct(*spec.keys).alias("last_read"), end.alias("snapshot_end"))
 
 
+def next_page(df: DataFrame, spec: ScanSpec) -> tuple[DataFrame, ScanSpec] | None:
+    """(the rows of the scan's next page, the scan that is left), or None at its end.
+
+    A page has ``fetch_size`` rows and those that share its last row's key, so rows of
+    equal keys are never parted.  Only the last key comes to the driver.
+    """
+    order = [F.col(k) for k in spec.keys]
+    row = scan(df, spec).select(*order).orderBy(*order).limit(spec.fetch_size).agg(F.max(F.struct(*spec.keys)).alias("last")).first()
+    if row["last"] is None:
+        return None
+    last = tuple(row["last"])
+    return scan(df, replace(spec, end=last)), replace(spec, start=last, start_read=True)
+
+
+def positions_after(spec: ScanSpec, last: tuple) -> list[envelope.KeyPosition]:
+    """How far a scan is read when ``last`` is its last key."""
+    return [envelope.KeyPosition(k, v, e) for k, v, e in zip(spec.keys, last, spec.end or last, strict=True)]
+
+
+def key_positions(record: Row) -> list[envelope.KeyPosition]:
+    """The position of a snapshot record, from its structs ``last_read`` and ``snapshot_end``."""
+    last, end = record["last_read"].asDict(), record["snapshot_end"].asDict()
+    return [envelope.KeyPosition(k, v, end[k]) for k, v in last.items()]
+
+
+def with_position(found: DataFrame, spec: ScanSpec, done: Mapping[str, list[envelope.KeyPosition]] | None = None, mark: envelope.LogPosition | None = None) -> DataFrame:
+    """Records with ``position``: the tables that are done, and this one up to the record, as JSON that ``parse_position`` reads."""
+    kinds = {f.name: f.dataType for f in found.schema["last_read"].dataType.fields}
+    one = [F.struct(F.lit(k).alias("key_name"), envelope.typed_column(F.col(f"last_read.{k}"), kinds[k]).alias("last_read"), envelope.typed_column(F.col(f"snapshot_end.{k}"), kinds[k]).alias("snapshot_end")) for k in spec.keys]
+    own = F.to_json(one[0] if len(one) == 1 else F.array(*one), {"ignoreNullFields": "false"}) if len({str(kinds[k]) for k in spec.keys}) == 1 else F.concat(F.lit("["), F.concat_ws(",", *[F.to_json(x, {"ignoreNullFields": "false"}) for x in one]), F.lit("]"))
+    # The text is cut where this table's entry goes; the place holder cannot be part of a position.
+    hole = "\x00"
+    before, after = envelope.snapshot_position_json({**(done or {}), spec.table: [envelope.KeyPosition(hole, 0, 0)]}, mark).split(json.dumps({"key_name": hole, "last_read": 0, "snapshot_end": 0}, separators=(",", ":")))
+    return found.withColumn("position", F.concat(F.lit(before), own, F.lit(after)))
+
+
 def multi_table(tables: Mapping[str, tuple[DataFrame, ScanSpec | None]]) -> DataFrame:
     """Records of several tables with JSON keys and rows; empty tables add nothing."""
     out = None

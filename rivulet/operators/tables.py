@@ -1,22 +1,40 @@
-"""File tables that a sink rewrites: versions in folders, the newest complete one counts.
+"""File tables that a sink changes bucket by bucket.
 
-A version is written by Spark's commit protocol and is complete when its
-``_SUCCESS`` file is there.  Versions are numbered by batch, so a batch that is
-applied again finds its version and does nothing.
+Rows lie in buckets by a hash of their key.  A version is a manifest, a small JSON
+file that names the folders each bucket consists of; it is renamed into place, so it
+is there whole or not at all.  A change reads and writes the buckets that its records
+fall into and takes over the others as they are; a table without keys gets its new
+rows as a further folder.  Folders that no kept version names are deleted.
+
+A change comes from a batch, named by its stream and number.  A stream's batch that is
+applied again finds its number and does nothing; another stream (a new or lost
+checkpoint) is known by its name and is applied, however its batches are numbered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from pyspark.sql import DataFrame, SparkSession
+BUCKET = "rv_bucket"
 
 
 @dataclass
 class FileTable:
+    """``keys`` and ``buckets`` are fixed by the first version."""
+
     spark: SparkSession
     path: str
+    keys: tuple[str, ...] = ()
+    buckets: int = 64
+    keep: int = 2
+    _known: dict = field(default_factory=dict, repr=False)
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -25,31 +43,94 @@ class FileTable:
 
     def versions(self) -> list[int]:
         fs, path = self._fs()
-        if not fs.exists(path(self.path)):
+        place = path(f"{self.path}/versions")
+        if not fs.exists(place):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        return sorted(int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit() and fs.exists(path(f"{self.path}/{n}/_SUCCESS")))
+        names = [s.getPath().getName() for s in fs.listStatus(place)]
+        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json") and n[1:-5].isdigit())
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def manifest(self, version: int | None = None) -> dict:
         known = self.versions()
         if not known:
             raise FileNotFoundError(f"{self.path} has no version")
-        return self.spark.read.parquet(f"{self.path}/v{known[-1] if version is None else version}")
+        v = known[-1] if version is None else version
+        if v not in self._known:
+            self._known[v] = json.loads("\n".join(r[0] for r in self.spark.read.text(f"{self.path}/versions/v{v}.json", wholetext=True).collect()))
+        return self._known[v]
+
+    def _commit(self, manifest: dict, version: int) -> None:
+        fs, path = self._fs()
+        hidden, final = path(f"{self.path}/versions/.{uuid.uuid4().hex}"), path(f"{self.path}/versions/v{version}.json")
+        out = fs.create(hidden)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        if not fs.rename(hidden, final):
+            raise RuntimeError(f"version {version} of {self.path} was written by another")
+        known = self.versions()
+        named = {f for v in known[-self.keep :] for folders in self.manifest(v)["folders"].values() for f in folders}
+        for v in known[: -self.keep]:
+            for folders in self.manifest(v)["folders"].values():
+                for f in set(folders) - named:
+                    fs.delete(path(f"{self.path}/data/{f}"), True)
+            fs.delete(path(f"{self.path}/versions/v{v}.json"), False)
+
+    def bucket(self, keys: Iterable[str], buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
-    def write(self, df: DataFrame, version: int) -> bool:
-        """Write a version; False if it was there already."""
-        if version in self.versions():
+    def _write(self, rows: DataFrame, keys: list[str], buckets: int) -> dict[str, list[str]]:
+        """The folder of each bucket that has rows."""
+        fs, path = self._fs()
+        name = uuid.uuid4().hex
+        if not keys:
+            rows.write.parquet(f"{self.path}/data/{name}")
+            return {"": [name]}
+        # Rows of a bucket come together, so each bucket is a few files.
+        rows.withColumn(BUCKET, self.bucket(keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{name}")
+        found = [s.getPath().getName() for s in fs.listStatus(path(f"{self.path}/data/{name}"))]
+        return {n.split("=")[1]: [f"{name}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
+
+    def _read(self, manifest: dict, only: Iterable[str] | None = None) -> DataFrame:
+        schema = StructType.fromJson(manifest["schema"])
+        chosen = manifest["folders"] if only is None else {b: manifest["folders"][b] for b in only if b in manifest["folders"]}
+        paths = [f"{self.path}/data/{f}" for folders in chosen.values() for f in folders]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self._read(self.manifest(version))
+
+    def write(self, df: DataFrame) -> bool:
+        """Write the first version; False if there is one already."""
+        if self.versions():
             return False
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+        folders = self._write(df, list(self.keys), self.buckets)
+        self._commit({"schema": json.loads(df.schema.json()), "keys": list(self.keys), "buckets": self.buckets, "folders": folders, "applied": {}}, 0)
         return True
 
-    def change(self, version: int, step: Callable[[DataFrame], DataFrame], keep: int = 2) -> bool:
-        """Make a version from the one before and drop all but the last ``keep``."""
+    def change(self, batch: tuple[str, int], records: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
+        """Apply ``step(old rows, records)`` to the buckets that ``records`` fall into; False if the batch was applied before."""
         known = self.versions()
-        if known and version <= known[-1]:
+        manifest = self.manifest()
+        stream, number = batch
+        if number <= manifest["applied"].get(stream, -1):
             return False
-        self.write(step(self.read()), version)
-        fs, path = self._fs()
-        for v in self.versions()[:-keep]:
-            fs.delete(path(f"{self.path}/v{v}"), True)
+        keys, buckets = manifest["keys"], manifest["buckets"]
+        folders = dict(manifest["folders"])
+        if keys:
+            # At most as many rows as there are buckets.
+            touched = sorted(str(r[0]) for r in records.select(self.bucket(keys, buckets).alias("b")).distinct().collect())
+            if touched:
+                new = self._write(step(self._read(manifest, touched), records), keys, buckets)
+                folders = {b: f for b, f in folders.items() if b not in touched} | new
+        elif not records.isEmpty():
+            empty = self.spark.createDataFrame([], StructType.fromJson(manifest["schema"]))
+            folders[""] = folders.get("", []) + self._write(step(empty, records), keys, buckets)[""]
+        # Streams other than the current one are kept, so that none of them is applied twice.
+        applied = {**manifest["applied"], stream: number}
+        self._commit({**manifest, "folders": folders, "applied": applied}, known[-1] + 1)
         return True
+
+    def compact(self) -> None:
+        """Put the folders of a table without keys together."""
+        manifest, known = self.manifest(), self.versions()
+        if not manifest["keys"] and len(manifest["folders"].get("", [])) > 1:
+            self._commit({**manifest, "folders": self._write(self._read(manifest), [], manifest["buckets"])}, known[-1] + 1)

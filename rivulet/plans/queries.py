@@ -120,17 +120,31 @@ def snapshot_sorting_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("key.event_id", F.col("last_read.ts").alias("last_read"), F.col("snapshot_end.ts").alias("snapshot_end"))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 100 AND o_orderkey <= 900 ORDER BY o_orderkey LIMIT 250")
+@query("SELECT o_orderkey, o_custkey FROM orders, (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) WHERE o_orderkey > a + (b - a) // 3 AND o_orderkey <= b")
 def snapshot_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a scan that stopped after a third of the keys."""
     orders = read(spark, sf_dir, "orders")
-    spec = snapshot.plan(orders, "orders", ("o_orderkey",), [KeyPosition("o_orderkey", 100, 900)], fetch_size=250)
+    ((a,), (b,)) = snapshot.lexical_bounds(orders, ("o_orderkey",))
+    return snapshot.scan(orders, snapshot.plan(orders, "orders", ("o_orderkey",), [KeyPosition("o_orderkey", a + (b - a) // 3, b)])).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders, (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) WHERE o_orderkey > a + (b - a) // 3 AND o_orderkey <= b ORDER BY o_orderkey LIMIT 250")
+def snapshot_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next page of the same scan, 250 rows by key."""
+    orders = read(spark, sf_dir, "orders")
+    ((a,), (b,)) = snapshot.lexical_bounds(orders, ("o_orderkey",))
+    spec = snapshot.plan(orders, "orders", ("o_orderkey",), [KeyPosition("o_orderkey", a + (b - a) // 3, b)], fetch_size=250)
     return snapshot.page(orders, spec).select("o_orderkey", "o_custkey")
 
 
-@query("SELECT conv_id, turn, role FROM conversations WHERE (conv_id > 5 OR (conv_id = 5 AND turn > 1)) AND (conv_id < 60 OR (conv_id = 60 AND turn <= 2))")
+@query("""
+WITH m AS (SELECT min(conv_id) + (max(conv_id) - min(conv_id)) // 3 AS c FROM conversations)
+SELECT conv_id, turn, role FROM conversations, m WHERE conv_id > c OR (conv_id = c AND turn > 1)
+""")
 def snapshot_resume_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
-    spec = snapshot.plan(rows, "conversations", ("conv_id", "turn"), [KeyPosition("conv_id", 5, 60), KeyPosition("turn", 1, 2)])
+    (a, _), (b, last) = snapshot.lexical_bounds(rows, ("conv_id", "turn"))
+    spec = snapshot.plan(rows, "conversations", ("conv_id", "turn"), [KeyPosition("conv_id", a + (b - a) // 3, b), KeyPosition("turn", 1, last)])
     return snapshot.scan(rows, spec).select("conv_id", "turn", "role")
 
 
@@ -140,14 +154,8 @@ def chunk_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.chunked(orders, snapshot.plan(orders, "orders", ("o_orderkey",), fetch_size=1000)).select("o_orderkey", "chunk")
 
 
-@query("SELECT l_orderkey, l_linenumber, n, CAST(sum(n) OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS upto FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) ORDER BY 1, 2 LIMIT 500")
-def chunk_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 500 groups of ``chunk_ties_all``."""
-    return chunk_ties_all(spark, sf_dir).orderBy("l_orderkey", "l_linenumber").limit(500)
-
-
 @query("SELECT l_orderkey, l_linenumber, n, CAST(sum(n) OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS upto FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)")
-def chunk_ties_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chunk_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with equal sort keys are on one side of a page's edge or the other, never lost: numbers go up by their count."""
     rows = read(spark, sf_dir, "lineitem")
     ties = [c for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
@@ -172,13 +180,15 @@ def multi_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.multi_table(tables).withColumn("r", parsed).select("collection", "operation", F.coalesce("r.r_regionkey", "r.n_nationkey").alias("id"), F.coalesce("r.r_name", "r.n_name").alias("name"))
 
 
-@query("""
-SELECT * FROM (VALUES (0, '_apple'), (1, '123apple'), (2, 'apple'), (3, 'āpple'), (4, 'Apple'), (5, 'BANANA'), (6, 'Zebra')) t(place, str)
-""")
+SPELLINGS = "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN replace(c_mktsegment, 'U', 'Ü') ELSE replace(lower(c_mktsegment), 'e', 'é') END AS spelt FROM customer"
+
+
+@query(f"SELECT row_number() OVER (ORDER BY strip_accents(lower(spelt)), c_custkey) - 1 AS place, c_custkey, spelt FROM ({SPELLINGS})")
 def collation_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "Zebra"), (2, "apple"), (3, "BANANA"), (4, "āpple"), (5, "_apple"), (6, "123apple"), (7, "Apple")], "id int, str string")
-    keyed = rows.withColumn("k", F.collate("str", "UNICODE_CI_AI"))
-    return with_row_number(keyed, ["k", "id"], "place").select(F.col("place").cast("int").alias("place"), F.col("str"))
+    """Words in four spellings, in an order that ignores case and accents; equal words by key."""
+    read(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    keyed = spark.sql(SPELLINGS).withColumn("k", F.collate("spelt", "UNICODE_CI_AI"))
+    return with_row_number(keyed, ["k", "c_custkey"], "place").select("place", "c_custkey", "spelt")
 
 
 # ---- values --------------------------------------------------------------------
@@ -252,11 +262,12 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a log of updates: ten events make one, which has five pairs of images."""
+    """``events`` as a log of updates: ten rows make one event, each with an image before (value -1) and one after."""
     e = read(spark, sf_dir, "events")
     group = F.floor(F.col("event_id") / 10)
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "user_id", "value"))), lambda r: F.struct(r["event_id"].alias("event_id"), r["user_id"].alias("user_id"), r["value"].alias("value")))
-    log = e.groupBy(group.alias("g")).agg(rows.alias("rows"), F.min(F.unix_timestamp("ts")).alias("ts")).where("size(rows) % 2 = 0")
+    image = lambda r, value: F.struct(r["event_id"].alias("event_id"), r["user_id"].alias("user_id"), value.alias("value"))
+    rows = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "user_id", "value"))), lambda r: F.array(image(r, F.lit(-1.0)), image(r, r["value"]))))
+    log = e.groupBy(group.alias("g")).agg(rows.alias("rows"), F.min(F.unix_timestamp("ts")).alias("ts"))
     file = F.format_string("binlog.%06d", F.floor(F.col("g") / 50) + 1)
     return log.select(file.alias("file"), (F.col("g") % 50 * 100 + 4).alias("pos"), "ts", F.lit(1).alias("server_id"), F.lit("db").alias("database"), F.lit("users").alias("collection"), F.lit("update").alias("action"), "rows")
 
@@ -273,9 +284,7 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH g AS (SELECT event_id // 10 AS g, event_id, value, row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY event_id // 10) AS n FROM events)
-SELECT a.event_id AS before_id, b.event_id AS after_id, a.value AS before_value, b.value AS after_value, CAST(a.i // 2 AS INTEGER) AS idx
-FROM g a JOIN g b ON a.g = b.g AND b.i = a.i + 1 WHERE a.i % 2 = 0 AND a.n % 2 = 0
+SELECT event_id AS before_id, event_id AS after_id, -1.0::DOUBLE AS before_value, value AS after_value, CAST(row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS INTEGER) AS idx FROM events
 """)
 def cdc_update_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = changes.pairs(grouped_log(spark, sf_dir))
@@ -283,11 +292,11 @@ def cdc_update_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LOG_SQL = """
-WITH g AS (SELECT event_id // 10 AS g, event_id, row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY event_id // 10) AS n FROM events),
-k AS (SELECT DISTINCT g FROM g WHERE n % 2 = 0),
+WITH g AS (SELECT event_id // 10 AS g, event_id, row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS i FROM events),
+k AS (SELECT DISTINCT g FROM g),
 e AS (SELECT g, printf('binlog.%06d', g // 50 + 1) AS file, g % 50 * 100 + 4 AS pos FROM k),
 p AS (SELECT *, lag(file) OVER (ORDER BY g) AS prev_file, lag(pos) OVER (ORDER BY g) AS prev_pos FROM e),
-r AS (SELECT p.*, g.event_id AS after_id, CAST(g.i // 2 AS INTEGER) AS idx FROM p JOIN g USING (g) WHERE g.i % 2 = 1)
+r AS (SELECT p.*, g.event_id AS after_id, CAST(g.i AS INTEGER) AS idx FROM p JOIN g USING (g))
 """
 
 
@@ -379,14 +388,27 @@ def sink_replay_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.replay(target, records, ["c_custkey"])
 
 
-@query("""
-SELECT * FROM (VALUES (2, 'anotherUser', 'another@example.com', 30), (3, 'uniqueUser', 'new@example.com', 35), (4, 'newUser', 'initial@example.com', 25), (5, 'newUniqueUser', 'unique@example.com', 40)) t(id, username, email, age)
+MEMBERS = "SELECT c_custkey AS k, c_custkey + 9007199254740993 AS id, 'm' || c_custkey AS login, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 1000 END AS room, c_custkey // 1000 AS floor FROM customer"
+
+
+@query(f"""
+WITH m AS ({MEMBERS})
+SELECT CASE k % 4 WHEN 0 THEN id + 4000000000000000000 WHEN 1 THEN CASE WHEN room IS NULL THEN id ELSE id + 4000000000000000000 END ELSE id END AS id,
+  CASE WHEN k % 4 = 1 AND room IS NOT NULL THEN 'n' || k ELSE login END AS login, CASE WHEN k % 4 = 0 THEN NULL ELSE room END AS room, floor FROM m
+UNION ALL SELECT id + 4000000000000000000, 'n' || k, room, floor FROM m WHERE k % 4 = 1 AND room IS NULL
+UNION ALL SELECT id + 4000000000000000000, 'n' || k, NULL, NULL FROM m WHERE k % 4 = 2
 """)
 def sink_unique_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "id int, username string, email string, age int"
-    target = spark.createDataFrame([(1, "uniqueUser", "initial@example.com", 25), (2, "anotherUser", "another@example.com", 30)], schema)
-    new = [(1, 3, "uniqueUser", "new@example.com", 35), (2, 4, "newUser", "initial@example.com", 25), (3, 5, "newUniqueUser", "unique@example.com", 40)]
-    return sink.fold_conflicts(target, spark.createDataFrame(new, f"seq long, {schema}"), [["id"], ["username"], ["email", "age"]])
+    """Three unique keys, ids beyond 2**53 and nulls: a quarter of the records meet a row by its login, a quarter by its
+    room and floor (or none, where the room is null), a quarter no row; a quarter of the rows meet no record."""
+    read(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    m = spark.sql(MEMBERS.replace("//", "DIV"))
+    far, kind = F.col("id") + 4000000000000000000, F.col("k") % 4
+    new = m.where(kind < 3).select(
+        F.col("k").alias("seq"), far.alias("id"), F.when(kind == 0, F.col("login")).otherwise(F.concat(F.lit("n"), "k")).alias("login"),
+        F.when(kind == 1, F.col("room")).alias("room"), F.when(kind < 2, F.col("floor")).alias("floor"),
+    )
+    return sink.fold_conflicts(m.drop("k"), new, [["id"], ["login"], ["room", "floor"]])
 
 
 @query("SELECT o_orderkey + 9007199254740993 AS id, o_orderpriority AS name FROM orders")
@@ -415,24 +437,4 @@ def combined_snapshot_then_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("r", image).select("stage", "operation", F.coalesce("r.c_custkey", "r.user_id").alias("user_id"), F.coalesce("r.c_mktsegment", "r.event_type").alias("label"))
 
 
-@query(f"""
-{LAST_SQL}
-SELECT user_id, event_type, value FROM l WHERE r = 1 AND event_type <> 'error'
-""")
-def cdc_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log streamed in micro-batches into a file table, each batch a version."""
-    import uuid
-
-    from ..operators.storage import shared_folder
-    from ..operators.tables import FileTable
-    from ..streaming import apply
-
-    place = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    rows = changes.pairs(event_log(spark, sf_dir)).select("file", "pos", "idx", "collection", "action", F.to_json("before").alias("before"), F.to_json("after").alias("after"))
-    rows.write.parquet(f"{place}/log")
-    target = FileTable(spark, f"{place}/users")
-    schema = "user_id long, event_type string, value double"
-    target.write(spark.createDataFrame([], schema), 0)
-    stream = spark.readStream.schema(spark.read.parquet(f"{place}/log").schema).parquet(f"{place}/log")
-    apply.start(stream, {"users": (target, schema, ("user_id",))}, f"{place}/checkpoint", available_now=True).awaitTermination()
-    return target.read()
+from . import source_queries  # noqa: E402, F401  (registers the rest)

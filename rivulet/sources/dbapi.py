@@ -3,7 +3,7 @@
 Records are first reduced to the last one of each key, so rows of different
 tasks never touch the same key and their order does not matter.  Each task
 writes its part in one transaction, many rows a statement; a task that runs
-again writes the same rows.
+again writes the same rows.  With one task, a batch is one transaction.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sink
@@ -20,6 +20,10 @@ from .jdbc import Database, delete_sql, upsert_sql
 Connect = Callable[[], object]
 
 
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def batches(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
     held: list[Row] = []
     for r in rows:
@@ -60,19 +64,25 @@ def write(
     delete: Callable[[Database, str, Sequence[str], int], str] = delete_sql,
     rate_per_second: float = 0.0,
     burst: int = 0,
+    tasks: int | None = None,
 ) -> None:
-    """Apply records (``seq``, ``operation`` and the row's columns) to a table.
+    """Apply records (``seq``, ``operation`` and the row's columns) to a table, by ``tasks`` tasks (as many as Spark makes, unless given).
 
-    ``rate_per_second`` holds for each task.
+    The rate and the burst hold for all tasks together: each gets its share.
     """
     keys = sink.check_keys(records, keys)
     last = sink.last_by_key(records.withColumn("operation", sink.kind(F.col("operation"))), keys, seq).drop(seq)
     columns = [c for c in last.columns if c != "operation"]
+    if rate_per_second > 0 and tasks is None:
+        tasks = partitions_of(records.sparkSession)
+    if tasks is not None:
+        last = last.coalesce(1) if tasks == 1 else last.repartition(tasks, *keys)
+    share = max(1, tasks or 1)
 
     def run(rows: Iterator[Row]) -> None:
         connection = connect()
         try:
-            cursor, rate = connection.cursor(), Rate(rate_per_second, burst)
+            cursor, rate = connection.cursor(), Rate(rate_per_second / share, burst // share)
             for part in batches(rows, batch_size):
                 rate.take(len(part))
                 put = [r for r in part if r["operation"] == sink.UPSERT]

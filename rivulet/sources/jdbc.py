@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,8 @@ class Database:
     placeholder: str = "?"
     #: Whether a backslash in a text literal escapes; None: as is usual for the kind of database.
     backslash_escapes: bool | None = None
+    #: Whether pages are told as in the SQL standard (OFFSET .. FETCH) rather than by LIMIT.
+    standard_pages: bool = False
 
     @property
     def escapes(self) -> bool:
@@ -30,6 +34,12 @@ class Database:
     def name(self, identifier: str) -> str:
         return self.quote + identifier.replace(self.quote, 2 * self.quote) + self.quote
 
+    def page(self, first: int, size: int | None) -> str:
+        """The clause that skips ``first`` rows and takes ``size``, or all that follow."""
+        if self.standard_pages:
+            return f"OFFSET {first} ROWS" + (f" FETCH NEXT {size} ROWS ONLY" if size is not None else "")
+        return f"LIMIT {(1 << 63) - 1 if size is None else size} OFFSET {first}"
+
     def in_statement(self, identifier: str) -> str:
         """A name inside a statement with bound values; where ``%s`` binds, a per cent sign is written twice."""
         return self.name(identifier).replace("%", "%%") if self.placeholder == "%s" else self.name(identifier)
@@ -98,9 +108,19 @@ def count(spark: SparkSession, db: Database, table: str) -> int:
 
 
 def read(spark: SparkSession, db: Database, spec: ScanSpec, partitions: int = 1) -> DataFrame:
-    """The rows of a scan; a range of one integer key is read by several connections at once."""
+    """The rows of a scan, by several connections at once if its one key is an integer or it has none.
+
+    Without a key, each connection reads a page of the table in the order of all its columns.
+    """
     table, base = db.name(spec.table), where_sql(db, spec)
     options = db.options(spec.fetch_size)
+    if not spec.keys and partitions > 1:
+        whole = spark.read.format("jdbc").options(**options, query=f"SELECT * FROM {table}").load()
+        order, size = ", ".join(map(db.name, whole.columns)), max(1, -(-count(spark, db, spec.table) // partitions))
+        # Rows that are written meanwhile go to the last page, which has no end.
+        limits = [db.page(i * size, size if i < partitions - 1 else None) for i in range(partitions)]
+        pages = [spark.read.format("jdbc").options(**options, query=f"SELECT * FROM {table} ORDER BY {order} {limit}").load() for limit in limits]
+        return reduce(DataFrame.unionByName, pages)
     single = len(spec.keys) == 1 and spec.start is not None and isinstance(spec.start[0], int) and isinstance(spec.end[0], int)
     if partitions < 2 or not single or spec.end[0] <= spec.start[0]:
         return spark.read.format("jdbc").options(**options, query=f"SELECT * FROM {table} WHERE {base}").load()
@@ -149,6 +169,22 @@ def lock_sql(db: Database, tables: Iterable[str]) -> tuple[str, str]:
     return f"FLUSH TABLES {names} WITH READ LOCK", "UNLOCK TABLES"
 
 
+@contextmanager
+def locked(connect: Callable[[], object], db: Database, tables: Iterable[str]) -> Iterator[None]:
+    """Holds the tables still; the lock lives as long as the connection that took it."""
+    lock, unlock = lock_sql(db, tables)
+    connection = connect()
+    try:
+        cursor = connection.cursor()
+        cursor.execute(lock)
+        try:
+            yield
+        finally:
+            cursor.execute(unlock)
+    finally:
+        connection.close()
+
+
 def server_id(spark: SparkSession, db: Database) -> str:
     return str(spark.read.format("jdbc").options(**db.options(), query=server_id_sql()).load().first()[0])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,8 @@ from ..operators import sink
 from ..operators.changes import file_number, operation
 from ..operators.tables import FileTable
 
+Tables = Mapping[str, tuple[FileTable, str, tuple[str, ...]]]
+
 
 def flat_records(log_rows: DataFrame, collection: str, schema: str) -> DataFrame:
     """One table's rows as records: seq (position in the log), operation, and the columns of the image that counts."""
@@ -20,29 +23,44 @@ def flat_records(log_rows: DataFrame, collection: str, schema: str) -> DataFrame
     return log_rows.where(F.col("collection") == collection).select(seq.alias("seq"), operation(F.col("action")).alias("operation"), F.from_json(image, schema).alias("row")).select("seq", "operation", "row.*")
 
 
-def apply_batch(tables: Mapping[str, tuple[FileTable, str, tuple[str, ...]]]) -> Callable[[DataFrame, int], None]:
+def stream_id(batch: DataFrame, checkpoint: str) -> str:
+    """The id that a checkpoint got when it was made; it stays over restarts, and a new checkpoint has another."""
+    return json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def apply_batch(tables: Tables, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """A function for ``foreachBatch`` that applies a batch to file tables (table, row schema, keys).
 
-    A batch that comes again after a failure finds its version and is skipped.
-    Tables without keys get their rows appended.
+    A batch that comes again after a failure is skipped.  Tables without keys get
+    their rows appended.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            source = (stream_id(batch, checkpoint), batch_id)
             for name, (target, schema, keys) in sorted(tables.items()):
                 rows = flat_records(batch, name, schema)
                 if keys:
-                    target.change(batch_id + 1, lambda old, rows=rows, keys=keys: sink.replay(old, rows, keys))
+                    target.change(source, rows, lambda old, new, keys=keys: sink.replay(old, new, keys))
                 else:
-                    target.change(batch_id + 1, lambda old, rows=rows: sink.append(old, rows.where("operation <> 'delete'").drop("operation")))
+                    target.change(source, rows.where("operation <> 'delete'").drop("operation"), sink.append)
         finally:
             batch.unpersist()
 
     return run
 
 
-def start(stream: DataFrame, tables: Mapping[str, tuple[FileTable, str, tuple[str, ...]]], checkpoint: str, delay_ms: int = 1000, available_now: bool = False) -> StreamingQuery:
+def start(stream: DataFrame, tables: Tables, checkpoint: str, delay_ms: int = 1000) -> StreamingQuery:
     """Apply a stream of change-log rows to file tables."""
-    writer = stream.writeStream.foreachBatch(apply_batch(tables)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{delay_ms} milliseconds")).start()
+    writer = stream.writeStream.foreachBatch(apply_batch(tables, checkpoint)).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=f"{delay_ms} milliseconds").start()
+
+
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a query take all there is, in as many batches as it takes, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query

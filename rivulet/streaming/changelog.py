@@ -2,23 +2,34 @@
 
 The log is a folder of JSON-lines files whose names end in a number; files in
 order of that number, lines in order of ``pos``, make up the log.  An offset is
-the position of the last row taken: file name, pos and row index.  A micro-batch
-is the rows after one offset up to another, read by one task a file, and a
-restart inside an event goes on with its next row.
+the position of the last row taken: file name, pos and row index, and the byte at
+which its event begins, so that reading goes on there and never parses a file from
+its start again.  A micro-batch is the rows after one offset up to another, at most
+``maxrows`` of them, read by one task a file; a restart inside an event goes on with
+its next row.
+
+Spark asks a stream for its latest offset without saying where it is.  So the stream
+keeps the end of the last batch that was planned; a stream that starts again finds it
+in the checkpoint, named by the option ``checkpoint``.  Without that option the
+first batch after a restart has no bound.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from ..functions.types import filesystem
+
 SCHEMA = "file string, pos long, idx int, n_rows int, ts long, server_id long, database string, collection string, action string, before string, after string"
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 KINDS = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
@@ -28,12 +39,17 @@ LAST_ROW = (1 << 31) - 1
 
 @dataclass
 class LogFile(InputPartition):
-    """Rows of one file after ``start`` and up to ``end``, both (pos, idx)."""
+    """Rows of one file after ``start`` and up to ``end``, both (pos, idx); the event of ``start`` begins at ``byte``."""
 
     path: str
     name: str
     start: tuple[int, int]
     end: tuple[int, int]
+    byte: int = 0
+
+
+def offset(name: str = "", pos: int = -1, idx: int = -1, byte: int = 0) -> dict:
+    return {"name": name, "pos": pos, "idx": idx, "byte": byte}
 
 
 def number(name: str) -> int:
@@ -43,10 +59,6 @@ def number(name: str) -> int:
     return int(found[1])
 
 
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
-
-
 def log_files(path: str) -> list[tuple[str, str]]:
     """(path, name) of the files in log order."""
     fs, root = filesystem(path)
@@ -54,15 +66,36 @@ def log_files(path: str) -> list[tuple[str, str]]:
     return [(i.path, i.base_name) for i in sorted(found, key=lambda i: number(i.base_name))]
 
 
-def events(fs: pafs.FileSystem, path: str) -> Iterator[dict]:
-    """The events of a file; a last line that is not complete yet is not there yet."""
-    with fs.open_input_stream(path) as f:
-        rest = b""
+def events(fs: pafs.FileSystem, path: str, byte: int = 0) -> Iterator[tuple[int, dict]]:
+    """(where it begins, event) of a file from a byte on; a last line that is not complete yet is not there yet."""
+    with fs.open_input_file(path) as f:
+        f.seek(byte)
+        rest, at = b"", byte
         while block := f.read(1 << 20):
             *lines, rest = (rest + block).split(b"\n")
             for line in lines:
                 if line.strip():
-                    yield json.loads(line)
+                    yield at, json.loads(line)
+                at += len(line) + 1
+
+
+def last_event(fs: pafs.FileSystem, path: str) -> tuple[int, dict] | None:
+    """(where it begins, event) of the last complete line, found from the end of the file."""
+    with fs.open_input_file(path) as f:
+        size = f.size()
+        tail, first = b"", size
+        while first > 0:
+            step = min(1 << 16, first)
+            f.seek(first - step)
+            tail, first = f.read(step) + tail, first - step
+            whole = tail[: tail.rfind(b"\n") + 1]
+            # Of the lines in hand all but the first are known to be whole; at the file's start that one is too.
+            at = len(whole)
+            for line in reversed(whole.split(b"\n")[:-1]):
+                at -= len(line) + 1
+                if line.strip() and (at > 0 or first == 0):
+                    return first + at, json.loads(line)
+    return None
 
 
 def rows_of(event: dict) -> list[tuple[dict | None, dict | None]]:
@@ -77,16 +110,14 @@ def rows_of(event: dict) -> list[tuple[dict | None, dict | None]]:
     return list(zip(images[::2], images[1::2], strict=True))
 
 
-def read_file(part: LogFile, base: str, database: str | None, tables: frozenset[str]) -> Iterator[pa.RecordBatch]:
+def read_file(part: LogFile, base: str, wanted: Callable[[dict], bool]) -> Iterator[pa.RecordBatch]:
     fs, _ = filesystem(base)
     out: list[tuple] = []
-    for e in events(fs, part.path):
-        if e["action"] not in ROW_ACTIONS or (database and e["database"] != database) or (tables and e["collection"] not in tables):
-            continue
-        if e["pos"] < part.start[0]:
-            continue
+    for _, e in events(fs, part.path, part.byte):
         if e["pos"] > part.end[0]:
             break
+        if e["pos"] < part.start[0] or not wanted(e):
+            continue
         changed = rows_of(e)
         for idx, (before, after) in enumerate(changed):
             if part.start < (e["pos"], idx) <= part.end:
@@ -103,12 +134,40 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), KINDS, strict=True)], NAMES)
 
 
+def write_log(log: DataFrame, path: str) -> None:
+    """Write events (``file``, whose names end in a number, ``pos``, ``action``, ``rows`` and the rest) as a log folder.
+
+    Each log file is written by one task, in order; the driver only gives it its name.
+    """
+    spark, place = log.sparkSession, f"{path}.written"
+    event = F.to_json(F.struct(*[c for c in log.columns if c != "file"]), {"ignoreNullFields": "false"})
+    lines = log.select("file", "pos", event.alias("value")).repartition("file").sortWithinPartitions("file", "pos").select("file", "value")
+    lines.write.partitionBy("file").text(place)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(path))
+    for folder in fs.listStatus(hadoop(place)):
+        name = folder.getPath().getName()
+        if name.startswith("file="):
+            (part,) = [s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-")]
+            fs.rename(part, hadoop(f"{path}/{name[5:]}"))
+    fs.delete(hadoop(place), True)
+
+
 class _Log:
     def __init__(self, options: dict[str, str]) -> None:
         self.path = options["path"]
         self.database = options.get("database")
         self.tables = frozenset(t for t in options.get("tables", "").split(",") if t)
-        self.begin = json.loads(options["startingposition"]) if options.get("startingposition") else None
+        self.begin = {**offset(), **json.loads(options["startingposition"])} if options.get("startingposition") else offset()
+        self.limit = int(options.get("maxrows", "0"))
+        self.checkpoint = options.get("checkpoint")
+        self.at: dict | None = None
+        if self.limit < 0:
+            raise ValueError("maxrows is not negative")
+
+    def wanted(self, event: dict) -> bool:
+        return event["action"] in ROW_ACTIONS and (not self.database or event["database"] == self.database) and (not self.tables or event["collection"] in self.tables)
 
     def range(self, start: dict, end: dict) -> list[LogFile]:
         out, first, last = [], number(start["name"]) if start["name"] else -1, number(end["name"]) if end["name"] else -1
@@ -118,47 +177,90 @@ class _Log:
                 a = (start["pos"], start["idx"]) if n == first else (-1, -1)
                 b = (end["pos"], end["idx"]) if n == last else (1 << 62, LAST_ROW)
                 if a < b:
-                    out.append(LogFile(path, name, a, b))
+                    out.append(LogFile(path, name, a, b, start.get("byte", 0) if n == first else 0))
         return out
 
     def head(self) -> dict:
+        """The position of the last event; reads the end of the last file alone."""
         fs, _ = filesystem(self.path)
         for path, name in reversed(log_files(self.path)):
-            pos = -1
-            for e in events(fs, path):
-                pos = e["pos"]
-            if pos >= 0:
-                return {"name": name, "pos": pos, "idx": LAST_ROW}
-        return {"name": "", "pos": -1, "idx": -1}
+            if found := last_event(fs, path):
+                return offset(name, found[1]["pos"], LAST_ROW, found[0])
+        return offset()
 
-    def read(self, partition: LogFile) -> Iterator[pa.RecordBatch]:
-        return read_file(partition, self.path, self.database, self.tables)
+    def ahead(self, start: dict) -> dict:
+        """The position at most ``limit`` rows after ``start``; parses these rows alone."""
+        fs, _ = filesystem(self.path)
+        left, out, first = self.limit, start, number(start["name"]) if start["name"] else -1
+        for path, name in log_files(self.path):
+            n = number(name)
+            if n < first:
+                continue
+            for at, e in events(fs, path, start.get("byte", 0) if n == first else 0):
+                if n == first and e["pos"] < start["pos"]:
+                    continue
+                done = start["idx"] + 1 if n == first and e["pos"] == start["pos"] else 0
+                rows = max(0, len(rows_of(e)) - done) if self.wanted(e) else 0
+                if rows > left:
+                    return offset(name, e["pos"], done + left - 1, at) if left else out
+                left -= rows
+                if (n, e["pos"], LAST_ROW) > (first, start["pos"], start["idx"]):
+                    out = offset(name, e["pos"], LAST_ROW, at)
+        return out
+
+    def read(self, partition: LogFile | None) -> Iterator[pa.RecordBatch]:
+        """A read without partitions has one that is None."""
+        return read_file(partition, self.path, self.wanted) if partition else iter(())
+
+
+def planned(checkpoint: str) -> dict | None:
+    """The end of the last batch that a checkpoint has planned; offsets are the last line of its newest file."""
+    fs, root = filesystem(f"{checkpoint.rstrip('/')}/offsets")
+    if fs.get_file_info(root).type != pafs.FileType.Directory:
+        return None
+    found = [i for i in fs.get_file_info(pafs.FileSelector(root)) if i.base_name.isdigit()]
+    if not found:
+        return None
+    with fs.open_input_stream(max(found, key=lambda i: int(i.base_name)).path) as f:
+        last = f.read().decode().strip().splitlines()[-1]
+    return None if last == "-" else json.loads(last)
 
 
 class ChangeLogStream(_Log, DataSourceStreamReader):
     def initialOffset(self) -> dict:
-        return self.begin or {"name": "", "pos": -1, "idx": -1}
+        return self.begin
 
     def latestOffset(self) -> dict:
-        return self.head()
+        if not self.limit:
+            return self.head()
+        if self.at is None:
+            self.at = (planned(self.checkpoint) if self.checkpoint else None) or self.begin
+        return self.ahead(self.at)
 
     def partitions(self, start: dict, end: dict) -> list[LogFile]:
+        self.at = end
         return self.range(start, end)
 
     def commit(self, end: dict) -> None:
         """Nothing is kept at the source: the log stays where it is."""
 
+    def stop(self) -> None:
+        """Files are closed after each use; what is left is the place, which a new stream finds by itself."""
+        self.at = None
+
 
 class ChangeLogBatch(_Log, DataSourceReader):
     def partitions(self) -> list[LogFile]:
-        return self.range(self.begin or {"name": "", "pos": -1, "idx": -1}, self.head())
+        return self.range(self.begin, self.ahead(self.begin) if self.limit else self.head())
 
 
 class ChangeLogSource(DataSource):
     """``spark.dataSource.register(ChangeLogSource)``, then format ``changelog``.
 
-    Options: ``path``, ``database``, ``tables`` (names with commas between) and
-    ``startingposition`` (JSON with name, pos and idx; rows after it are read).
+    Options: ``path``, ``database``, ``tables`` (names with commas between),
+    ``startingposition`` (JSON with name, pos and idx; rows after it are read),
+    ``maxrows`` (rows of a micro-batch at most; 0: no bound) and ``checkpoint`` (the
+    stream's checkpoint folder, where a restart finds its place).
     """
 
     @classmethod

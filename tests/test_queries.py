@@ -40,7 +40,7 @@ def test_query_equals_sql(spark, data, db, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, want.fetchall())
 
 
-def test_chunk_ties_all_numbers_across_buckets(spark, data, db, monkeypatch):
+def test_chunk_ties_numbers_across_buckets(spark, data, db, monkeypatch):
     """Every group is returned, and numbers go on from one bucket to the next."""
     from rivulet.operators import ordering
     from rivulet.plans import queries
@@ -49,8 +49,8 @@ def test_chunk_ties_all_numbers_across_buckets(spark, data, db, monkeypatch):
     assert groups > 500
     monkeypatch.setattr(queries, "with_row_number", lambda df, order, name: ordering.with_row_number(df, order, name, rows_per_bucket=total // 7))
     assert len(ordering.bounds(queries.read(spark, data, "lineitem"), ["l_orderkey", "l_linenumber"], total // 7)) > 3
-    df = QUERIES["chunk_ties_all"](spark, data)
-    want = db.execute(ORACLE_SQL["chunk_ties_all"])
+    df = QUERIES["chunk_ties"](spark, data)
+    want = db.execute(ORACLE_SQL["chunk_ties"])
     columns = [d[0] for d in want.description]
     found = [tuple(r) for r in df.collect()]
     assert len(found) == groups and max(r[df.columns.index("upto")] for r in found) == total
