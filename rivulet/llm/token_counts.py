@@ -42,6 +42,10 @@ class PrefixCounter:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         m = self.model
+        # Ligatures, wide letters, accents apart, runs of blanks, other white space: kept as they are, or the counts would be of another text.
+        odd = "ﬁ Ａ  x\u0301 \t\n İ "
+        if m.normalize(odd) != SPACE + odd.replace(" ", SPACE):
+            raise ValueError("the model changes texts before it cuts them; prefix counts need one that does not")
         self.rank = {m.id_to_piece(i): -m.get_score(i) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i))}
         self.longest = max(map(len, self.rank))
         self.fits: dict[tuple[str, str], bool] = {}

@@ -44,6 +44,12 @@ def test_prefix_counts_equal_library():
             assert counts[n] <= budget and (counts[n + 1 :] > budget).all()
 
 
+def test_a_model_that_normalizes_is_refused(monkeypatch):
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "normalize", lambda self, text: text.lower())
+    with pytest.raises(ValueError, match="changes texts"):
+        token_counts.PrefixCounter(PIECE)
+
+
 def by_row(frame, columns):
     return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
 
