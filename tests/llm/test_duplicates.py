@@ -165,6 +165,29 @@ def test_near_duplicates_equal_brute_force(make_docs, block):
     assert got == classes(rows)
 
 
+def test_a_shared_passage_does_not_compare_all_pairs(spark, make_docs, monkeypatch):
+    """Unlike documents that a band throws together on their common passage; a few copies among them are found."""
+    passage = prose(1, 60, words=5000)
+    docs = [(d, f"{passage} {prose(1000 + d, 60, words=50_000)}") for d in range(300)]
+    docs += [(1000 + d, docs[d][1] + " more words here") for d in range(0, 300, 30)]
+    frame = make_docs(docs)
+    made, compared = [], near_duplicates.compared
+
+    def counted(blocks, threshold):
+        sides = blocks.groupBy("band", "key", "i", "j").agg(F.sum((F.col("side") % 2).cast("long")).alias("l"), F.sum((F.col("side") >= 2).cast("long")).alias("r"))
+        made.append(sides.agg(F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0))).first()[0])
+        return compared(blocks, threshold)
+
+    monkeypatch.setattr(near_duplicates, "compared", counted)
+    found = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame, block_nodes=8).collect()}
+    assert found == {i: i - 1000 if i >= 1000 else i for i, _ in docs}
+    plain = list(made)
+    made.clear()
+    monkeypatch.setattr(near_duplicates, "parted", lambda marked, elements: marked.drop("size"))
+    assert {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame, block_nodes=8).collect()} == found
+    assert made[0] == plain[0] and made[1] > 1.5 * plain[1]
+
+
 def test_odd_near_duplicates(odd, empty):
     rows = near_duplicates.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
