@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,19 @@ def drop_tables(spark: SparkSession, since: int = 0) -> None:
     del TABLES[since:]
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that were written inside; results have to be read or written before.
+
+    A query returns a plan that reads its tables, so it cannot delete them itself.
+    """
+    before = len(TABLES)
+    try:
+        yield
+    finally:
+        drop_tables(spark, before)
+
+
 def drop_last(spark: SparkSession, before: int) -> None:
     """Delete the table written ``before`` tables before the last."""
     delete(spark, TABLES.pop(-1 - before))

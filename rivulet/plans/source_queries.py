@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as norm
 from ..functions.types import AvroColumn, log_column
 from ..operators import changes, envelope, snapshot
-from ..operators.envelope import LogPosition, parse_position
+from ..operators.envelope import parse_position
 from ..operators.storage import shared_folder
 from ..operators.tables import FileTable
 from ..sources import catalog, jdbc
@@ -181,13 +181,10 @@ def log_source_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)], "place int, name string, type string")
 
 
-START = LogPosition("binlog.000002", 5004)
-
-
 @query("""
 SELECT printf('binlog.%06d', event_id // 1000 + 1) AS file, event_id % 1000 * 10 + 4 AS pos, 0 AS idx, CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS action,
   user_id, CASE event_type WHEN 'error' THEN NULL ELSE value END AS after_value
-FROM events WHERE event_id > 1500
+FROM events WHERE event_id > (SELECT max(event_id) // 3 FROM events)
 """)
 def log_source_from_a_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log's files, read by the registered source from inside a file on; other databases and tables are left out."""
@@ -196,7 +193,8 @@ def log_source_from_a_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = log.where("pos % 3 = 0").withColumns({"pos": F.col("pos") + 1, "database": F.lit("other")}).unionByName(log.where("pos % 5 = 0").withColumns({"pos": F.col("pos") + 2, "action": F.lit("ddl")}))
     write_log(log.unionByName(other), f"{place}/log")
     spark.dataSource.register(ChangeLogSource)
-    start = json.dumps({"name": START.name, "pos": START.pos, "idx": LAST_ROW})
+    last = read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 3
+    start = json.dumps({"name": f"binlog.{last // 1000 + 1:06d}", "pos": last % 1000 * 10 + 4, "idx": LAST_ROW})
     found = spark.read.format("changelog").option("path", f"{place}/log").option("database", "db").option("tables", "users").option("startingposition", start).load()
     image = F.from_json(F.coalesce("after", "before"), "user_id long, value double")
     return found.select("file", "pos", "idx", "action", image["user_id"].alias("user_id"), F.when(F.col("after").isNotNull(), image["value"]).alias("after_value"))
@@ -324,11 +322,10 @@ def normalize_int_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm.normalize(rows, [AvroColumn("wide", "long")])
 
 
-@query("SELECT o_orderkey, CAST(o_orderkey AS BIGINT) + 9223372036000000000 AS value FROM orders WHERE o_orderkey < 800000000")
+@query("SELECT o_orderkey, 9223372036854775807 - o_orderkey AS value FROM orders")
 def normalize_uint64_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unsigned 64-bit numbers come as decimals; those that fit are longs to the last digit."""
-    orders = read(spark, sf_dir, "orders").where("o_orderkey < 800000000")
-    rows = orders.select("o_orderkey", (F.col("o_orderkey").cast("decimal(20,0)") + F.lit("9223372036000000000").cast("decimal(20,0)")).cast("decimal(20,0)").alias("value"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", (F.lit("9223372036854775807").cast("decimal(20,0)") - F.col("o_orderkey").cast("decimal(20,0)")).cast("decimal(20,0)").alias("value"))
     return norm.normalize(rows, [AvroColumn("value", "long")])
 
 

@@ -1,3 +1,6 @@
+import datetime as dt
+import decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -71,6 +74,18 @@ def test_file_table_versions(spark, tmp_path):
     assert t.versions() == [1, 2] and t.read().count() == 1
 
 
+def test_scratch_tables_go(spark):
+    from rivulet.operators import storage
+
+    before = list(storage.TABLES)
+    with storage.scratch(spark):
+        rows = storage.materialize(spark.range(5), "kept").collect()
+        path = storage.TABLES[-1]
+    assert len(rows) == 5 and storage.TABLES == before
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_conflicts_keep_large_numbers_and_nulls(spark):
     big = 2**53 + 1
     schema = "id long, code long, name string"
@@ -80,6 +95,15 @@ def test_conflicts_keep_large_numbers_and_nulls(spark):
     assert sorted(map(tuple, found), key=repr) == sorted([(big, None, None), (big + 2, None, "b"), (big + 4, 3, "c"), (None, None, "d"), (None, 9, "e")], key=repr)
 
 
+def test_conflicts_of_rows_with_all_types(spark):
+    schema = "id long, at timestamp, day date, price decimal(20,3), raw binary, tags array<string>"
+    at, day = dt.datetime(2024, 2, 29, 12, 30, 5, 123456), dt.date(2024, 2, 29)
+    rows = [(1, at, day, decimal.Decimal("12345678901234567.891"), b"\x00\xff", ["a", None]), (2, None, None, None, None, None)]
+    new = spark.createDataFrame([(1, *rows[0]), (2, 2, at, None, None, b"", [])], f"seq long, {schema}")
+    found = sink.fold_conflicts(spark.createDataFrame(rows, schema), new, [["id"]])
+    assert sorted(map(tuple, found.collect())) == [rows[0], (2, at, None, None, b"", [])]
+
+
 def test_conflicts_in_the_order_of_any_sequence(spark):
     schema = "seq struct<f: long, p: long>, id long, code long"
     new = spark.createDataFrame([((1, 10), 1, 5), ((1, 9), 2, 5), ((0, 99), 3, 5)], schema)
