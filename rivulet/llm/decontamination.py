@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, slices, table
 from .near_duplicates import text_hash
-from .shingles import WORDS, mix, shingles
+from .shingles import SQL_WORDS, WORDS, mix, shingles
 
 THRESHOLD = 0.8
 BINS = 64
@@ -207,3 +207,22 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shared", "n_item", "containment")
+
+
+#: Every item against every document that shares a run of words with it.
+OP6_SQL = f"""
+WITH item AS (
+  SELECT row_number() OVER () AS ik, item_id, w, least(len(w), {WORDS}) AS k FROM (SELECT item_id, {SQL_WORDS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)) WHERE len(w) > 0
+), doc AS (
+  SELECT row_number() OVER () AS dk, doc_id, {SQL_WORDS} AS w FROM (SELECT DISTINCT doc_id, text FROM documents)
+), item_run AS (
+  SELECT DISTINCT ik, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS run FROM item
+), doc_run AS (
+  SELECT DISTINCT dk, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS run FROM doc, (SELECT DISTINCT k FROM item)
+), shared AS (
+  SELECT dk, ik, count(*) AS n_shared FROM doc_run JOIN item_run USING (k, run) GROUP BY dk, ik
+), size AS (
+  SELECT ik, count(*) AS n_item FROM item_run GROUP BY ik
+)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM shared JOIN size USING (ik) JOIN item USING (ik) JOIN doc USING (dk) WHERE n_shared / n_item >= {THRESHOLD}
+"""

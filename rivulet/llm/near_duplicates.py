@@ -44,7 +44,7 @@ from pyspark.sql.types import BooleanType, StructType
 
 from ..operators.components import components
 from .common import materialize, partitions_of, slices, table
-from .shingles import GOLD, fingerprints, mix, shingles, units
+from .shingles import GOLD, SQL_WORDS, WORDS, fingerprints, mix, shingles, units
 
 COORDINATES = 64
 ROWS = 4
@@ -347,3 +347,30 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block_nodes:
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+#: All pairs of texts that share a shingle, and the components of those that are alike.
+OP4_SQL = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, w, CASE WHEN len(w) > 0 THEN 'w' || array_to_string(w, ' ') WHEN text <> '' THEN 't' || text ELSE 'd' || doc_id END AS node FROM (SELECT doc_id, text, {SQL_WORDS} AS w FROM documents)
+), node AS (
+  SELECT node, row_number() OVER (ORDER BY node) AS id, any_value(w) AS w FROM doc GROUP BY node
+), run AS (
+  SELECT id, unnest(list_transform(range(1, greatest(len(w) - {WORDS} + 2, 2)), lambda i: array_to_string(w[i : i + {WORDS} - 1], ' '))) AS run FROM node WHERE len(w) > 0
+), unit AS (
+  SELECT id, run, row_number() OVER (PARTITION BY id, run) AS nth FROM run
+), size AS (
+  SELECT id, count(*) AS n FROM unit GROUP BY id
+), pair AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS both_have FROM unit a JOIN unit b USING (run, nth) WHERE a.id < b.id GROUP BY a.id, b.id
+), link AS (
+  SELECT x, y FROM pair JOIN size s ON s.id = x JOIN size t ON t.id = y WHERE both_have >= {THRESHOLD} * (s.n + t.n - both_have)
+), edge AS (
+  SELECT x, y FROM link UNION SELECT y, x FROM link
+), reached AS (
+  SELECT id, id AS root FROM node UNION SELECT y, root FROM reached JOIN edge ON x = id
+), class AS (
+  SELECT id, min(root) AS root FROM reached GROUP BY id
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY root) AS class_id FROM doc JOIN node USING (node) JOIN class USING (id)
+"""

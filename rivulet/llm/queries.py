@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from .decontamination import op6_decontamination
+from .decontamination import OP6_SQL, op6_decontamination
 from .html_text import op9_html_text
 from .language import op5_language_id
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .media import op3_media_columns
-from .near_duplicates import op4_near_duplicates
+from .near_duplicates import OP4_SQL, op4_near_duplicates
 from .packing import op7_packing
 from .sharding import op10_shard_tree
 from .token_counts import op8_token_counts
@@ -28,4 +28,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op4_near_duplicates": OP4_SQL,
+    "op6_decontamination": OP6_SQL,
 }

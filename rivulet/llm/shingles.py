@@ -12,6 +12,8 @@ from functools import cache
 import numpy as np
 
 WORDS = 5
+#: The words of a text in DuckDB's SQL.
+SQL_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x20\x7F!-/:-@\[-`{-~]+')"
 GOLD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 

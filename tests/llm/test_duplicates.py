@@ -91,6 +91,16 @@ def test_many_documents_of_one_id_stay_apart(spark, doc_id):
     assert out.join(docs, "text", "left_anti").count() == 0
 
 
+def test_candidates_by_shuffle(make_docs, monkeypatch):
+    rng = random.Random(11)
+    pool = [prose(i, 8) for i in range(12)]
+    pool += [edited(rng, rng.choice(pool)) for _ in range(30)]
+    docs = make_docs([(i, "\n".join(rng.choice(pool) for _ in range(4))) for i in range(30)])
+    want = {(r.doc_id, r.text) for r in line_dedup.line_dedup(docs).collect()}
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    assert {(r.doc_id, r.text) for r in line_dedup.line_dedup(docs).collect()} == want
+
+
 def test_names_that_are_taken(spark):
     docs = spark.createDataFrame([(1, "a b", 5, "x"), (2, "a b", 6, "y")], "doc_id long, text string, rv_kept int, `a.b` string")
     assert sorted(map(tuple, line_dedup.line_dedup(docs, added=("n", "k")).collect())) == [(1, "a b", 5, "x", 1, 1), (2, "", 6, "y", 1, 0)]
@@ -104,6 +114,17 @@ def test_op1_equals_sql(spark, data):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("name", ["op4_near_duplicates", "op6_decontamination"])
+def test_queries_equal_sql(spark, data, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data}/{t}.parquet')")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    got = queries.QUERIES[name](spark, data)
+    assert got.columns == columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_line_dedup_runs_no_python(odd):
     plan = line_dedup.line_dedup(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
