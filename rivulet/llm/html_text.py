@@ -222,15 +222,16 @@ class Page:
         else:
             is_root = [True] + [False] * (n - 1)
         sure, inside = not is_root[0], spread(is_root, self.parent)
-        heading = self.above([self.name[i] == "h1" and not by_name[i] for i in range(n)]) if not sure else []
+        holds = lambda kind: self.above([self.name[i] == kind and not by_name[i] for i in range(n)])
+        wraps = [a and b for a, b in zip(holds("h1"), holds("p"), strict=True)] if not sure else []
         # 1 at the first run and -1 behind the last of each element that stays or goes.
         stay, go = np.zeros(len(self.runs) + 1, dtype=np.int64), np.zeros(len(self.runs) + 1, dtype=np.int64)
         for i in range(n):
             if is_root[i]:
                 stay[self.first[i]] += 1
                 stay[self.last[i]] -= 1
-            # A class word does not take away what holds the page's heading: that is a wrapper.
-            elif inside[i] and self.gone[i] and (sure or self.gone[i] > 1 or not heading[i]):
+            # A class word does not take away what holds a heading and text below it: that is a wrapper.
+            elif inside[i] and self.gone[i] and (sure or self.gone[i] > 1 or not wraps[i]):
                 go[self.first[i]] += 1
                 go[self.last[i]] -= 1
         return alive & (np.cumsum(stay)[:-1] > 0) & (np.cumsum(go)[:-1] == 0)

@@ -20,6 +20,8 @@ PAGES = [
     ('<article><p>one</p><div role="complementary">side</div><div class="cookie-notice">ok?</div><p hidden>gone</p><p>two', "one two"),
     ("<html><head><title>t</title></head><body><p>only <i>body</i></p><noscript>n</noscript></body></html>", "only body"),
     ("<ARTICLE><P>Upper</P></ARTICLE>", "Upper"),
+    ('<div class="layout widget"><h1>T</h1><p>text</p><div class="banner"><h1>Buy</h1></div></div><div id="sidebar"><p>x</p></div>', "T text"),
+    ('<div class="main-area widget"><article><p>inside a wrapper</p></article><article class="comment">no</article></div><p>y', "inside a wrapper"),
     ("plain &am", "plain &am"),
     ("<p", ""),
     ("", ""),
