@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,7 +47,11 @@ def partitions_of(spark: SparkSession) -> int:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` has about ``most_bytes`` in each (a longer row stands alone)."""
+    """Cut Arrow batches so that ``column`` has about ``most_bytes`` in each (a longer row stands alone).
+
+    At the end, memory that is free goes back to the system: workers live on, and what a
+    stage leaves in them would be missing in the next.
+    """
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         if pa.types.is_dictionary(col.type):
@@ -59,6 +64,14 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
             to = max(at + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    release_memory()
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 MOST_BUCKETS = 1 << 16

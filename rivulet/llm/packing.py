@@ -147,7 +147,7 @@ def sentence_ends(path: str, cut: str, end_id: int) -> np.ndarray:
     """For each id up to the end id at least, whether its string ends a sentence or a line."""
     if (path, cut, end_id) not in SENTENCE_ENDS:
         tokenizer = encoder(path, cut).tokenizer
-        shown = [tokenizer.id_to_token(i) or "" for i in range(max(id_space(path), end_id + 1))]
+        shown = [tokenizer.id_to_token(i) or "" for i in range(max(encoder(path, cut).space, end_id + 1))]
         line = encoder(path, cut).letters[10]
         SENTENCE_ENDS[path, cut, end_id] = np.array([s.endswith((".", "!", "?", "…", line)) for s in shown], dtype=bool)
     return SENTENCE_ENDS[path, cut, end_id]

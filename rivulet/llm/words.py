@@ -219,7 +219,9 @@ class Encoder:
         self.cut, self.lower = self.CUTS[cut]
         self.classes, self.letters = character_classes(), byte_letters()
         self.ascii = {i: c for i, c in enumerate(self.letters[:128])}
-        self.memo = Memo(self.word, id_type(id_space(path)))
+        #: As ``id_space``, without a second tokenizer in the worker's memory.
+        self.space = max(self.tokenizer.get_vocab().values(), default=0) + 1
+        self.memo = Memo(self.word, id_type(self.space))
 
     def word(self, word: str) -> list[int]:
         if word.isascii():  # of the printable characters only the blank is written by another letter
