@@ -66,12 +66,15 @@ def test_file_table_versions(spark, tmp_path):
     t = FileTable(spark, str(tmp_path / "t"))
     with pytest.raises(FileNotFoundError):
         t.read()
-    assert t.write(spark.range(3).toDF("id"), 0)
-    assert t.change(1, lambda old: old.where("id > 0"))
-    assert not t.change(1, lambda old: old.limit(0))
-    assert t.read().count() == 2 and t.versions() == [0, 1]
-    t.change(2, lambda old: old.where("id > 1"))
-    assert t.versions() == [1, 2] and t.read().count() == 1
+    t.keys = ("id",)
+    assert t.write(spark.range(3).toDF("id")) and not t.write(spark.range(9).toDF("id"))
+    gone = lambda k: spark.createDataFrame([(1, "delete", k)], "seq long, operation string, id long")
+    step = lambda old, new: sink.replay(old, new, ["id"])
+    assert t.change(("q", 1), gone(0), step)
+    assert not t.change(("q", 1), gone(1), step)
+    assert t.read().count() == 2 and t.versions() == [0, 1] and t.read(0).count() == 3
+    t.change(("q", 2), gone(1), step)
+    assert t.versions() == [1, 2] and [r.id for r in t.read().collect()] == [2]
 
 
 def test_scratch_tables_go(spark):
