@@ -6,6 +6,10 @@ is there whole or not at all.  A change reads and writes the buckets that its re
 fall into and takes over the others as they are; a table without keys gets its new
 rows as a further folder.  Folders that no kept version names are deleted.
 
+A small batch would rewrite as much as a large one.  So a table with keys can also take
+a batch in as it is, as a folder of records beside the buckets: reading merges them, and
+when there are ``PENDING`` of them they are put into the buckets together.
+
 A change comes from a batch, named by its stream and number.  A stream's batch that is
 applied again finds its number and does nothing; another stream (a new or lost
 checkpoint) is known by its name and is applied, however its batches are numbered.
@@ -22,7 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import sink
+
 BUCKET = "rv_bucket"
+NUMBER, ATTEMPT = "rv_number", "rv_attempt"
+#: Batches taken in that are merged when a table is read.
+PENDING = 128
 
 
 @dataclass
@@ -66,13 +75,18 @@ class FileTable:
         out.close()
         if not fs.rename(hidden, final):
             raise RuntimeError(f"version {version} of {self.path} was written by another")
+        self._known[version] = manifest
         known = self.versions()
-        named = {f for v in known[-self.keep :] for folders in self.manifest(v)["folders"].values() for f in folders}
+        named = {f for v in known[-self.keep :] for f in self._named(self.manifest(v))}
         for v in known[: -self.keep]:
-            for folders in self.manifest(v)["folders"].values():
-                for f in set(folders) - named:
-                    fs.delete(path(f"{self.path}/data/{f}"), True)
+            for f in self._named(self.manifest(v)) - named:
+                fs.delete(path(f"{self.path}/data/{f}"), True)
             fs.delete(path(f"{self.path}/versions/v{v}.json"), False)
+            del self._known[v]
+
+    @staticmethod
+    def _named(manifest: dict) -> set[str]:
+        return {f for folders in manifest["folders"].values() for f in folders} | set(manifest.get("pending", {}).get("folders", []))
 
     def bucket(self, keys: Iterable[str], buckets: int) -> Column:
         return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
@@ -95,8 +109,17 @@ class FileTable:
         paths = [f"{self.path}/data/{f}" for folders in chosen.values() for f in folders]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _pending(self, manifest: dict) -> DataFrame:
+        """The records taken in and not merged yet; they come in the order of their batches, then of their own."""
+        pending = manifest["pending"]
+        schema = StructType.fromJson(pending["schema"]).add(NUMBER, "long").add(ATTEMPT, "string")
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data/{pending['root']}").parquet(*[f"{self.path}/data/{f}" for f in pending["folders"]])
+        return rows.withColumn("seq", F.struct(NUMBER, "seq")).drop(NUMBER, ATTEMPT)
+
     def read(self, version: int | None = None) -> DataFrame:
-        return self._read(self.manifest(version))
+        manifest = self.manifest(version)
+        rows = self._read(manifest)
+        return sink.replay(rows, self._pending(manifest), manifest["keys"]) if manifest.get("pending") else rows
 
     def write(self, df: DataFrame) -> bool:
         """Write the first version; False if there is one already."""
@@ -106,24 +129,63 @@ class FileTable:
         self._commit({"schema": json.loads(df.schema.json()), "keys": list(self.keys), "buckets": self.buckets, "folders": folders, "applied": {}}, 0)
         return True
 
-    def change(self, batch: tuple[str, int], records: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
-        """Apply ``step(old rows, records)`` to the buckets that ``records`` fall into; False if the batch was applied before."""
-        known = self.versions()
+    def take(self, batch: tuple[str, int], records: DataFrame) -> bool:
+        """Take in ``records`` (``seq``, ``operation`` and the table's columns) as they are; False if the batch was taken in before.
+
+        What is read afterwards is what ``change`` with ``sink.replay`` would have left.
+        """
         manifest = self.manifest()
         stream, number = batch
         if number <= manifest["applied"].get(stream, -1):
             return False
-        keys, buckets = manifest["keys"], manifest["buckets"]
+        sink.check_keys(records, manifest["keys"])
+        names = [f["name"] for f in manifest["schema"]["fields"]]
+        version = self.versions()[-1] + 1
+        known = F.when(sink.kind(F.col("operation")).isNotNull(), F.col("operation")).alias("operation")
+        rows = records.select("seq", known, *names)
+        schema = json.loads(rows.schema.json())
+        pending = manifest.get("pending") or {"schema": schema, "root": uuid.uuid4().hex, "folders": []}
+        if pending["schema"] != schema:
+            self.merge()
+            return self.take(batch, records)
+        # The number is in the path: in the rows it would have each batch compiled anew.
+        name = f"{pending['root']}/{NUMBER}={version}/{ATTEMPT}={uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/data/{name}")
+        self._commit({**manifest, "pending": {**pending, "folders": [*pending["folders"], name]}, "applied": {**manifest["applied"], stream: number}}, version)
+        if len(pending["folders"]) + 1 >= PENDING:
+            self.merge()
+        return True
+
+    def merge(self) -> None:
+        """Put the records taken in into their buckets."""
+        manifest, known = self.manifest(), self.versions()
+        if manifest.get("pending"):
+            folders = self._replaced(manifest, self._pending(manifest), lambda old, new: sink.replay(old, new, manifest["keys"]))
+            self._commit({k: v for k, v in manifest.items() if k != "pending"} | {"folders": folders}, known[-1] + 1)
+
+    def _replaced(self, manifest: dict, records: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame]) -> dict[str, list[str]]:
+        """The folders of each bucket after ``step`` on those that ``records`` fall into."""
+        keys, buckets, folders = manifest["keys"], manifest["buckets"], manifest["folders"]
+        # At most as many rows as there are buckets.
+        touched = sorted(str(r[0]) for r in records.select(self.bucket(keys, buckets).alias("b")).distinct().collect())
+        if not touched:
+            return folders
+        new = self._write(step(self._read(manifest, touched), records), keys, buckets)
+        return {b: f for b, f in folders.items() if b not in touched} | new
+
+    def change(self, batch: tuple[str, int], records: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
+        """Apply ``step(old rows, records)`` to the buckets that ``records`` fall into; False if the batch was applied before."""
+        stream, number = batch
+        if number <= self.manifest()["applied"].get(stream, -1):
+            return False
+        self.merge()
+        manifest, known = self.manifest(), self.versions()
         folders = dict(manifest["folders"])
-        if keys:
-            # At most as many rows as there are buckets.
-            touched = sorted(str(r[0]) for r in records.select(self.bucket(keys, buckets).alias("b")).distinct().collect())
-            if touched:
-                new = self._write(step(self._read(manifest, touched), records), keys, buckets)
-                folders = {b: f for b, f in folders.items() if b not in touched} | new
+        if manifest["keys"]:
+            folders = self._replaced(manifest, records, step)
         elif not records.isEmpty():
             empty = self.spark.createDataFrame([], StructType.fromJson(manifest["schema"]))
-            folders[""] = folders.get("", []) + self._write(step(empty, records), keys, buckets)[""]
+            folders[""] = folders.get("", []) + self._write(step(empty, records), [], manifest["buckets"])[""]
         # Streams other than the current one are kept, so that none of them is applied twice.
         applied = {**manifest["applied"], stream: number}
         self._commit({**manifest, "folders": folders, "applied": applied}, known[-1] + 1)

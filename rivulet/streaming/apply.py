@@ -16,11 +16,19 @@ from ..operators.tables import FileTable
 Tables = Mapping[str, tuple[FileTable, str, tuple[str, ...]]]
 
 
-def flat_records(log_rows: DataFrame, collection: str, schema: str) -> DataFrame:
-    """One table's rows as records: seq (position in the log), operation, and the columns of the image that counts."""
+def flat(collection: str, schema: str) -> Callable[[DataFrame], DataFrame]:
+    """One table's rows as records: seq (position in the log), operation, and the columns of the image that counts.
+
+    Micro-batches are many, so their expressions are made once.
+    """
     image = F.when(F.col("action") == "delete", F.col("before")).otherwise(F.col("after"))
-    seq = F.struct(file_number(F.col("file")).alias("f"), F.col("pos").alias("p"), F.col("idx").alias("i"))
-    return log_rows.where(F.col("collection") == collection).select(seq.alias("seq"), operation(F.col("action")).alias("operation"), F.from_json(image, schema).alias("row")).select("seq", "operation", "row.*")
+    seq = F.struct(file_number(F.col("file")).alias("f"), F.col("pos").alias("p"), F.col("idx").alias("i")).alias("seq")
+    here, kind, row = F.col("collection") == collection, operation(F.col("action")).alias("operation"), F.from_json(image, schema).alias("row")
+    return lambda log_rows: log_rows.where(here).select(seq, kind, row).select("seq", "operation", "row.*")
+
+
+def flat_records(log_rows: DataFrame, collection: str, schema: str) -> DataFrame:
+    return flat(collection, schema)(log_rows)
 
 
 def stream_id(batch: DataFrame, checkpoint: str) -> str:
@@ -31,22 +39,30 @@ def stream_id(batch: DataFrame, checkpoint: str) -> str:
 def apply_batch(tables: Tables, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """A function for ``foreachBatch`` that applies a batch to file tables (table, row schema, keys).
 
-    A batch that comes again after a failure is skipped.  Tables without keys get
-    their rows appended.
+    A batch that comes again after a failure is skipped.  Tables with keys take a
+    batch in as it is and merge many together; tables without get their rows appended.
     """
+    stream = ""
+    records = {name: flat(name, schema) for name, (_, schema, _) in sorted(tables.items())}
+    # One table with keys reads a batch once.
+    once = len(tables) == 1 and all(keys for _, _, keys in tables.values())
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        nonlocal stream
+        stream = stream or stream_id(batch, checkpoint)
+        batch = batch if once else batch.persist()
         try:
-            source = (stream_id(batch, checkpoint), batch_id)
-            for name, (target, schema, keys) in sorted(tables.items()):
-                rows = flat_records(batch, name, schema)
-                if keys:
-                    target.change(source, rows, lambda old, new, keys=keys: sink.replay(old, new, keys))
+            for name, (target, _, keys) in sorted(tables.items()):
+                rows = records[name](batch)
+                if keys and target.manifest()["keys"] == list(keys):
+                    target.take((stream, batch_id), rows)
+                elif keys:
+                    target.change((stream, batch_id), rows, lambda old, new, keys=keys: sink.replay(old, new, keys))
                 else:
-                    target.change(source, rows.where("operation <> 'delete'").drop("operation"), sink.append)
+                    target.change((stream, batch_id), rows.where("operation <> 'delete'").drop("operation"), sink.append)
         finally:
-            batch.unpersist()
+            if not once:
+                batch.unpersist()
 
     return run
 

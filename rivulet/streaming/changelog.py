@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -163,27 +164,50 @@ class _Log:
         self.limit = int(options.get("maxrows", "0"))
         self.checkpoint = options.get("checkpoint")
         self.at: dict | None = None
+        self.known: list[tuple[int, str, str]] = []
         if self.limit < 0:
             raise ValueError("maxrows is not negative")
 
+    def __getstate__(self) -> dict:
+        """What tasks get: they know their file, not the folder's list."""
+        return {**self.__dict__, "known": []}
+
+    def relist(self) -> None:
+        self.known = [(number(name), path, name) for path, name in log_files(self.path)]
+
+    def files(self, first: int) -> Iterator[tuple[int, str, str]]:
+        """(number, path, name) from a number on.  A file that has a next one gets no more rows, so the folder is
+        listed anew only before the last file known is read."""
+        k, listed = bisect_left(self.known, (first,)), False
+        while True:
+            if not listed and k >= len(self.known) - 1:
+                at = self.known[k][0] if k < len(self.known) else first
+                self.relist()
+                k, listed = bisect_left(self.known, (at,)), True
+            if k >= len(self.known):
+                return
+            yield self.known[k]
+            k += 1
+
     def wanted(self, event: dict) -> bool:
         return event["action"] in ROW_ACTIONS and (not self.database or event["database"] == self.database) and (not self.tables or event["collection"] in self.tables)
 
     def range(self, start: dict, end: dict) -> list[LogFile]:
         out, first, last = [], number(start["name"]) if start["name"] else -1, number(end["name"]) if end["name"] else -1
-        for path, name in log_files(self.path):
-            n = number(name)
-            if first <= n <= last:
-                a = (start["pos"], start["idx"]) if n == first else (-1, -1)
-                b = (end["pos"], end["idx"]) if n == last else (1 << 62, LAST_ROW)
-                if a < b:
-                    out.append(LogFile(path, name, a, b, start.get("byte", 0) if n == first else 0))
+        if not self.known or self.known[-1][0] < last:
+            self.relist()
+        for n, path, name in self.known[bisect_left(self.known, (first,)) : bisect_left(self.known, (last + 1,))]:
+            a = (start["pos"], start["idx"]) if n == first else (-1, -1)
+            b = (end["pos"], end["idx"]) if n == last else (1 << 62, LAST_ROW)
+            if a < b:
+                out.append(LogFile(path, name, a, b, start.get("byte", 0) if n == first else 0))
         return out
 
     def head(self) -> dict:
         """The position of the last event; reads the end of the last file alone."""
         fs, _ = filesystem(self.path)
-        for path, name in reversed(log_files(self.path)):
+        self.relist()
+        for _, path, name in reversed(self.known):
             if found := last_event(fs, path):
                 return offset(name, found[1]["pos"], LAST_ROW, found[0])
         return offset()
@@ -192,10 +216,7 @@ class _Log:
         """The position at most ``limit`` rows after ``start``; parses these rows alone."""
         fs, _ = filesystem(self.path)
         left, out, first = self.limit, start, number(start["name"]) if start["name"] else -1
-        for path, name in log_files(self.path):
-            n = number(name)
-            if n < first:
-                continue
+        for n, path, name in self.files(first):
             for at, e in events(fs, path, start.get("byte", 0) if n == first else 0):
                 if n == first and e["pos"] < start["pos"]:
                     continue

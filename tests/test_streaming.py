@@ -1,11 +1,12 @@
 import json
+import pickle
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.functions.types import SchemaRegistry
-from rivulet.operators import sink, snapshot
+from rivulet.operators import sink, snapshot, tables
 from rivulet.operators.envelope import KeyPosition, LogPosition, log_position_json, parse_position, snapshot_position_json
 from rivulet.operators.tables import FileTable
 from rivulet.plans import combined
@@ -13,6 +14,7 @@ from rivulet.plans.config import SourceConfig
 from rivulet.plans.source import Source
 from rivulet.sources.backend import FolderBackend
 from rivulet.sources.catalog import KeylessTableError, NoTablesError, TableKeys
+from rivulet.streaming import changelog
 from rivulet.streaming.apply import drain
 from rivulet.streaming.changelog import SCHEMA, ChangeLogSource, _Log
 
@@ -242,3 +244,61 @@ def test_plans(spark):
     half = snapshot_position_json({"users": [KeyPosition("id", 1, 2)]}, LogPosition("binlog.1", 1))
     again = combined.plan({"users": users}, KEYS, head, half)
     assert again.mark == LogPosition("binlog.1", 1) and again.scans["users"].start_read and again.scans["users"].end == (2,)
+
+
+def test_small_batches_are_taken_in_and_merged_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PENDING", 3)
+    target, plain = (FileTable(spark, str(tmp_path / n), ("id",), buckets=8) for n in ("t", "plain"))
+    step = lambda old, new: sink.replay(old, new, ["id"])
+    for t in (target, plain):
+        t.write(spark.range(40).selectExpr("id", "'a' AS name"))
+    first = target.manifest()["folders"]
+    # The numbers of a later batch may be lower (a new log); what comes later counts.
+    batches = [[(9, "update", 1, "x"), (8, "update", 1, "y"), (7, "delete", 2, None)], [(1, "update", 1, "z"), (2, "create", 2, "b")], [], [(1, "delete", 1, None), (3, "create", 50, "c")], [(1, "update", 50, "d")]]
+    for k, rows in enumerate(batches):
+        records = spark.createDataFrame(rows, "seq long, operation string, id long, name string")
+        assert target.take(("q", k), records) and not target.take(("q", k), records) and plain.change(("q", k), records, step)
+        assert (target.manifest()["folders"] == first) == (k < 2) and len(target.manifest().get("pending", {}).get("folders", [])) == (k + 1) % 3
+        assert state(target) == state(plain)
+    # Another kind of seq, and a change that is not put off, come after what was taken in.
+    other = spark.createDataFrame([("s", "update", 50, "e")], "seq string, operation string, id long, name string")
+    assert target.take(("q", 5), other) and state(target)[50] == "e"
+    assert target.change(("q", 6), other.withColumn("operation", F.lit("delete")), step) and 50 not in state(target) and "pending" not in target.manifest()
+    with pytest.raises(Exception, match="unknown operation"):
+        target.take(("q", 7), other.withColumn("operation", F.lit("none")))
+    kept = {f.split("/")[0] for v in target.versions() for f in target._named(target.manifest(v))}
+    assert kept <= {p.name for p in (tmp_path / "t" / "data").iterdir()}
+
+
+def test_a_stream_does_not_rewrite_a_table_each_batch(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    users = {"users": spark.range(100).selectExpr("id", "'a' AS name")}
+    source = open_source(spark, tmp_path, users, {"users": ("id",)}, sdk__batch__size="5")
+    write(log, 1, [(k, "update", [user(k, "a"), user(k, f"n{k}")]) for k in range(20)])
+    target = FileTable(spark, str(tmp_path / "users"), buckets=4)
+    query = source.run({"users": target}, str(tmp_path / "check"))
+    drain(query)
+    # All folders are of the one write of the snapshot; four batches are beside them.
+    assert len({f.split("/")[0] for folders in target.manifest()["folders"].values() for f in folders}) == 1
+    assert len(target.manifest()["pending"]["folders"]) == 4
+    assert state(target) == {i: f"n{i}" if i < 20 else "a" for i in range(100)}
+
+
+def test_a_batch_does_not_list_the_log_again(tmp_path, monkeypatch):
+    for n in range(1, 9):
+        write(tmp_path, n, [(k, "insert", [user(k, "a")]) for k in range(5)])
+    log, listed, real = _Log({"path": str(tmp_path), "maxrows": "7"}), [], changelog.log_files
+    monkeypatch.setattr(changelog, "log_files", lambda path: listed.append(1) or real(path))
+    at, rows = log.begin, []
+    for _ in range(4):
+        end = log.ahead(at)
+        parts = log.range(at, end)
+        rows.append(sum(b.num_rows for p in parts for b in log.read(p)))
+        at = end
+    assert rows == [7, 7, 7, 7] and len(listed) == 1 and not pickle.loads(pickle.dumps(log)).known
+    write(tmp_path, 9, [(4, "insert", [user(1, "b")])])
+    while (end := log.ahead(at)) != at:
+        rows.append(sum(b.num_rows for p in log.range(at, end) for b in log.read(p)))
+        at = end
+    assert sum(rows) == 41 and max(rows) == 7 and at["name"] == "binlog.000009.json"
