@@ -88,20 +88,30 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             left[a] = right[b] = 1
             chosen.append(i)
         found = np.sort(pairs[chosen])
-        mark = np.zeros(1 << MARK_BITS, dtype=np.uint8)
-        mark[marks(pairs)] = 1
-        mark[marks(found)] = 2
-        seen = mark[marks(key)]
-        maybe = np.flatnonzero(seen == 2)
-        rule = np.minimum(np.searchsorted(found, key[maybe]), len(found) - 1)
-        hit = found[rule] == key[maybe]
+        # By mark: 0 for no pair, -1 for pairs that are not chosen, else one more than the number of a chosen one.
+        slot = np.zeros(1 << MARK_BITS, dtype=np.int32)
+        slot[marks(pairs)] = -1
+        own, number = marks(found), np.arange(1, len(found) + 1, dtype=np.int32)
+        slot[own] = number
+        seen = slot[marks(key)]
+        maybe = np.flatnonzero(seen > 0)
+        held, rule = key[maybe], seen[maybe] - 1
+        hit = found[rule] == held
+        # Chosen pairs that share a mark with another are looked for.
+        hidden = found[slot[own] != number]
+        if len(hidden):
+            miss = np.flatnonzero(~hit)
+            k = np.minimum(np.searchsorted(hidden, held[miss]), len(hidden) - 1)
+            there = hidden[k] == held[miss]
+            rule[miss[there]] = np.searchsorted(found, hidden[k[there]])
+            hit[miss[there]] = True
         at, rule = place[maybe[hit]], rule[hit]
         # Only runs of one symbol overlap themselves: take every other place of a run.
         new = np.r_[True, at[1:] != at[:-1] + 1]
         start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - start) % 2 == 0
         at, rule = at[take], rule[take]
-        live[place] = seen > 0
+        live[place] = seen != 0
         live[at[at > 0] - 1] = True
         live[at] = True
         seq[at] = first_rule + n_rules + rule
@@ -118,12 +128,19 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
 
 def depths(rules: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
     """(how many rules deep, how many ids long) each nonterminal is."""
-    deep, long = [], []
-    for a, b in rules.tolist():
-        x, y = a - first_rule, b - first_rule
-        deep.append(1 + max(deep[x] if x >= 0 else 0, deep[y] if y >= 0 else 0))
-        long.append((long[x] if x >= 0 else 1) + (long[y] if y >= 0 else 1))
-    return np.array(deep, dtype=np.int64), np.array(long, dtype=np.int64)
+    # The last place stands for ids.
+    inner = np.maximum(rules.astype(np.int64) - first_rule, -1)
+    deep, long = np.zeros(len(rules) + 1, dtype=np.int64), np.ones(len(rules) + 1, dtype=np.int64)
+    needs, a = np.maximum.accumulate(inner.max(axis=1, initial=-1)), 0
+    while a < len(rules):
+        # The rules up to b need none that comes after the first a.
+        b = int(np.searchsorted(needs, a))
+        if b <= a:
+            raise ValueError(f"rule {a} needs a later one")
+        left, right = inner[a:b, 0], inner[a:b, 1]
+        deep[a:b], long[a:b] = 1 + np.maximum(deep[left], deep[right]), long[left] + long[right]
+        a = b
+    return deep[:-1], long[:-1]
 
 
 class Grammar:

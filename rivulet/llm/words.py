@@ -2,7 +2,7 @@
 
 Tokenizers cut a text into words that they then handle one by one.  Here a
 batch of texts is cut into words with array operations, equal words are found
-by two 64-bit hashes, and the tokenizer is asked only about words that this
+by Arrow's dictionary encoding, and the tokenizer is asked only about words that this
 worker has not met yet.  Texts with characters outside the fixed classes below
 are given to the tokenizer whole, so results equal the library's for any text.
 """
@@ -15,11 +15,12 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 LIMIT = 0x2100  # code points with a class
 END, LETTER, NUMBER, SPACE, OTHER, ODD = 0, 1, 2, 3, 4, 9
-LONG_WORD = 256
-MOST_WORDS = 500_000
+#: Words, and bytes of them and of their values, that are kept when a batch begins.
+MOST_WORDS, MOST_BYTES = 500_000, 64 << 20
 
 
 def character_classes() -> np.ndarray:
@@ -33,100 +34,60 @@ def character_classes() -> np.ndarray:
     return out
 
 
-class Hasher:
-    """Two hashes of any range of a code point array, from prefix sums."""
-
-    def __init__(self) -> None:
-        self.power = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-        self.inverse = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-        self.base = [0x9E3779B97F4A7C15 | 3, 0xC2B2AE3D27D4EB4F | 3]
-
-    def grow(self, n: int) -> None:
-        if n <= len(self.power[0]):
-            return
-        n = max(n, 1 << 18)
-        for k, base in enumerate(self.base):
-            for powers, b in ((self.power, base), (self.inverse, pow(base, -1, 1 << 64))):
-                p = np.full(n, b, dtype=np.uint64)
-                p[0] = 1
-                powers[k] = np.cumprod(p)
-
-    def ranges(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = len(chars)
-        self.grow(n + 1)
-        out = []
-        for k, salt in enumerate((0xD6E8FEB86659FD93, 0xA0761D6478BD642F)):
-            x = (chars.astype(np.uint64) + np.uint64(salt >> 7)) * np.uint64(salt)
-            x ^= x >> np.uint64(29)
-            x *= np.uint64(0xBF58476D1CE4E5B9)
-            x ^= x >> np.uint64(32)
-            x *= self.power[k][:n]
-            total = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(x, out=total[1:])
-            h = (total[end] - total[start]) * self.inverse[k][start] + (end - start).astype(np.uint64) * np.uint64(salt)
-            h ^= h >> np.uint64(31)
-            h *= np.uint64(0x94D049BB133111EB)
-            out.append(h ^ (h >> np.uint64(30)))
-        return out[0], out[1]
-
-
 class Memo:
     """Values (one-dimensional arrays of one type) of the words met so far."""
 
     def __init__(self, make: Callable[[str], Sequence[int]], kind: str) -> None:
-        self.make, self.kind, self.hasher = make, kind, Hasher()
+        self.make, self.kind = make, kind
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.check = np.zeros(1024, dtype=np.uint64)
+        self.index: dict[bytes, int] = {}
+        self.held = 0
         self.offset = np.zeros(1025, dtype=np.int64)
         self.data = np.zeros(4096, dtype=self.kind)
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, words: list[str]) -> None:
-        lists = [self.make(w) for w in words]
+    def add(self, words: list[bytes]) -> None:
+        lists = [self.make(w.decode("utf-32-le", "surrogatepass")) for w in words]
         i, n = len(self.index), len(lists)
         size = np.fromiter(map(len, lists), dtype=np.int64, count=n)
         value = np.fromiter(chain.from_iterable(lists), dtype=self.kind, count=int(size.sum()))
-        if i + n > len(self.check):
-            self.check = np.resize(self.check, 2 * (i + n))
+        if i + n >= len(self.offset):
             self.offset = np.resize(self.offset, 2 * (i + n) + 1)
         a = int(self.offset[i])
         if a + len(value) > len(self.data):
             self.data = np.resize(self.data, 2 * (a + len(value)))
-        self.index.update(zip(keys.tolist(), range(i, i + n), strict=True))
-        self.check[i : i + n], self.offset[i + 1 : i + n + 1], self.data[a : a + len(value)] = checks, a + np.cumsum(size), value
+        self.index.update(zip(words, range(i, i + n), strict=True))
+        self.held += sum(map(len, words)) + value.nbytes
+        self.offset[i + 1 : i + n + 1], self.data[a : a + len(value)] = a + np.cumsum(size), value
 
-    def values(self, text: str, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The words' values one after the other, and each word's number of values; ``chars`` are the code points of ``text``."""
+    def values(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' values one after the other, and each word's number of values; words are ranges of the code points ``chars``, in order."""
         if len(start) == 0:
             return np.zeros(0, dtype=self.kind), np.zeros(0, dtype=np.int64)
-        if len(self.index) > MOST_WORDS:
+        if len(self.index) > MOST_WORDS or self.held > MOST_BYTES:
             self.clear()
-        first, second = self.hasher.ranges(chars, start, end)
-        keys, at, back = np.unique(first, return_index=True, return_inverse=True)
-        get, found, extra = self.index.get, np.empty(len(keys), dtype=np.int64), []
-        found[:] = [get(k, -1) for k in keys.tolist()]
+        edge = np.zeros(len(chars) + 1, dtype=np.int8)
+        edge[start] += 1
+        edge[end] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+        offset = np.zeros(len(start) + 1, dtype=np.int64)
+        np.cumsum(end - start, out=offset[1:])
+        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(4 * offset), pa.py_buffer(chars[inside])]).dictionary_encode()
+        distinct, back = words.dictionary, words.indices.to_numpy()
+        ends, flat = np.frombuffer(distinct.buffers()[1], dtype=np.int64, count=len(distinct) + 1).tolist(), distinct.buffers()[2].to_pybytes()
+        keys = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        get, found = self.index.get, np.empty(len(keys), dtype=np.int64)
+        found[:] = [get(k, -1) for k in keys]
         new = np.flatnonzero(found < 0)
         if len(new):
             found[new] = len(self.index) + np.arange(len(new))
-            self.add(keys[new], second[at[new]], [text[a:b] for a, b in zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)])
+            self.add([keys[i] for i in new.tolist()])
         places = found[back]
-        bad = np.flatnonzero((self.check[places] != second) | (end - start > LONG_WORD))
-        count = self.offset[places + 1] - self.offset[places]
-        if len(bad):  # long words, and words whose first hash is another's
-            extra = {i: np.fromiter(self.make(text[start[i] : end[i]]), dtype=self.kind) for i in bad.tolist()}
-            count[bad] = [len(x) for x in extra.values()]
+        first = self.offset[places]
+        count = self.offset[places + 1] - first
         ends = np.cumsum(count)
-        out = self.data[np.repeat(self.offset[places] - (ends - count), count) + np.arange(ends[-1])] if not len(bad) else self.patched(places, count, ends, extra)
-        return out, count
-
-    def patched(self, places: np.ndarray, count: np.ndarray, ends: np.ndarray, extra: dict[int, np.ndarray]) -> np.ndarray:
-        source = np.repeat(self.offset[places] - (ends - count), count) + np.arange(ends[-1])
-        out = self.data[np.minimum(source, len(self.data) - 1)]
-        for i, x in extra.items():
-            out[ends[i] - count[i] : ends[i]] = x
-        return out
+        return self.data[np.repeat(first - (ends - count), count) + np.arange(ends[-1])], count
 
 
 def code_points(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
@@ -252,7 +213,7 @@ class Encoder:
             for i in whole:
                 classes[begin[i] : begin[i + 1]] = END
         start, end = self.cut(chars, classes)
-        ids, count = self.memo.values(text, chars, start, end)
+        ids, count = self.memo.values(chars, start, end)
         upto = np.r_[0, np.cumsum(count)][np.searchsorted(start, begin)]
         out = [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
         for i in whole:

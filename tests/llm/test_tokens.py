@@ -239,3 +239,43 @@ def test_packer_carries_over_blocks(monkeypatch):
             self.doc_id, self.start, self.length, self.ids_crc32, self.doc_tokens, self.sequence_id, self.offset = r
 
     assert check_pieces([P(r) for r in rows], {i: x.tolist() for i, x in docs}) > 0.9
+
+
+def test_the_memo_is_bounded_by_bytes_too(monkeypatch):
+    monkeypatch.setattr(words, "MOST_BYTES", 4000)
+    asked = []
+    memo = words.Memo(lambda w: asked.append(w) or [len(w)], "<u4")
+
+    def ask(*found):
+        chars = np.frombuffer(" ".join(found).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        size = np.array([len(w) for w in found])
+        start = np.cumsum(size + 1) - size - 1
+        values, count = memo.values(chars, start, start + size)
+        assert values.tolist() == size.tolist() and set(count.tolist()) == {1}
+
+    ask("a", "bb", "a", "\ud800", "\U0001f600x", "bb")
+    ask("bb", "a", "ccc")
+    assert asked == ["a", "bb", "\ud800", "\U0001f600x", "ccc"]
+    ask("x" * 2000, "a")
+    assert memo.held > 4000 and asked[5:] == ["x" * 2000]
+    ask("a", "x" * 300)
+    assert memo.held < 4000 and asked[6:] == ["a", "x" * 300]
+
+
+def test_pairs_that_share_a_mark_and_rules_by_levels(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids, last = rng.zipf(1.3, 60_000).clip(max=900).astype(np.uint32), np.arange(99, 60_000, 100)
+    wide = token_files.repair(ids, last, 1000)
+    looked, real = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *k, **n: looked.append(np.size(v)) or real(a, v, *k, **n))
+    assert all((a == b).all() for a, b in zip(wide, token_files.repair(ids, last, 1000), strict=True))
+    assert sum(looked) < 20_000  # only pairs that share a mark are looked for, not every place
+    monkeypatch.undo()
+    monkeypatch.setattr(token_files, "MARK_BITS", 5)
+    assert all((a == b).all() for a, b in zip(wide, token_files.repair(ids, last, 1000), strict=True))
+    deep, long = token_files.depths(wide[0], 1000)
+    for k, (a, b) in enumerate(wide[0].tolist()):
+        assert deep[k] == 1 + max(deep[s - 1000] if s >= 1000 else 0 for s in (a, b)) and long[k] == sum(long[s - 1000] if s >= 1000 else 1 for s in (a, b))
+    assert [x.tolist() for x in token_files.depths(np.zeros((0, 2), dtype=np.uint32), 5)] == [[], []]
+    with pytest.raises(ValueError, match="later"):
+        token_files.depths(np.array([[1, 6], [1, 2]], dtype=np.uint32), 5)
