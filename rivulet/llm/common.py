@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.storage import TABLES, drop_tables, materialize
 
-__all__ = ["TABLES", "Buckets", "bucket_bounds", "column", "drop_tables", "fresh", "materialize", "partitions_of", "slices", "table", "text_or_empty"]
+__all__ = ["TABLES", "Buckets", "bucket_bounds", "column", "drop_tables", "forget", "fresh", "materialize", "partitions_of", "slices", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,18 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
     release_memory()
 
 
+#: What operators keep in a worker from task to task, such as tokenizers with their memos.
+HELD: list[dict] = []
+
+
+def forget() -> None:
+    """Drop what operators that ran in this worker before have kept: workers live on from stage to stage."""
+    if any(HELD):
+        for kept in HELD:
+            kept.clear()
+        release_memory()
+
+
 def release_memory() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import slices, table
+from .common import forget, slices, table
 
 WINDOW = 512
 WIDTHS = (2, 3, 4)
@@ -234,6 +234,7 @@ def predict(docs: DataFrame, model: Model, column: str = "text", added: tuple[st
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         predictor = Predictor(sent.value)
         for b in slices(batches, f"c{at}"):
             texts = b.column(at).to_pylist()

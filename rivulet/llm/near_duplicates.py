@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
 from ..operators.components import components
-from .common import materialize, partitions_of, slices, table
+from .common import forget, materialize, partitions_of, slices, table
 from .shingles import GOLD, SQL_WORDS, WORDS, fingerprints, mix, shingles, units
 
 COORDINATES = 64
@@ -139,6 +139,7 @@ def sign(docs: DataFrame) -> DataFrame:
     """doc_id, th (a hash of the text), node (16 bytes, equal for equal words; null alone), size (shingles) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in slices(batches, "text", 1 << 20):
             texts = [t or "" for t in b.column(2).to_pylist()]
             h, n, words, count = shingles(texts)
@@ -223,6 +224,7 @@ def compared(blocks: DataFrame, threshold: float) -> DataFrame:
         return [(nodes[r], nodes[i]) for r, i in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         at, held = None, ([], [], [])
         out: list[tuple[bytes, bytes]] = []
         for b in batches:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, text_or_empty
+from .common import HELD, slices, table, text_or_empty
 from .words import Memo
 
 SPACE = "▁"
@@ -140,6 +140,7 @@ class PrefixCounter:
 
 
 COUNTERS: dict[str, PrefixCounter] = {}
+HELD.append(COUNTERS)
 
 
 def counter(path: str) -> PrefixCounter:

@@ -17,6 +17,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from .common import HELD
+
 LIMIT = 0x2100  # code points with a class
 END, LETTER, NUMBER, SPACE, OTHER, ODD = 0, 1, 2, 3, 4, 9
 #: Words, and bytes of them and of their values, that are kept when a batch begins.
@@ -222,6 +224,7 @@ class Encoder:
 
 
 ENCODERS: dict[tuple[str, str], Encoder] = {}
+HELD.append(ENCODERS)
 
 
 def encoder(path: str, cut: str) -> Encoder:

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rivulet.llm import packing, queries, token_counts, token_files, words
+from rivulet.llm import near_duplicates, packing, queries, token_counts, token_files, words
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 ALPHABET = [*"abc AB  \n\t'sStdmrevl.,!<|%12 éÉñüßÀ’—€ªº²  \u0085​▁", "'s", "'ve", "'ll", " 's", "日本", "İ", "é", "K", "<|endoftext|>", "ſ", "Ω", "\x00", "<s>", "</s>", "the", "ing"]
@@ -279,3 +279,19 @@ def test_pairs_that_share_a_mark_and_rules_by_levels(monkeypatch):
     assert [x.tolist() for x in token_files.depths(np.zeros((0, 2), dtype=np.uint32), 5)] == [[], []]
     with pytest.raises(ValueError, match="later"):
         token_files.depths(np.array([[1, 6], [1, 2]], dtype=np.uint32), 5)
+
+
+def test_other_operators_drop_the_tokenizers_of_a_worker(spark):
+    class Rows:
+        """Gives back the function that its rows would be mapped by."""
+
+        sparkSession = spark
+        select = repartition = sortWithinPartitions = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    for run in (near_duplicates.sign(Rows()), near_duplicates.compared(Rows(), 0.8)):
+        words.encoder(BYTE, "byte").encode(["some words"])
+        token_counts.counter(PIECE)
+        assert list(run(iter(()))) == []
+        assert not words.ENCODERS and not token_counts.COUNTERS
+    assert words.encoder(BYTE, "byte").encode(["some words"])[0].tolist() == Tokenizer.from_file(BYTE).encode("some words").ids
