@@ -3,7 +3,8 @@
 Opening finds the tables that the rules include and their keys, takes the log's mark and
 the bounds of every table while the tables are locked, and decides from a stored
 position what is left to do.  The snapshot is one plan, or pages with a position after
-each; the log follows from the mark, in micro-batches of a bounded number of rows.
+each; the log follows from the mark, in micro-batches of a bounded number of rows.  A
+long backlog is caught up with first, by one batch job over its files.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from ..sources import catalog, dbapi, jdbc
 from ..sources.backend import Backend, log_head
 from ..sources.catalog import TableKeys
 from ..streaming import apply
-from ..streaming.changelog import ChangeLogSource
+from ..streaming.changelog import ChangeLogBatch, ChangeLogSource, number, offset
 from . import combined
 from .config import Dsn, SinkConfig, SourceConfig
 
+#: More micro-batches than these are a backlog, which a batch job applies before the stream starts.
+BACKLOG_BATCHES = 16
+
 
 @dataclass
 class Source:
@@ -108,22 +112,46 @@ class Source:
             # The scan is at its end, also if the row with its last key is gone by now.
             self.done[table] = snapshot.positions_after(spec, end)
 
-    def log(self, checkpoint: str | None = None) -> DataFrame:
-        """The log after the mark as a stream of rows, at most ``batch_size`` a micro-batch."""
+    def _options(self, begin: dict) -> dict[str, str]:
         self.spark.dataSource.register(ChangeLogSource)
-        reader = self.spark.readStream.format("changelog").option("path", self.backend.log_path).option("database", self.config.database)
-        reader = reader.option("tables", ",".join(sorted(self.keys))).option("maxrows", str(self.config.batch_size))
+        return {"path": self.backend.log_path, "database": self.config.database, "tables": ",".join(sorted(self.keys)), "startingposition": json.dumps(begin)}
+
+    def _mark(self) -> dict:
+        mark = self.plan.mark
+        return offset(mark.name, mark.pos, mark.idx) if mark else offset()
+
+    def log(self, checkpoint: str | None = None, begin: dict | None = None) -> DataFrame:
+        """The log after the mark (or ``begin``) as a stream of rows, at most ``batch_size`` a micro-batch."""
+        reader = self.spark.readStream.format("changelog").options(**self._options(begin or self._mark()), maxrows=str(self.config.batch_size))
         if checkpoint:
             reader = reader.option("checkpoint", checkpoint)
-        if mark := self.plan.mark:
-            reader = reader.option("startingposition", json.dumps({"name": mark.name, "pos": mark.pos, "idx": mark.idx}))
         return reader.load()
 
+    def backlog(self) -> tuple[dict, dict] | None:
+        """(mark, head of the log) if more than ``BACKLOG_BATCHES`` micro-batches of rows lie between them."""
+        if not self.config.batch_size:
+            return None
+        options = {**self._options(self._mark()), "maxrows": str(BACKLOG_BATCHES * self.config.batch_size)}
+        log = ChangeLogBatch(options)
+        begin, near = log.begin, log.ahead(log.begin)
+        head = log.head()
+        place = lambda at: (number(at["name"]) if at["name"] else -1, at["pos"])
+        return (begin, head) if place(near) < place(head) else None
+
+    def _caught_up(self, sinks: apply.Tables, checkpoint: str) -> dict | None:
+        """Where the stream of a new checkpoint begins: after the backlog, which is applied here."""
+        found = apply.backlog(self.spark, checkpoint, self.backlog)
+        if found is None:
+            return None
+        rows = self.spark.read.format("changelog").options(**self._options(found["begin"]), endingposition=json.dumps(found["end"])).load()
+        apply.catch_up(sinks, found["stream"], rows)
+        return found["end"]
+
     def run(self, targets: Mapping[str, FileTable], checkpoint: str) -> StreamingQuery:
         """Write the snapshot to file tables, then stream the log into them from the mark.
 
         The batch job commits before the stream starts; rows that changed in between
-        come twice and are upserted.
+        come twice and are upserted.  So does the job that applies a backlog, if there is one.
         """
         for name, target in targets.items():
             if not target.versions():
@@ -131,7 +159,7 @@ class Source:
                 spec = self.plan.scans.get(name)
                 target.write(snapshot.scan(self.backend.rows(spec), spec) if spec else self.backend.frame(name).limit(0))
         sinks = {n: (t, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.backend.frame(n).schema.fields), self.keys[n].record) for n, t in targets.items()}
-        query = apply.start(self.log(checkpoint), sinks, checkpoint, self.config.batch_delay_ms)
+        query = apply.start(self.log(checkpoint, self._caught_up(sinks, checkpoint)), sinks, checkpoint, self.config.batch_delay_ms)
         self.queries.append(query)
         return query
 

@@ -237,6 +237,10 @@ def cdc_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+#: Log files that come while the stream runs.
+LATE_FILES = 8
+
+
 SINCE = """
 WITH l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events)
 SELECT user_id AS c_custkey, event_type AS c_mktsegment, value AS c_acctbal FROM l WHERE r = 1 AND event_type <> 'error'
@@ -246,14 +250,19 @@ UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custke
 
 @query(SINCE)
 def source_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From options to a table: the source opens, its snapshot is written, the log that came meanwhile is streamed in, the source is torn down."""
+    """From options to a table: the source opens, its snapshot is written, the log that came meanwhile is caught up with,
+    what comes later is streamed in, the source is torn down."""
     place = folder(spark)
     log = event_log(spark, sf_dir).withColumns({"collection": F.lit("customer"), "rows": F.transform("rows", lambda r: F.struct(r["user_id"].alias("c_custkey"), r["event_type"].alias("c_mktsegment"), r["value"].alias("c_acctbal")))})
     read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal").write.parquet(f"{place}/tables/customer.parquet")
     source = source_of(spark, f"{place}/tables", "customer", log.limit(0), place, sdk__batch__size=str(MOST_ROWS))
-    write_log(log, f"{place}/log")  # after the mark was taken
+    last = read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    late = F.col("file") > f"binlog.{max(0, last // 1000 - LATE_FILES + 1):06d}"
+    write_log(log.where(~late), f"{place}/log")  # after the mark was taken
     target = FileTable(spark, f"{place}/customer", buckets=8)
-    apply.drain(source.run({"customer": target}, f"{place}/checkpoint"))
+    stream = source.run({"customer": target}, f"{place}/checkpoint")
+    write_log(log.where(late), f"{place}/log")
+    apply.drain(stream)
     source.teardown()
     return target.read()
 

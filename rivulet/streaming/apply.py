@@ -1,17 +1,19 @@
-"""Sinks for micro-batches of change-log rows."""
+"""Sinks for micro-batches of change-log rows, and for a backlog of them."""
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import sink
 from ..operators.changes import file_number, operation
 from ..operators.tables import FileTable
+from .changelog import planned
 
 Tables = Mapping[str, tuple[FileTable, str, tuple[str, ...]]]
 
@@ -67,6 +69,45 @@ def apply_batch(tables: Tables, checkpoint: str) -> Callable[[DataFrame, int], N
     return run
 
 
+def catch_up(tables: Tables, stream: str, rows: DataFrame) -> None:
+    """Apply a backlog of change-log rows to file tables (table, row schema, keys) as the only batch of ``stream``.
+
+    The rows are read once a table, each key's last record is kept, and the buckets are written once.
+    """
+    for name, (target, schema, keys) in sorted(tables.items()):
+        records = flat(name, schema)(rows)
+        if not keys:
+            target.change((stream, 0), records.where("operation <> 'delete'").drop("operation"), sink.append)
+            continue
+        known = F.when(sink.kind(F.col("operation")).isNotNull(), F.col("operation"))
+        last = sink.last_by_key(records.withColumn("operation", known), list(keys)).select(*records.columns).persist()
+        try:
+            target.change((stream, 0), last, lambda old, new, keys=keys: sink.replay(old, new, keys))
+        finally:
+            last.unpersist()
+
+
+def backlog(spark: SparkSession, checkpoint: str, found: Callable[[], tuple[dict, dict] | None]) -> dict | None:
+    """``stream``, ``begin`` and ``end`` of the backlog that a checkpoint's stream starts after, None if it has none.
+
+    It is written down beside the stream's own offsets before it is applied, so a restart applies just the
+    same rows under the same name, or none of them again.  A stream that has offsets of its own is past it.
+    """
+    place = f"{checkpoint.rstrip('/')}/backlog.json"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(place)):
+        if planned(checkpoint) is not None or (ends := found()) is None:
+            return None
+        hidden = path(f"{checkpoint.rstrip('/')}/.{uuid.uuid4().hex}")
+        out = fs.create(hidden)
+        out.write(bytearray(json.dumps({"stream": uuid.uuid4().hex, "begin": ends[0], "end": ends[1]}).encode()))
+        out.close()
+        if not fs.rename(hidden, path(place)):
+            raise RuntimeError(f"{place} was written by another")
+    return json.loads("\n".join(r[0] for r in spark.read.text(place, wholetext=True).collect()))
+
+
 def start(stream: DataFrame, tables: Tables, checkpoint: str, delay_ms: int = 1000) -> StreamingQuery:
     """Apply a stream of change-log rows to file tables."""
     writer = stream.writeStream.foreachBatch(apply_batch(tables, checkpoint)).option("checkpointLocation", checkpoint)

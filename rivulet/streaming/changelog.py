@@ -49,6 +49,17 @@ class LogFile(InputPartition):
     byte: int = 0
 
 
+@dataclass
+class LogFiles(InputPartition):
+    """Files that one task of a batch reads one after the other."""
+
+    files: list[LogFile]
+
+
+#: Bytes of small files that one task of a batch reads.
+TASK_BYTES = 8 << 20
+
+
 def offset(name: str = "", pos: int = -1, idx: int = -1, byte: int = 0) -> dict:
     return {"name": name, "pos": pos, "idx": idx, "byte": byte}
 
@@ -147,11 +158,11 @@ def write_log(log: DataFrame, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(place).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(hadoop(path))
-    for folder in fs.listStatus(hadoop(place)):
-        name = folder.getPath().getName()
-        if name.startswith("file="):
-            (part,) = [s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-")]
-            fs.rename(part, hadoop(f"{path}/{name[5:]}"))
+    names = [s.getPath().getName()[5:] for s in fs.listStatus(hadoop(place)) if s.getPath().getName().startswith("file=")]
+    # In order: a stream may be reading, and a file that has a next one gets no more rows.
+    for name in sorted(names, key=number):
+        (part,) = [s.getPath() for s in fs.listStatus(hadoop(f"{place}/file={name}")) if s.getPath().getName().startswith("part-")]
+        fs.rename(part, hadoop(f"{path}/{name}"))
     fs.delete(hadoop(place), True)
 
 
@@ -161,6 +172,7 @@ class _Log:
         self.database = options.get("database")
         self.tables = frozenset(t for t in options.get("tables", "").split(",") if t)
         self.begin = {**offset(), **json.loads(options["startingposition"])} if options.get("startingposition") else offset()
+        self.end = {**offset(), **json.loads(options["endingposition"])} if options.get("endingposition") else None
         self.limit = int(options.get("maxrows", "0"))
         self.checkpoint = options.get("checkpoint")
         self.at: dict | None = None
@@ -271,8 +283,22 @@ class ChangeLogStream(_Log, DataSourceStreamReader):
 
 
 class ChangeLogBatch(_Log, DataSourceReader):
-    def partitions(self) -> list[LogFile]:
-        return self.range(self.begin, self.ahead(self.begin) if self.limit else self.head())
+    def partitions(self) -> list[LogFiles]:
+        """Consecutive files, about ``TASK_BYTES`` of them a task."""
+        fs, root = filesystem(self.path)
+        size = {i.path: i.size for i in fs.get_file_info(pafs.FileSelector(root)) if i.type == pafs.FileType.File}
+        out, held = [], 0
+        for f in self.range(self.begin, self.end or (self.ahead(self.begin) if self.limit else self.head())):
+            if not out or held + size.get(f.path, 0) > TASK_BYTES:
+                out.append(LogFiles([]))
+                held = 0
+            out[-1].files.append(f)
+            held += size.get(f.path, 0)
+        return out
+
+    def read(self, partition: LogFiles | None) -> Iterator[pa.RecordBatch]:
+        for f in partition.files if partition else ():
+            yield from read_file(f, self.path, self.wanted)
 
 
 class ChangeLogSource(DataSource):
@@ -280,6 +306,7 @@ class ChangeLogSource(DataSource):
 
     Options: ``path``, ``database``, ``tables`` (names with commas between),
     ``startingposition`` (JSON with name, pos and idx; rows after it are read),
+    ``endingposition`` (the last row of a batch read; without it the log's head),
     ``maxrows`` (rows of a micro-batch at most; 0: no bound) and ``checkpoint`` (the
     stream's checkpoint folder, where a restart finds its place).
     """

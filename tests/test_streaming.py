@@ -14,7 +14,7 @@ from rivulet.plans.config import SourceConfig
 from rivulet.plans.source import Source
 from rivulet.sources.backend import FolderBackend
 from rivulet.sources.catalog import KeylessTableError, NoTablesError, TableKeys
-from rivulet.streaming import changelog
+from rivulet.streaming import apply, changelog
 from rivulet.streaming.apply import drain
 from rivulet.streaming.changelog import SCHEMA, ChangeLogSource, _Log
 
@@ -285,6 +285,52 @@ def test_a_stream_does_not_rewrite_a_table_each_batch(spark, tmp_path):
     assert state(target) == {i: f"n{i}" if i < 20 else "a" for i in range(100)}
 
 
+def test_a_long_backlog_is_one_batch_before_the_stream(spark, tmp_path):
+    log, check = tmp_path / "log", str(tmp_path / "check")
+    log.mkdir()
+    frames = {"users": spark.range(50).selectExpr("id", "'a' AS name")}
+    target = FileTable(spark, str(tmp_path / "users"), buckets=4)
+    mark = log_position_json(open_source(spark, tmp_path, frames, {"users": ("id",)}).plan.mark)
+    for n in range(1, 5):  # 120 rows, 24 micro-batches of five
+        write(log, n, [(k, "update", [user(k, "a"), user(k, f"n{n}-{k}")]) for k in range(29)] + [(29, "delete", [user(40 + n, "a")])])
+
+    def source():
+        return open_source(spark, tmp_path, frames, {"users": ("id",)}, position=mark, sdk__batch__size="5", snapshot__enabled="true")
+
+    target.keys = ("id",)
+    target.write(frames["users"])
+    first = source()
+    query = first.run({"users": target}, check)
+    wanted = {i: f"n4-{i}" if i < 29 else "a" for i in range(50) if i not in range(41, 45)}
+    assert state(target) == wanted and len(target.versions()) == 2  # before the stream has done anything
+    write(log, 5, [(k, "insert", [user(60 + k, "late")]) for k in range(7)])
+    drain(query)
+    first.teardown()
+    wanted |= {60 + k: "late" for k in range(7)}
+    assert state(target) == wanted and len(target.manifest()["pending"]["folders"]) == 2
+    # A restart finds the backlog applied, and the stream's own place.
+    applied = target.manifest()["applied"]
+    follow(source(), {"users": target}, check)
+    assert state(target) == wanted and target.manifest()["applied"] == applied
+
+
+def test_a_backlog_that_was_cut_off_is_applied_once(spark, tmp_path, monkeypatch):
+    log, check = tmp_path / "log", str(tmp_path / "check")
+    log.mkdir()
+    frames = {"users": spark.createDataFrame([], "id long, name string")}
+    target = FileTable(spark, str(tmp_path / "users"))
+    source = lambda: open_source(spark, tmp_path, frames, {}, tableConfig__users__sortingColumn="id", sdk__batch__size="2")
+    first = source()
+    write(log, 1, [(k, "insert", [user(k, "a")]) for k in range(40)])
+    monkeypatch.setattr(apply, "start", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        first.run({"users": target}, check)
+    monkeypatch.undo()
+    write(log, 1, [(k, "insert", [user(k, "b")]) for k in range(40, 43)])
+    follow(source(), {"users": target}, check)
+    assert sorted(target.read().select("id").toPandas().id.tolist()) == list(range(43))
+
+
 def test_a_batch_does_not_list_the_log_again(tmp_path, monkeypatch):
     for n in range(1, 9):
         write(tmp_path, n, [(k, "insert", [user(k, "a")]) for k in range(5)])
