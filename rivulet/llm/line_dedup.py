@@ -81,22 +81,31 @@ def bound(length: Column, blocks: Column, j: Column) -> Column:
     return F.floor(length.cast("long") * j / blocks).cast("int")
 
 
-def block_key(line: Column, length: Column, n: Column, j: Column) -> Column:
-    return F.xxhash64(length, j, F.substring(line, F.lit(1), bound(length, n, j)), F.lit("|"), F.right(line, length - bound(length, n, j + 1)))
+def ends_key(seen: Column, j: Column, left: Column | None, right: Column | None) -> Column:
+    """Hash of ``line`` without what lies between its first ``left`` and its last ``right`` characters (None: none of them).
+
+    ``raw`` has the bytes of a line of one-byte characters, null for others.  Bytes are cut without
+    a walk over the characters before them, and their hash is that of the equal string.
+    """
+    none, mark, most = F.lit(""), F.lit("|"), F.col("len")
+    of_bytes = [none if left is None else F.substring("raw", F.lit(1), left), mark, none if right is None else F.substring("raw", most - right + 1, most)]
+    of_text = [none if left is None else F.substring("line", F.lit(1), left), mark, none if right is None else F.substring("line", most - right + 1, most)]
+    return F.when(F.col("raw").isNotNull(), F.xxhash64(seen, j, *of_bytes)).otherwise(F.xxhash64(seen, j, *of_text))
 
 
-def key_at(line: Column, length: Column, q: Column) -> Column:
+def key_at(length: Column, q: Column) -> Column:
     """The q-th block key of a line: first those of its own length, then those of one less."""
     own = q < block_count(length)
     seen = F.when(own, length).otherwise(length - 1)
     j = F.when(own, q).otherwise(q - block_count(length))
-    return F.when(j < block_count(seen), block_key(line, seen, block_count(seen), j))
+    n = block_count(seen)
+    return F.when(j < n, ends_key(seen, j, bound(seen, n, j), seen - bound(seen, n, j + 1)))
 
 
-def half_keys(line: Column, length: Column) -> list[Column]:
-    """The two block keys of a line seen as ``length`` long, if that makes two blocks."""
-    half = F.floor(length / 2).cast("int")
-    return [F.xxhash64(length, F.lit(0), F.lit(""), F.lit("|"), F.right(line, length - half)), F.xxhash64(length, F.lit(1), F.left(line, half), F.lit("|"), F.lit(""))]
+def half_keys(seen: Column) -> list[Column]:
+    """The two block keys of a line seen as ``seen`` long, if that makes two blocks."""
+    half = F.floor(seen / 2).cast("int")
+    return [ends_key(seen, F.lit(0), None, seen - half), ends_key(seen, F.lit(1), half, None)]
 
 
 def all_lines(docs: DataFrame) -> DataFrame:
@@ -104,7 +113,7 @@ def all_lines(docs: DataFrame) -> DataFrame:
     # A document's place is found below the explode, once, and its text does not go through it.  So is
     # a line's length: counting characters again in each expression would cost more than all the rest.
     lines = F.transform(F.split(F.col("text").cast("string"), "\n"), lambda x: F.struct(x.alias("line"), F.length(x).alias("len")))
-    found = docs.select(document_place().alias("doc"), text_code().alias("th"), lines.alias("lines")).select("doc", "th", F.posexplode("lines").alias("line_no", "l")).select("doc", "th", "line_no", "l.line", "l.len")
+    found = docs.select(document_place().alias("doc"), text_code().alias("th"), lines.alias("lines")).select("doc", "th", F.posexplode_outer("lines").alias("line_no", "l")).select("doc", "th", "line_no", "l.line", "l.len")
     return found.where(~is_blank(F.col("line"))).select((F.col("doc") + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)").alias("at"), "th", "line", "len")
 
 
@@ -113,18 +122,21 @@ def distinct_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
     ``part`` counts a line's rows; all but very long lines have one.
     """
-    line, length = F.col("line"), F.col("len")
+    length = F.col("len")
 
     def four(part: Column, keys: list[Column]) -> Column:
         return F.struct(part.alias("part"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
 
     none = four(F.lit(0), [F.lit(None).cast("long")] * 4)
-    halves = four(F.lit(0), [*half_keys(line, length), *half_keys(line, length - 1)])
+    halves = four(F.lit(0), [*half_keys(length), *half_keys(length - 1)])
     total = block_count(length) + block_count(length - 1)
-    many = F.transform(F.sequence(F.lit(0), F.ceil(total / 4).cast("int") - 1), lambda c: four(c, [key_at(line, length, 4 * c + i) for i in range(4)]))
+    many = F.transform(F.sequence(F.lit(0), F.ceil(total / 4).cast("int") - 1), lambda c: four(c, [key_at(length, 4 * c + i) for i in range(4)]))
     parts = F.when(length < min_chars, F.array(none)).when(block_count(length) == 2, F.array(halves)).otherwise(many)
-    spread = all_lines(docs).select("at", "th", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), parts.alias("parts"))
-    spread = spread.select("h1", "h2", "at", "th", F.explode("parts").alias("p")).select("h1", "h2", "at", "th", "p.*")
+    raw = F.when(F.octet_length("line") == length, F.col("line").cast("binary"))
+    spread = all_lines(docs).select("at", "th", "line", "len", raw.alias("raw"))
+    spread = spread.select("at", "th", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), parts.alias("parts"))
+    # Explodes are outer ones here: before others Spark filters by the size of the array, and so makes each array once more.
+    spread = spread.select("h1", "h2", "at", "th", F.explode_outer("parts").alias("p")).select("h1", "h2", "at", "th", "p.*")
     # The text stays behind: equal lines have equal keys, so any row's will do.
     first = [F.min("at").alias("least"), F.min_by("th", "at").alias("th"), *[F.first(f"k{i}").alias(f"k{i}") for i in range(4)]]
     return spread.groupBy("h1", "h2", "part").agg(*first).select(F.col("least").alias("at"), "th", "part", "k0", "k1", "k2", "k3")
@@ -147,7 +159,7 @@ def candidates(docs: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]
         by_doc = F.broadcast(by_doc)
     rows = docs.select(document_place().alias("doc"), text_code().alias("th"), F.split(F.col("text").cast("string"), "\n").alias("all")).join(by_doc, ["doc", "th"])
     line = lambda f: F.get("all", f["line_no"])
-    one = rows.select(F.explode(F.transform("found", lambda f: F.struct(*[f[c].alias(c) for c in ("id", "p", "key", "shared")], line(f).alias("line"), F.length(line(f)).alias("len")))).alias("c")).select("c.*")
+    one = rows.select(F.explode_outer(F.transform("found", lambda f: F.struct(*[f[c].alias(c) for c in ("id", "p", "key", "shared")], line(f).alias("line"), F.length(line(f)).alias("len")))).alias("c")).select("c.*")
     size = F.col("len")
     own = F.col("p") < block_count(size)
     seen = F.when(own, size).otherwise(size - 1)
@@ -175,7 +187,8 @@ def variants(found: DataFrame) -> DataFrame:
     each = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     whole = F.array(F.struct(F.xxhash64(key, F.lit(-1), block).alias("variant"), F.lit(0).alias("kind")))
     all_keys = F.when(F.col("short"), F.concat(whole, F.transform(each, lambda i: without(i, 2)))).otherwise(F.transform(each, lambda i: without(i, 1)))
-    return found.select("id", F.explode(all_keys).alias("v")).select("id", "v.variant", "v.kind")
+    # An outer explode, see ``distinct_lines``; a line with nothing to leave out has no key.
+    return found.select("id", F.explode_outer(all_keys).alias("v")).select("id", "v.variant", "v.kind").where("variant is not null")
 
 
 def near_copies(docs: DataFrame, lines: DataFrame) -> DataFrame:

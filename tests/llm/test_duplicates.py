@@ -125,6 +125,26 @@ def test_queries_equal_sql(spark, data, name):
     assert got.columns == columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
 
 
+def test_no_array_is_made_twice(make_docs):
+    docs = make_docs([(1, "a line of more than twenty characters\nanother one")])
+    lines = line_dedup.distinct_lines(docs, 20)
+    found, _ = line_dedup.candidates(docs, lines)
+    for df in (lines, found, line_dedup.variants(found)):
+        # Spark filters by the size of an exploded array, which makes it once more, unless the explode is an outer one.
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" in plan and "size(" not in plan
+
+
+def test_block_keys_of_bytes_equal_those_of_characters(spark):
+    lines = [(x,) for x in ("short", "x" * 20, "twenty or more characters of one byte each", "ab" * 700, "c" * 1025, "d" * 5000)]
+    df = spark.createDataFrame(lines, "line string").select("line", F.length("line").alias("len"), F.col("line").cast("binary").alias("raw"))
+    length = F.col("len")
+    keys = [*line_dedup.half_keys(length), *line_dedup.half_keys(length - 1), *[line_dedup.key_at(length, F.lit(q)) for q in range(24)]]
+    shown = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    by_bytes, by_text = df.select("line", *shown).collect(), df.withColumn("raw", F.lit(None).cast("binary")).select("line", *shown).collect()
+    assert by_bytes == by_text and len({k for r in by_bytes for k in r[1:5]}) == 24
+
+
 def test_line_dedup_runs_no_python(odd):
     plan = line_dedup.line_dedup(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
