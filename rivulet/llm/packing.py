@@ -39,14 +39,17 @@ STEP = 128
 BLOCK = 1 << 19
 
 
-def tokenized(docs: DataFrame, path: str, cut: str, end_id: int, rows_per_bucket: int) -> DataFrame:
-    """bucket, doc_id, n_tokens, crc and ids (little-endian, of the vocabulary's ``id_type``) of each document and its end id."""
+def tokenized(docs: DataFrame, path: str, cut: str, end_id: int, rows_per_bucket: int, most_bytes: int = 1 << 20) -> DataFrame:
+    """bucket, doc_id, n_tokens, crc and ids (little-endian, of the vocabulary's ``id_type``) of each document and its end id.
+
+    Texts are encoded ``most_bytes`` at a time: more of them share their words, and take some 40 times as much memory.
+    """
     bounds = docs.sparkSession.sparkContext.broadcast(bucket_bounds(docs, "doc_id", rows_per_bucket))
     kind = id_type(max(id_space(path), end_id + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, dealt = encoder(path, cut), Buckets(bounds.value)
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", most_bytes):
             texts = b.column(1).to_pylist()
             ids = [np.append(x, np.array(end_id, dtype=kind)).astype(kind, copy=False) for x in enc.encode(texts)]
             bucket = pa.array(dealt.of(b.column(0), texts), pa.int32())

@@ -12,7 +12,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Sequence
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +44,13 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
         self.held = 0
         self.offset = np.zeros(1025, dtype=np.int64)
         self.data = np.zeros(4096, dtype=self.kind)
 
-    def add(self, words: list[bytes]) -> None:
-        lists = [self.make(w.decode("utf-32-le", "surrogatepass")) for w in words]
+    def add(self, words: list[str]) -> None:
+        lists = list(map(self.make, words))
         i, n = len(self.index), len(lists)
         size = np.fromiter(map(len, lists), dtype=np.int64, count=n)
         value = np.fromiter(chain.from_iterable(lists), dtype=self.kind, count=int(size.sum()))
@@ -60,27 +60,30 @@ class Memo:
         if a + len(value) > len(self.data):
             self.data = np.resize(self.data, 2 * (a + len(value)))
         self.index.update(zip(words, range(i, i + n), strict=True))
-        self.held += sum(map(len, words)) + value.nbytes
+        self.held += 4 * sum(map(len, words)) + value.nbytes
         self.offset[i + 1 : i + n + 1], self.data[a : a + len(value)] = a + np.cumsum(size), value
 
-    def values(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The words' values one after the other, and each word's number of values; words are ranges of the code points ``chars``, in order."""
+    def values(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The words' values one after the other, and each word's number of values; words are ranges of the code points ``chars`` (of one byte or four each), in order, and ``inside`` tells which code points are in one."""
         if len(start) == 0:
             return np.zeros(0, dtype=self.kind), np.zeros(0, dtype=np.int64)
         if len(self.index) > MOST_WORDS or self.held > MOST_BYTES:
             self.clear()
-        edge = np.zeros(len(chars) + 1, dtype=np.int8)
-        edge[start] += 1
-        edge[end] -= 1
-        inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+        if inside is None:
+            edge = np.zeros(len(chars) + 1, dtype=np.int8)
+            edge[start] += 1
+            edge[end] -= 1
+            inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
         offset = np.zeros(len(start) + 1, dtype=np.int64)
         np.cumsum(end - start, out=offset[1:])
-        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(4 * offset), pa.py_buffer(chars[inside])]).dictionary_encode()
+        wide = chars.itemsize
+        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(wide * offset), pa.py_buffer(chars[inside])]).dictionary_encode()
         distinct, back = words.dictionary, words.indices.to_numpy()
-        ends, flat = np.frombuffer(distinct.buffers()[1], dtype=np.int64, count=len(distinct) + 1).tolist(), distinct.buffers()[2].to_pybytes()
+        at = np.frombuffer(distinct.buffers()[1], dtype=np.int64, count=len(distinct) + 1) // wide
+        ends = at.tolist()
+        flat = str(distinct.buffers()[2], "latin-1") if wide == 1 else str(distinct.buffers()[2], "utf-32-le", "surrogatepass")
         keys = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        get, found = self.index.get, np.empty(len(keys), dtype=np.int64)
-        found[:] = [get(k, -1) for k in keys]
+        found = np.fromiter(map(self.index.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
         new = np.flatnonzero(found < 0)
         if len(new):
             found[new] = len(self.index) + np.arange(len(new))
@@ -89,16 +92,30 @@ class Memo:
         first = self.offset[places]
         count = self.offset[places + 1] - first
         ends = np.cumsum(count)
-        return self.data[np.repeat(first - (ends - count), count) + np.arange(ends[-1])], count
+        place = np.repeat(first - (ends - count), count)
+        place += np.arange(len(place))
+        return self.data[place], count
 
 
-def code_points(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
-    """The texts as one, each followed by a 0, its code points, and where each text begins (and the end)."""
+def one_byte(text: str) -> bytes | None:
+    """The code points of a text that has none beyond 255."""
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' code points, each text followed by a 0, and where each text begins (and the end).
+
+    A code point is one byte where that will do for all texts, else four.
+    """
     text = "\0".join(texts) + "\0"
-    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    short = one_byte(text)
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) if short is None else np.frombuffer(short, dtype=np.uint8)
     begin = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
-    return text, chars, begin
+    return chars, begin
 
 
 def contractions(chars: np.ndarray, kind: np.ndarray, after_space: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +189,7 @@ def id_type(space: int) -> str:
 class Encoder:
     """ids of whole texts as the tokenizers library gives them (no special tokens added)."""
 
+    #: The cut, and whether it is of lower case (then white space is in no word).
     CUTS = {"byte": (spaced_words, False), "word": (lower_words, True)}
 
     def __init__(self, path: str, cut: str) -> None:
@@ -181,6 +199,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.cut, self.lower = self.CUTS[cut]
         self.classes, self.letters = character_classes(), byte_letters()
+        self.table = self.classes[:256].tobytes()
         self.ascii = {i: c for i, c in enumerate(self.letters[:128])}
         #: As ``id_space``, without a second tokenizer in the worker's memory.
         self.space = max(self.tokenizer.get_vocab().values(), default=0) + 1
@@ -198,24 +217,24 @@ class Encoder:
             return []
         kind = self.memo.kind
         lowered = [t.lower() for t in texts] if self.lower else texts
-        text, chars, begin = code_points(lowered)
-        classes = self.classes[np.minimum(chars, LIMIT)]
-        classes_end = begin[1:] - 1
-        odd = np.zeros(len(chars) + 1, dtype=np.int64)
+        chars, begin = code_points(lowered)
+        classes = np.frombuffer(chars.tobytes().translate(self.table), dtype=np.uint8) if chars.itemsize == 1 else self.classes[np.minimum(chars, LIMIT)]
         bad = classes == ODD
         bad |= chars == 0
-        bad[classes_end] = False
-        np.cumsum(bad, out=odd[1:])
-        whole = np.flatnonzero(odd[begin[1:]] > odd[begin[:-1]]).tolist()
+        bad[begin[1:] - 1] = False
+        whole = np.unique(np.searchsorted(begin, np.flatnonzero(bad), side="right") - 1).tolist()
         whole = {*whole, *(i for i, t in enumerate(texts) if "<|" in t), *(i for i, t in enumerate(lowered) if len(t) != len(texts[i]))}
-        if self.lower:  # characters whose lower case alone is inside the classes
+        if self.lower and one_byte("".join(texts)) is None:  # characters whose lower case alone is inside the classes
             whole |= {i for i, t in enumerate(texts) if not t.isascii() and any(ord(c) > 0x24F and not 0x2010 <= ord(c) < 0x203B and c != "€" for c in set(t))}
         if whole:
             classes = classes.copy()
             for i in whole:
                 classes[begin[i] : begin[i + 1]] = END
         start, end = self.cut(chars, classes)
-        ids, count = self.memo.values(chars, start, end)
+        inside = classes != END
+        if self.lower:
+            inside &= classes != SPACE
+        ids, count = self.memo.values(chars, start, end, inside)
         upto = np.r_[0, np.cumsum(count)][np.searchsorted(start, begin)]
         out = [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
         for i in whole:

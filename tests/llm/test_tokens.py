@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -295,3 +296,30 @@ def test_other_operators_drop_the_tokenizers_of_a_worker(spark):
         assert list(run(iter(()))) == []
         assert not words.ENCODERS and not token_counts.COUNTERS
     assert words.encoder(BYTE, "byte").encode(["some words"])[0].tolist() == Tokenizer.from_file(BYTE).encode("some words").ids
+
+
+@pytest.mark.parametrize(("name", "cut"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_encoding_takes_little_memory(name, cut):
+    """Of texts without code points beyond 255, which take a byte each, at most 40 bytes of arrays a character."""
+    enc = words.Encoder(public_tokenizers.path(name), cut)
+    texts = [" ".join(f"Wörter{k % 97} und {k % 89}, l'été" for k in range(2000)) for _ in range(20)]
+    assert words.code_points(texts)[0].itemsize == 1 and words.code_points(["a", "日"])[0].itemsize == 4
+    found = enc.encode(texts)
+    tracemalloc.start()
+    try:
+        enc.encode(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 * sum(map(len, texts))
+    # The same texts beside one with wide characters are encoded alike.
+    assert all((a == b).all() for a, b in zip(enc.encode([*texts, "日本"]), found, strict=False))
+
+
+@pytest.mark.parametrize(("path", "cut"), [(BYTE, "byte"), (WORD, "word")])
+def test_one_byte_texts_are_encoded_as_by_the_library(path, cut):
+    enc, library, rng = words.Encoder(path, cut), Tokenizer.from_file(path), random.Random(3)
+    letters = [c for c in ALPHABET if all(ord(x) < 256 for x in c)] + [chr(c) for c in range(128, 256)]
+    some = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    assert words.code_points(some)[0].itemsize == 1
+    assert [g.tolist() for g in enc.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
