@@ -313,7 +313,7 @@ def write_token_files(docs: DataFrame, path: str, cut: str = "word", end_id: int
         if held:
             yield flush()
 
-    return in_order(tokenized(docs, path, cut, end_id, rows_per_bucket)).mapInArrow(run, "bucket int, shard int, n_docs long, n_ids long, file binary")
+    return in_order(tokenized(docs, path, cut, end_id, rows_per_bucket, 4 << 20)).mapInArrow(run, "bucket int, shard int, n_docs long, n_ids long, file binary")
 
 
 def with_starts(files: DataFrame) -> DataFrame:
