@@ -53,6 +53,8 @@ DARTS = int(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
 #: Buckets up to so many nodes and elements are compared in one task; larger ones in blocks of about this size.
 BLOCK_NODES = 768
 BLOCK_ELEMENTS = 2_000_000
+#: Buckets up to so many blocks are compared all with all, by pairs of blocks: to look at them first takes longer.
+DIRECT_BLOCKS = 2
 FIRST = -4  # the first region has the ranks from 0 to 2**-4, each later one doubles the end
 
 
@@ -215,6 +217,9 @@ def compared(blocks: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) inside each block: rows of band, key, i, j, side (1: left, 2: right, 3: both), node and elements."""
 
     def links_of(nodes: list[bytes], sides: list[int], raw: list[bytes]) -> list[tuple[bytes, bytes]]:
+        # The least node of what is similar is linked with the rest, so it is their label at once.
+        order = sorted(range(len(nodes)), key=nodes.__getitem__)
+        nodes, sides, raw = ([x[k] for k in order] for x in (nodes, sides, raw))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in raw]
         left, right = [k for k, s in enumerate(sides) if s & 1], [k for k, s in enumerate(sides) if s & 2]
         if not left or not right:
@@ -298,6 +303,14 @@ def parted(marked: DataFrame, elements: DataFrame) -> DataFrame:
     return marked.join(cheap, ["band", "key"], "left_anti").select(*columns).unionByName(by_sub.drop("key").withColumnRenamed("sub", "key").select(*columns))
 
 
+def direct(members: DataFrame) -> DataFrame:
+    """Blocks (band, key, i, j, side, node) in which each bucket's nodes are compared, all with all: its ``parts`` by pairs."""
+    c, k = F.col("c"), F.col("k")
+    spread = members.withColumn("c", F.pmod(F.xxhash64("node", F.lit(2)), F.col("parts")).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    side = F.when(k > c, 1).when(k < c, 2).otherwise(3)
+    return spread.select("band", "key", F.least(c, k).alias("i"), F.greatest(c, k).alias("j"), side.alias("side"), "node")
+
+
 def links(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, block_nodes: int = BLOCK_NODES, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """Links (a, b) that connect the nodes which share a bucket and are at least ``threshold`` alike, directly or through others."""
     nodes = signed.where(F.size("bands") > 0).groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands"))
@@ -306,32 +319,37 @@ def links(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, bloc
     buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), *same).where("n > 1")
     buckets = buckets.groupBy("n", "total", "x", "y").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key", "n", "total")
     members = materialize(spread.join(buckets, ["band", "key"]).select("band", "key", "n", "total", "node", "size"), "buckets")
-    places = nodes.select("node", "at.doc_id", "at.th").join(members.select("node").distinct(), "node")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text"))
-    texts = rows.join(places, rows["doc_id"].eqNullSafe(places["doc_id"]) & (rows["th"] == places["th"])).select("node", "text").dropDuplicates(["node"])
+    places = nodes.select("node", "at.doc_id", "at.th").join(members.select("node"), "node", "left_semi")
+    # A node has one place, so rows that share theirs are repeated; they meet in the join's shuffle.
+    known = [F.coalesce("doc_id", F.lit(0).cast("long")).alias("known"), F.isnull("doc_id").alias("null"), "th"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.col("text").cast("string").alias("text")).select(*known, "text")
+    at = ["known", "null", "th"]
+    texts = rows.join(places.select(*known, "node"), at).dropDuplicates(at).select("node", "text")
     elements = materialize(elements_of(texts), "elements")
     parts = F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("total") / block_elements)).cast("int")
     members = members.withColumn("parts", parts)
-    zero = F.lit(0)
-    found = compared(members.where("parts = 1").select("band", "key", zero.alias("i"), zero.alias("j"), F.lit(3).alias("side"), "node").join(elements, "node"), threshold)
-    large = members.where("parts > 1")
+    found = compared(direct(members.where(F.col("parts") <= DIRECT_BLOCKS)).join(elements, "node"), threshold)
+    large = members.where(F.col("parts") > DIRECT_BLOCKS)
     if large.take(1):
-        head = large.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head")).select("band", "key", "head.node")
-        against = large.join(head.withColumnRenamed("node", "head"), ["band", "key"]).where("node <> head").select("band", "key", "parts", F.col("head").alias("a"), F.col("node").alias("b"))
+        head = large.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node", "size")).alias("head"))
+        head = head.select("band", "key", F.col("head.node").alias("a"), F.col("head.size").alias("head_size"))
+        against = large.join(head, ["band", "key"]).where("node <> a").select("band", "key", "n", "total", "size", "head_size", "a", F.col("node").alias("b"))
         checked = materialize(alike(against, elements, threshold), "checked")
-        rest = checked.where("not alike").select("band", "key", F.col("b").alias("node"))
         # Nodes unlike the first are compared with others: left blocks by their own number, right blocks by the group's.
-        few = rest.groupBy("band", "key").agg(F.count("*").alias("r"))
-        marked = large.join(few, ["band", "key"]).join(rest.withColumn("rest", F.lit(1)), ["band", "key", "node"], "left").withColumn("rest", F.coalesce("rest", zero))
-        groups = parted(materialize(marked.select("band", "key", "n", "total", "r", "node", "size", "rest"), "large-buckets"), elements)
-        parts = F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("total") / block_elements)).cast("int")
+        few = checked.where("not alike").groupBy("band", "key", "n", "total", F.col("a").alias("node"), F.col("head_size").alias("size")).agg(F.count("*").alias("r"))
+        others = checked.select("band", "key", "n", "total", F.col("b").alias("node"), "size", F.expr("int(not alike)").alias("rest"))
+        columns = ["band", "key", "n", "total", "r", "node", "size", "rest"]
+        marked = others.join(few.select("band", "key", "r"), ["band", "key"]).select(*columns).unionByName(few.withColumn("rest", F.lit(0)).select(*columns))
+        groups = parted(materialize(marked, "large-buckets"), elements)
         sized = groups.withColumn("parts", parts).withColumn("lefts", F.greatest(F.ceil(F.col("r") * F.col("parts") / F.col("n")), F.lit(1)).cast("int"))
-        chunk = lambda k, salt: F.pmod(F.xxhash64("node", F.lit(salt)), k).cast("int")
-        left = sized.where("rest = 1").select("band", "key", chunk(F.col("lefts"), 1).alias("i"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("j"), F.lit(1).alias("side"), "node")
-        right = sized.select("band", "key", F.explode(F.sequence(zero, F.col("lefts") - 1)).alias("i"), chunk(F.col("parts"), 2).alias("j"), F.lit(2).alias("side"), "node")
-        blocks = left.unionByName(right).join(elements, "node")
-        found = found.unionByName(compared(blocks, threshold)).unionByName(checked.where("alike").select("a", "b"))
-    return materialize(found.where("a <> b"), "links")
+        chunk = lambda k, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(k)).cast("int")
+        span = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
+        place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+        left = F.transform(F.slice(span("parts"), F.lit(1), F.col("rest") * F.col("parts")), lambda j: place(chunk("lefts", 1), j, 1))
+        right = F.transform(span("lefts"), lambda i: place(i, chunk("parts", 2), 2))
+        blocks = sized.select("band", "key", "node", F.explode(F.concat(left, right)).alias("at")).select("band", "key", "at.i", "at.j", "at.side", "node")
+        found = found.unionByName(compared(blocks.join(elements, "node"), threshold)).unionByName(checked.where("alike").select("a", "b"))
+    return found.where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block_nodes: int = BLOCK_NODES, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:

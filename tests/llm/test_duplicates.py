@@ -1,5 +1,6 @@
 """Lines, near-duplicates and benchmark leaks against brute force."""
 
+import importlib
 import itertools
 import random
 import re
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, line_dedup, near_duplicates, queries
 from rivulet.llm.shingles import shingles, units
+from rivulet.operators import storage
 from rivulet.operators.components import components
 
 from .conftest import LONG, prose
@@ -229,6 +231,21 @@ def test_a_shared_passage_does_not_compare_all_pairs(spark, make_docs, monkeypat
     assert made[0] == plain[0] and made[1] > 1.5 * plain[1]
 
 
+def test_a_bucket_of_two_blocks_is_compared_at_once(make_docs, monkeypatch):
+    """Without a look at all its nodes before, and without a link lost between its blocks."""
+    rng, rows = random.Random(5), [(100, prose(7, 60, words=5000)), (101, None), (102, "")]
+    for d in range(14):
+        words = prose(8, 60, words=5000).split()
+        for _ in range(d // 6):
+            words[rng.randrange(len(words))] = f"x{d}"
+        rows.append((d, " ".join([*words, f"y{d}"])))
+    rows += [(20, rows[5][1]), (20, rows[5][1]), (None, rows[6][1])]
+    monkeypatch.setattr(near_duplicates, "alike", lambda *args: pytest.fail("a bucket of two blocks was taken for a large one"))
+    found = {(r.doc_id, r.class_id) for r in near_duplicates.near_duplicates(make_docs(rows), block_nodes=9).collect()}
+    want = classes([(-1 if d is None else d, t) for d, t in rows])
+    assert found == {(None if d == -1 else d, None if c == -1 else c) for d, c in want.items()} and len(want) > len(set(want.values()))
+
+
 def test_odd_near_duplicates(odd, empty):
     rows = near_duplicates.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
@@ -250,6 +267,23 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_round_of_components_shuffles_little(spark, monkeypatch):
+    made, write = [], storage.materialize
+
+    def counted(df, name):
+        made.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name)
+
+    monkeypatch.setattr(importlib.import_module("rivulet.operators.components"), "materialize", counted)
+    links = spark.range(64).selectExpr("id AS a", "id + 1 AS b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.root for r in components(links).collect()} == {0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert made[0] == 1 and max(made[1:]) <= 9  # with a branch of the plan that is used twice counted twice
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x20\x7f!-/:-@\[-`{-~]+", (text or "").lower())
 
