@@ -47,12 +47,16 @@ SHARD_IDS = 1 << 20
 LEAST_COUNT = 4
 
 
-#: Pairs are told apart by so many bits of a hash before they are compared.
+#: Symbols move up in a round that replaces one in so many.
+FEW = 16
+#: Pairs are told apart by at most so many bits of a hash before they are compared.
 MARK_BITS = 20
 
 
-def marks(pairs: np.ndarray) -> np.ndarray:
-    return (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MARK_BITS)
+def marks(pairs: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
+    out = pairs * np.uint64(0x9E3779B97F4A7C15)
+    out >>= np.uint64(64 - bits)
+    return out.view(np.int64)
 
 
 def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,18 +64,21 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
 
     ``doc_last`` has the index of each document's last id; ids are below ``first_rule``.
     A pair that is frequent after a round was so before it, or has one of the round's
-    nonterminals; only places of such pairs are counted again.
+    nonterminals; only places of such pairs are counted again.  Once a
+    round replaces few, symbols stay at their places and know the next and the one
+    before, so a round takes time for the places that it counts, not for all.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), dtype=bool)
     last[doc_last] = True
     live = ~last
+    after = before = gone = None  # a document's last symbol is followed by another's first
     rules, n_rules = [np.zeros(0, dtype=np.uint64)], 0
     while True:
         place = np.flatnonzero(live)
         key = seq[place].astype(np.uint64)
         key <<= np.uint64(32)
-        key |= seq[place + 1]
+        key |= seq[place + 1 if after is None else after[place]]
         ordered = np.sort(key)
         edge = np.r_[np.zeros(min(1, len(ordered)), dtype=np.int64), np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]
         count = np.diff(np.r_[edge, len(ordered)])
@@ -89,11 +96,12 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             chosen.append(i)
         found = np.sort(pairs[chosen])
         # By mark: 0 for no pair, -1 for pairs that are not chosen, else one more than the number of a chosen one.
-        slot = np.zeros(1 << MARK_BITS, dtype=np.int32)
-        slot[marks(pairs)] = -1
-        own, number = marks(found), np.arange(1, len(found) + 1, dtype=np.int32)
+        bits = min(MARK_BITS, len(pairs).bit_length() + 3)
+        slot = np.zeros(1 << bits, dtype=np.int32)
+        slot[marks(pairs, bits)] = -1
+        own, number = marks(found, bits), np.arange(1, len(found) + 1, dtype=np.int32)
         slot[own] = number
-        seen = slot[marks(key)]
+        seen = slot[marks(key, bits)]
         maybe = np.flatnonzero(seen > 0)
         held, rule = key[maybe], seen[maybe] - 1
         hit = found[rule] == held
@@ -107,21 +115,34 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             hit[miss[there]] = True
         at, rule = place[maybe[hit]], rule[hit]
         # Only runs of one symbol overlap themselves: take every other place of a run.
-        new = np.r_[True, at[1:] != at[:-1] + 1]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - start) % 2 == 0
-        at, rule = at[take], rule[take]
+        right = at + 1 if after is None else after[at]
+        new = np.r_[True, at[1:] != right[:-1]]
+        if not new.all():
+            start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+            take = (np.arange(len(at)) - start) % 2 == 0
+            at, rule, right = at[take], rule[take], right[take]
         live[place] = seen != 0
-        live[at[at > 0] - 1] = True
         live[at] = True
         seq[at] = first_rule + n_rules + rule
-        last[at] = last[at + 1]
-        keep = np.ones(len(seq), dtype=bool)
-        keep[at + 1] = False
-        seq, last, live = seq[keep], last[keep], live[keep]
+        last[at] = last[right]
+        if after is None and FEW * len(at) >= len(seq):
+            live[at[at > 0] - 1] = True
+            keep = np.ones(len(seq), dtype=bool)
+            keep[right] = False
+            seq, last, live = seq[keep], last[keep], live[keep]
+        else:
+            if after is None:
+                after, before, gone = np.arange(1, len(seq) + 1), np.arange(-1, len(seq)), np.zeros(len(seq), dtype=bool)
+            live[right], gone[right] = False, True
+            after[at] = beyond = after[right]
+            before[beyond] = at
+            ahead = before[at]
+            live[ahead[ahead >= 0]] = True
         live &= ~last
         rules.append(found)
         n_rules += len(found)
+    if gone is not None:
+        seq, last = seq[~gone], last[~gone]
     flat = np.concatenate(rules)
     return np.stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), seq, np.flatnonzero(last)
 
@@ -161,18 +182,19 @@ class Grammar:
             at += len(flat)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
+        if not len(self.data):
+            return symbols.astype(np.uint32)
         rule = symbols.astype(np.int64) - self.first_rule
-        inner = rule >= 0
-        length = np.ones(len(symbols), dtype=np.int64)
-        length[inner] = self.lengths[rule[inner]]
+        single = np.flatnonzero(rule < 0)
+        rule[single] = 0  # read like a rule, and then put right
+        length = self.lengths[rule]
+        length[single] = 1
         ends = np.cumsum(length)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
         begin = ends - length
-        out[begin[~inner]] = symbols[~inner]
-        n = length[inner]
-        if len(n):
-            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            out[np.repeat(begin[inner], n) + inside] = self.data[np.repeat(self.offset[rule[inner]], n) + inside]
+        source = np.repeat(self.offset[rule] - begin, length)
+        source += np.arange(len(source))
+        out = self.data[source]
+        out[begin[single]] = symbols[single]
         return out
 
 
@@ -337,7 +359,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
         for b in batches:
             for start, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 f = TokenFile(raw.as_buffer().to_pybytes())
-                crc = [zlib.crc32(x.astype("<u4", copy=False).tobytes()) for x in f.documents()]
+                crc = [zlib.crc32(x.astype("<u4", copy=False)) for x in f.documents()]
                 starts = start + np.cumsum(f.sizes) - f.sizes
                 yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(f.sizes, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Sequence
 from functools import cache
-from itertools import chain, repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +48,34 @@ class Memo:
         self.held = 0
         self.offset = np.zeros(1025, dtype=np.int64)
         self.data = np.zeros(4096, dtype=self.kind)
+        #: In how many batches each word was met.
+        self.met = np.zeros(1024, dtype=np.int32)
+
+    def thin(self) -> None:
+        """Keep the words met in most batches, half as many as there may be; rare ones are most of those that come up."""
+        n = len(self.index)
+        size, met = np.diff(self.offset[: n + 1]), self.met[:n]
+        kept = np.zeros(n, dtype=bool)
+        kept[np.argsort(-met, kind="stable")[: MOST_WORDS // 2]] = True
+        kept &= met > 1
+        chars = np.fromiter(map(len, self.index), dtype=np.int64, count=n)
+        self.index = dict(zip(compress(self.index, kept.tolist()), range(n), strict=False))
+        self.data = self.data[: int(self.offset[n])][np.repeat(kept, size)]
+        self.offset = np.r_[0, np.cumsum(size[kept])]
+        self.met = met[kept] // 2
+        self.held = 4 * int(chars[kept].sum()) + self.data.nbytes
 
     def add(self, words: list[str]) -> None:
-        lists = list(map(self.make, words))
-        i, n = len(self.index), len(lists)
-        size = np.fromiter(map(len, lists), dtype=np.int64, count=n)
-        value = np.fromiter(chain.from_iterable(lists), dtype=self.kind, count=int(size.sum()))
+        i, n, values, sizes = len(self.index), len(words), [], []
+        for ids in map(self.make, words):  # held one by one: Python looks through all lists whenever many more are held
+            values += ids
+            sizes.append(len(ids))
+        size, value = np.array(sizes, dtype=np.int64), np.array(values, dtype=self.kind)
         if i + n >= len(self.offset):
             self.offset = np.resize(self.offset, 2 * (i + n) + 1)
+        if i + n > len(self.met):
+            self.met = np.resize(self.met, 2 * (i + n))
+        self.met[i : i + n] = 0
         a = int(self.offset[i])
         if a + len(value) > len(self.data):
             self.data = np.resize(self.data, 2 * (a + len(value)))
@@ -67,8 +87,10 @@ class Memo:
         """The words' values one after the other, and each word's number of values; words are ranges of the code points ``chars`` (of one byte or four each), in order, and ``inside`` tells which code points are in one."""
         if len(start) == 0:
             return np.zeros(0, dtype=self.kind), np.zeros(0, dtype=np.int64)
-        if len(self.index) > MOST_WORDS or self.held > MOST_BYTES:
+        if self.held > MOST_BYTES:
             self.clear()
+        elif len(self.index) > MOST_WORDS:
+            self.thin()
         if inside is None:
             edge = np.zeros(len(chars) + 1, dtype=np.int8)
             edge[start] += 1
@@ -88,6 +110,7 @@ class Memo:
         if len(new):
             found[new] = len(self.index) + np.arange(len(new))
             self.add([keys[i] for i in new.tolist()])
+        self.met[found] += 1
         places = found[back]
         first = self.offset[places]
         count = self.offset[places + 1] - first

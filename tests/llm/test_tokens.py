@@ -263,6 +263,36 @@ def test_the_memo_is_bounded_by_bytes_too(monkeypatch):
     assert memo.held < 4000 and asked[6:] == ["a", "x" * 300]
 
 
+def test_the_memo_keeps_common_words(monkeypatch):
+    monkeypatch.setattr(words, "MOST_WORDS", 40)
+    asked = []
+    memo = words.Memo(lambda w: asked.append(w) or [len(w)] * (len(w) % 3), "<u2")
+    for batch in range(200):
+        found = ["the", "word", "again", *(f"rare{'x' * (batch % 5)}{batch}n{k}" for k in range(6))]
+        chars = np.frombuffer(" ".join(found).encode("latin-1"), dtype=np.uint8)
+        size = np.array([len(w) for w in found])
+        start = np.cumsum(size + 1) - size - 1
+        values, count = memo.values(chars, start, start + size)
+        assert values.tolist() == [len(w) for w in found for _ in range(len(w) % 3)] and count.tolist() == [len(w) % 3 for w in found]
+        assert len(memo.index) <= 40 + 9 and memo.held == 4 * sum(map(len, memo.index)) + 2 * int(memo.offset[len(memo.index)])
+    assert len(asked) == len(set(asked)) == 3 + 200 * 6
+
+
+def test_rounds_that_replace_few_symbols(monkeypatch):
+    rng = np.random.default_rng(4)
+    ids, last = rng.zipf(1.3, 30_000).clip(max=700).astype(np.uint32), np.unique(np.r_[rng.integers(0, 30_000, 500), 29_999])
+    ids[5_000:9_000] = 3
+    found = []
+    for few in (0, 3, 16, 1 << 40):  # from the first round on symbols stay at their places; never
+        monkeypatch.setattr(token_files, "FEW", few)
+        found.append(token_files.repair(ids, last, 1000))
+        assert all((a == b).all() for a, b in zip(found[0], found[-1], strict=True))
+        rules, symbols, ends = found[-1]
+        flat = token_files.Grammar(rules, 1000)
+        assert flat.expand(symbols).tolist() == ids.tolist()
+        assert (np.cumsum([len(flat.expand(s)) for s in np.split(symbols, ends[:-1] + 1)]) - 1 == last).all()
+
+
 def test_pairs_that_share_a_mark_and_rules_by_levels(monkeypatch):
     rng = np.random.default_rng(3)
     ids, last = rng.zipf(1.3, 60_000).clip(max=900).astype(np.uint32), np.arange(99, 60_000, 100)
