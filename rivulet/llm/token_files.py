@@ -113,6 +113,7 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             there = hidden[k] == held[miss]
             rule[miss[there]] = np.searchsorted(found, hidden[k[there]])
             hit[miss[there]] = True
+        hit = np.flatnonzero(hit)
         at, rule = place[maybe[hit]], rule[hit]
         # Only runs of one symbol overlap themselves: take every other place of a run.
         right = at + 1 if after is None else after[at]
@@ -120,6 +121,7 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
         if not new.all():
             start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
             take = (np.arange(len(at)) - start) % 2 == 0
+            take = np.flatnonzero(take)
             at, rule, right = at[take], rule[take], right[take]
         live[place] = seen != 0
         live[at] = True
@@ -129,6 +131,7 @@ def repair(ids: np.ndarray, doc_last: np.ndarray, first_rule: int, least: int =
             live[at[at > 0] - 1] = True
             keep = np.ones(len(seq), dtype=bool)
             keep[right] = False
+            keep = np.flatnonzero(keep)  # by places, for masks without a pattern are slow
             seq, last, live = seq[keep], last[keep], live[keep]
         else:
             if after is None:
